@@ -1,0 +1,111 @@
+import datetime as dt
+import json
+
+from conftest import rows
+
+from velotide.functions import clock, keys, values
+from velotide.operators.decode import decode_status, status_rejects
+from velotide.schemas import STATUS_COLUMNS
+from pyspark.sql import functions as F
+
+
+def payload(*stations):
+    return json.dumps({"data": {"stations": list(stations)}, "ttl": 60, "version": "1.1"})
+
+
+def station(**changes):
+    return {
+        "is_installed": 1,
+        "is_renting": 0,
+        "is_returning": 1,
+        "last_reported": 1735732800,
+        "num_bikes_available": 7,
+        "num_bikes_available_types": {"electric": 2, "smart": 0, "classic": 5},
+        "num_docks_available": 11,
+        "station_id": "hub_3010",
+        **changes,
+    }
+
+
+def frame(spark, *texts):
+    return spark.createDataFrame([(t.encode() if t else None,) for t in texts], "value binary")
+
+
+def test_flat_row(spark):
+    got = decode_status(frame(spark, payload(station())))
+    assert got.columns == STATUS_COLUMNS
+    assert [tuple(r) for r in got.collect()] == [
+        (dt.datetime(2025, 1, 1, 12), "3010", True, False, True, 11, 7, 2, 0, 5)
+    ]
+
+
+def test_undecodable_payloads_give_no_row_and_are_rejected(spark):
+    whole = payload(station(), station(station_id="hub_2"))
+    bad = ["garbage", None, whole[:-30], '{"data": {}}', '{"data": {"stations": "x"}}', "[]"]
+    frame_ = frame(spark, *bad, payload(), whole)
+    assert decode_status(frame_).count() == 2
+    rejected = [r["value"] for r in status_rejects(frame_).collect()]
+    texts = [None if r is None else bytes(r).decode() for r in rejected]
+    assert sorted(texts, key=repr) == sorted(bad, key=repr)
+
+
+def test_bad_field_keeps_the_row(spark):
+    got = decode_status(frame(spark, payload(station(num_docks_available="many"), None)))
+    assert rows(got, "station_id", "num_docks_available", "num_bikes_available") == [
+        ("3010", None, 7),
+        (None, None, None),
+    ]
+
+
+def test_missing_types_and_flags(spark):
+    text = payload(station(num_bikes_available_types=None, is_renting=None, is_returning=2))
+    got = decode_status(frame(spark, text))
+    assert rows(got, "num_bikes_available_electric", "is_renting", "is_returning") == [
+        (None, None, False)
+    ]
+
+
+def test_two_key_rules(spark):
+    df = spark.createDataFrame([("x12_34567",), ("abc",), (None,), ("bcd_0042",)], "k string")
+    got = df.select(keys.station_key_digits(F.col("k")), keys.station_key_suffix(F.col("k")))
+    assert [tuple(r) for r in got.collect()] == [
+        ("12", "4567"),
+        ("", "abc"),
+        (None, None),
+        ("0042", "0042"),
+    ]
+
+
+def test_clock_change(spark):
+    df = spark.createDataFrame([(1730611800,), (1730615400,), (None,)], "s bigint")
+    utc = clock.epoch_to_utc(F.col("s"))
+    got = df.select(utc.alias("u"), clock.to_local(utc).alias("l")).collect()
+    assert [r["u"] for r in got] == [
+        dt.datetime(2024, 11, 3, 5, 30),
+        dt.datetime(2024, 11, 3, 6, 30),
+        None,
+    ]
+    assert {r["l"] for r in got[:2]} == {dt.datetime(2024, 11, 3, 1, 30)}
+
+
+def test_iso_text_has_numeric_offset(spark):
+    got = spark.range(1).select(clock.iso_utc(clock.epoch_to_utc(F.lit(1735707600)))).first()
+    assert got[0] == "2025-01-01T05:00:00+00:00"
+
+
+def test_whole_number(spark):
+    df = spark.createDataFrame([(3.9,), (-3.9,), (float("nan"),), (1e12,), (None,)], "v double")
+    assert [r[0] for r in df.select(values.whole_number(F.col("v"))).collect()] == [
+        3, -3, None, None, None,
+    ]
+
+
+def test_near_window_covers_the_window_in_every_zone(spark):
+    df = spark.sql(
+        "SELECT explode(sequence(timestamp'2024-01-10', timestamp'2024-01-20', interval 20 minutes)) AS t"
+    )
+    for zone in ("Pacific/Kiritimati", "Etc/GMT+12", "America/New_York"):
+        local = df.withColumn("l", clock.to_local(F.col("t"), zone))
+        exact = clock.in_window(local, "l", "2024-01-15")
+        assert exact.count() == 2 * 72
+        assert clock.near_window(exact, "t", "2024-01-15").count() == exact.count()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velotide import schemas
@@ -10,14 +10,14 @@ from velotide.functions import clock, values
 from velotide.functions.keys import station_key_digits
 
 
-def parse_status(payloads: DataFrame) -> DataFrame:
-    """Add ``stations``: the decoded array, NULL where a payload has none.
+def station_list() -> Column:
+    """The station array of the payload in ``value``, NULL where it has none.
 
     Garbage, cut-off JSON and documents without a station list all give NULL;
     a field of the wrong type only nulls that field.
     """
     parsed = F.from_json(F.col("value").cast("string"), schemas.STATUS_PAYLOAD)
-    return payloads.withColumn("stations", parsed["data"]["stations"])
+    return parsed["data"]["stations"]
 
 
 def decode_status(payloads: DataFrame) -> DataFrame:
@@ -26,8 +26,9 @@ def decode_status(payloads: DataFrame) -> DataFrame:
     Payloads without stations give no row; ``status_rejects`` returns those that
     could not be decoded.  Works on a batch and on a stream.
     """
-    station = parse_status(payloads).select(F.explode("stations").alias("s"))
-    return station.select(
+    # Exploding the expression, not a column that holds it: for a column Spark
+    # adds a filter on its size below, which would parse each payload twice.
+    return payloads.select(F.explode(station_list()).alias("s")).select(
         clock.epoch_to_utc(F.col("s.last_reported")).alias("utc_timestamp"),
         station_key_digits(F.col("s.station_id")).alias("station_id"),
         values.flag(F.col("s.is_returning")).alias("is_returning"),
@@ -46,4 +47,4 @@ def status_rejects(payloads: DataFrame) -> DataFrame:
 
     An empty list is readable and no reject.
     """
-    return parse_status(payloads).filter(F.col("stations").isNull()).drop("stations")
+    return payloads.filter(station_list().isNull())

@@ -13,6 +13,7 @@ from velotide import schemas
 from velotide.functions import clock
 from velotide.operators.dedup import dedup_keep_one
 from velotide.sources import files
+from velotide.sources.tables import write_partitioned
 
 STATUS_KEY = ["station_id", "utc_timestamp"]
 FACT_COLUMNS = schemas.FACT_STATUS.fieldNames()
@@ -97,9 +98,4 @@ def load_status_increment(
     """
     spark = staging.sparkSession
     new = status_new_rows(read_status_fact(spark, path), staging, run_date, days, zone)
-    (
-        new.withColumn("est_date", F.to_date("est_datetime"))
-        .write.mode("append")
-        .partitionBy("est_date")
-        .parquet(path)
-    )
+    write_partitioned(new.withColumn("est_date", F.to_date("est_datetime")), path, "append", ["est_date"])

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from velotide import schemas
 from velotide.functions import clock
 from velotide.operators.dedup import assert_unique
-from velotide.operators.sizing import broadcast_if_small
+from velotide.operators.sizing import BROADCAST_BYTES, broadcast_if_small
 from velotide.sources import files
 
 DIM_COLUMNS = schemas.DIM_STATIONS.fieldNames()
@@ -115,6 +115,7 @@ def scd_as_of(
     day: str,
     key: str = "station_id",
     columns: tuple[str, ...] = ("name", "active_status", "start_date"),
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Fact rows with the station version valid on their date ``day``.
 
@@ -122,7 +123,7 @@ def scd_as_of(
     as an equality key beside the date range, so it never compares all pairs.
     """
     wanted = dict.fromkeys(["station_id", "start_date", "end_date", *columns])
-    d = broadcast_if_small(dim.select(*wanted)).alias("d")
+    d = broadcast_if_small(dim.select(*wanted), broadcast_bytes).alias("d")
     f = fact.alias("f")
     valid = (
         (F.col(f"f.{key}") == F.col("d.station_id"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velotide.functions import values
-from velotide.operators.sizing import broadcast_if_small
+from velotide.operators.sizing import BROADCAST_BYTES, broadcast_if_small
 
 
 def trip_fact(staging: DataFrame) -> DataFrame:
@@ -27,7 +27,10 @@ def trip_fact(staging: DataFrame) -> DataFrame:
 
 
 def trips_with_stations(
-    trips: DataFrame, stations: DataFrame, columns: tuple[str, ...] = ("name",)
+    trips: DataFrame,
+    stations: DataFrame,
+    columns: tuple[str, ...] = ("name",),
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Trips with ``start_<column>`` and ``end_<column>`` of their two stations.
 
@@ -35,7 +38,7 @@ def trips_with_stations(
     measured once, and when small one broadcast serves both joins.  Trips whose
     station is unknown keep NULLs.
     """
-    side = broadcast_if_small(stations.select("station_id", *columns))
+    side = broadcast_if_small(stations.select("station_id", *columns), broadcast_bytes)
     s, e = side.alias("s"), side.alias("e")
     return (
         trips.alias("t")

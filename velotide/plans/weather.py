@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velotide.functions import clock
@@ -56,16 +56,19 @@ def weather_demand(trips: DataFrame, weather: DataFrame) -> DataFrame:
     )
 
 
+def _corr(x: str, y: str) -> Column:
+    """Pearson correlation; NaN where a series does not vary (say, no snow).
+
+    The built-in ``corr`` divides by zero there, which ANSI mode makes an error.
+    """
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    return F.when(spread == 0, F.lit(float("nan"))).otherwise(F.covar_pop(x, y) / spread)
+
+
 def weather_corr(trips: DataFrame, weather: DataFrame) -> DataFrame:
     """Correlation over hours of trips with temperature, rain and snowfall."""
-    hourly = hourly_demand_with_weather(trips, weather)
-    return hourly.agg(
-        *[
-            F.corr("trips", column).alias(f"corr_{name}")
-            for name, column in (
-                ("temperature", "temperature_2m"),
-                ("rain", "rain"),
-                ("snowfall", "snowfall"),
-            )
-        ]
+    return hourly_demand_with_weather(trips, weather).agg(
+        _corr("trips", "temperature_2m").alias("corr_temperature"),
+        _corr("trips", "rain").alias("corr_rain"),
+        _corr("trips", "snowfall").alias("corr_snowfall"),
     )

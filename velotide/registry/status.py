@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from velotide.functions import clock
-from velotide.operators.decode import decode_status, parse_status, status_rejects
+from velotide.operators.decode import decode_status, station_list, status_rejects
 from velotide.operators.dedup import dedup_keep_one, key_conflicts
 from velotide.operators.merge import (
     FACT_COLUMNS,
@@ -66,15 +66,11 @@ def _raw_landing(spark, sf_dir):
     path = scratch_dir(spark, "raw")
     payloads = feeds.status_payloads(_events_stream(spark, sf_dir))
     ingest.land_raw(payloads, path, f"{path}-checkpoint").awaitTermination()
-    size = F.coalesce(F.size("stations"), F.lit(0))
-    return (
-        parse_status(spark.read.parquet(path))
-        .groupBy("ingest_date")
-        .agg(
-            F.count(F.lit(1)).alias("payloads"),
-            F.count_if(F.col("stations").isNull()).alias("rejects"),
-            F.sum(size).alias("stations"),
-        )
+    sizes = spark.read.parquet(path).select("ingest_date", F.size(station_list()).alias("size"))
+    return sizes.groupBy("ingest_date").agg(
+        F.count(F.lit(1)).alias("payloads"),
+        F.count_if(F.col("size").isNull()).alias("rejects"),
+        F.coalesce(F.sum("size"), F.lit(0)).alias("stations"),
     )
 
 

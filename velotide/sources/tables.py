@@ -90,7 +90,7 @@ def load(
         if disposition != APPEND:
             raise ValueError("load_id goes with APPEND only")
         path, mode = f"{path}/load_id={load_id}", "overwrite"
-    _write(df, path, mode, partition_by)
+    write_partitioned(df, path, mode, partition_by)
 
 
 def load_table(
@@ -104,14 +104,20 @@ def load_table(
 
 def rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Replace the whole table with ``df`` and read it back."""
-    _write(df, path, "overwrite", partition_by)
+    write_partitioned(df, path, "overwrite", partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str]) -> None:
+def write_partitioned(
+    df: DataFrame, path: str, mode: str, partition_by: Sequence[str] = ()
+) -> None:
+    """Write Parquet; with ``partition_by``, in folders by those columns.
+
+    Without a shuffle every task would write one small file per folder.  The
+    rebalancing shuffle gathers a folder's rows into files of a sensible size,
+    and a folder that takes much of the data is split over tasks at run time.
+    """
     if partition_by:
-        # One shuffle gathers each partition's rows into files of a sensible
-        # size; a partition value holding much of the data is split at run time.
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
