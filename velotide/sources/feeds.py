@@ -102,12 +102,12 @@ def read_trips(
     """Quarterly trip files with a header line; ``path`` may hold globs.
 
     The schema is declared, so no file is read twice to guess types, and the
-    header of every file is checked against it.  Every line is parsed whole:
-    otherwise a bad value would count, or be dropped, only in queries that
-    happen to select its column.
+    header of every file is checked against it.  A bad value fails the query (or
+    drops the line, with ``DROPMALFORMED``).  Spark judges a line by the columns
+    a query reads, so load whole rows, as the trip fact does, before analysing.
     """
     reader = spark.read.schema(schemas.TRIP_CSV).options(
-        header=True, enforceSchema=False, columnPruning=False, mode=mode
+        header=True, enforceSchema=False, mode=mode
     )
     if timestamp_format:
         reader = reader.option("timestampNTZFormat", timestamp_format)
