@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -117,3 +118,18 @@ def test_landing_without_arrival_time_uses_the_batch_time(spark):
     landed = spark.read.parquet(target).first()
     assert landed["ingest_ts"].date() >= dt.date(2025, 1, 2)
     assert landed["ingest_date"] == landed["ingest_ts"].date()
+
+
+def test_kafka_options():
+    assert ingest.kafka_options("host:9092", "status", {"minPartitions": "64"}) == {
+        "kafka.bootstrap.servers": "host:9092",
+        "subscribe": "status",
+        "startingOffsets": "latest",
+        "minPartitions": "64",
+    }
+
+
+def test_kafka_is_asked_for(spark):
+    """The connector is not part of this image, so only the request is seen."""
+    with pytest.raises(Exception, match="kafka"):
+        ingest.read_status_stream(spark, "host:9092", "status")

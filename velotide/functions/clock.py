@@ -52,17 +52,22 @@ def in_window(
 
 
 def near_window(
-    df: DataFrame, column: str, run_date: dt.date | str, days: int = 1
+    df: DataFrame,
+    column: str,
+    run_date: dt.date | str,
+    days: int = 1,
+    utc_date: str | None = None,
 ) -> DataFrame:
     """Coarse form of ``in_window`` on the stored instant.
 
     A superset of the window in any zone.  It compares the bare column with
     constants, so it reaches the Parquet reader and skips row groups, which the
-    exact predicate on the converted time cannot do.
+    exact predicate on the converted time cannot do.  With ``utc_date``, the name
+    of a column that holds the instant's UTC date, it skips folders as well.
     """
-    last = as_date(run_date)
-    first = last - dt.timedelta(days=days)
-    return df.filter(
-        (F.col(column) >= F.lit(first - _ONE_DAY))
-        & (F.col(column) < F.lit(last + 2 * _ONE_DAY))
-    )
+    last = as_date(run_date) + _ONE_DAY
+    first = as_date(run_date) - dt.timedelta(days=days) - _ONE_DAY
+    near = (F.col(column) >= F.lit(first)) & (F.col(column) < F.lit(last + _ONE_DAY))
+    if utc_date is not None:
+        near = near & F.col(utc_date).between(F.lit(first), F.lit(last))
+    return df.filter(near)

@@ -51,12 +51,15 @@ def status_new_rows(
     """What the run of ``run_date`` inserts into the status fact.
 
     Deduplicated on station and instant, local date within the window, not yet
-    in the fact.  Both inputs are cut to the window first, so a run reads a few
-    days of each however long the history is.  Deduplication and merge share
-    their key and with it one shuffle of the staging rows.
+    in the fact.  Both inputs are cut to the window first, by folder where they
+    are stored by date (``utc_date``, ``est_date``), so a run reads a few days of
+    each however long the history is.  Deduplication and merge share their key
+    and with it one shuffle of the staging rows.
     """
-    fresh = status_fact_rows(clock.near_window(staging, "utc_timestamp", run_date, days), zone)
-    fresh = dedup_keep_one(clock.in_window(fresh, "est_datetime", run_date, days), STATUS_KEY)
+    utc_date = "utc_date" if "utc_date" in staging.columns else None
+    staged = clock.near_window(staging, "utc_timestamp", run_date, days, utc_date)
+    fresh = clock.in_window(status_fact_rows(staged, zone), "est_datetime", run_date, days)
+    fresh = dedup_keep_one(fresh, STATUS_KEY)
 
     known = clock.near_window(fact, "utc_timestamp", run_date, days)
     if "est_date" in fact.columns:

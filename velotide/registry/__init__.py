@@ -6,7 +6,7 @@ the statement its result is checked against.
 
 from __future__ import annotations
 
-from velotide.registry import stations, status, tables, trips, weather  # noqa: F401
+from velotide.registry import star, stations, status, tables, trips, weather  # noqa: F401
 from velotide.registry.base import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

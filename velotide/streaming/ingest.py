@@ -25,14 +25,20 @@ def read_status_stream(
     to read it in parallel, for a backlog ``maxOffsetsPerTrigger`` to bound the
     batches.
     """
-    settings = {
+    settings = kafka_options(servers, topic, options)
+    stream = spark.readStream.format("kafka").options(**settings).load()
+    return stream.select("value", F.col("timestamp").alias("ingest_ts"))
+
+
+def kafka_options(
+    servers: str, topic: str, options: dict[str, str] | None = None
+) -> dict[str, str]:
+    return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "latest",
         **(options or {}),
     }
-    stream = spark.readStream.format("kafka").options(**settings).load()
-    return stream.select("value", F.col("timestamp").alias("ingest_ts"))
 
 
 def replay_raw(spark: SparkSession, path: str, max_files_per_trigger: int = 1000) -> DataFrame:
