@@ -12,8 +12,12 @@ def flag(number: Column) -> Column:
 
 
 def whole_number(number: Column) -> Column:
-    """Truncate toward zero; NaN and values out of range become NULL."""
-    return number.try_cast("int")
+    """Truncate toward zero; NaN and values out of range become NULL.
+
+    NaN is common in the feed and is tested first: ``try_cast`` alone would raise
+    and catch an exception for every one.
+    """
+    return F.when(~F.isnan(number), number.try_cast("int"))
 
 
 def is_round_trip(category: Column) -> Column:

@@ -58,8 +58,10 @@ def status_new_rows(
     """
     utc_date = "utc_date" if "utc_date" in staging.columns else None
     staged = clock.near_window(staging, "utc_timestamp", run_date, days, utc_date)
-    fresh = clock.in_window(status_fact_rows(staged, zone), "est_datetime", run_date, days)
-    fresh = dedup_keep_one(fresh, STATUS_KEY)
+    once = dedup_keep_one(staged.select(*STATUS_KEY, *schemas.MEASURES), STATUS_KEY)
+    # The window depends on the key alone, so Spark filters before deduplicating;
+    # the wall-clock time itself is neither sorted nor shuffled.
+    fresh = clock.in_window(status_fact_rows(once, zone), "est_datetime", run_date, days)
 
     known = clock.near_window(fact, "utc_timestamp", run_date, days)
     if "est_date" in fact.columns:

@@ -43,6 +43,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a stream, whether it is one file or a folder of files.
+
+    A plain path has to be a folder; a pattern (the braces) may also name a file.
+    """
+    schema = table(spark, sf_dir, name).schema
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 10_000)
+    return reader.parquet(table_path(sf_dir, f"{{{name}}}"))
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Instants as UTC wall-clock values, which collect the same in any zone."""
     instants = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]

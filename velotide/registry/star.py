@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from velotide.operators.scd import scd_current
 from velotide.plans import availability, stations, warehouse
 from velotide.registry import feeds
-from velotide.registry.base import query, rounded, table, table_path
+from velotide.registry.base import query, rounded, table, table_stream
 from velotide.sources.files import scratch_dir
 from velotide.streaming import ingest
 
@@ -46,8 +46,7 @@ RUN_DATE = "2024-01-30"
 def _warehouse_day(spark, sf_dir):
     """Land all feeds, run the daily jobs, and put fill beside use per station."""
     base = scratch_dir(spark, "warehouse")
-    events = table(spark, sf_dir, "events")
-    stream = spark.readStream.schema(events.schema).parquet(table_path(sf_dir, "{events}"))
+    stream = table_stream(spark, sf_dir, "events")
     ingest.append_status(
         feeds.status_payloads(stream), f"{base}/{warehouse.STATUS_STAGING}", f"{base}/checkpoint"
     ).awaitTermination()

@@ -16,7 +16,7 @@ from velotide.operators.merge import (
 )
 from velotide.plans import availability
 from velotide.registry import feeds
-from velotide.registry.base import query, rounded, table, table_path
+from velotide.registry.base import query, rounded, table, table_stream
 from velotide.sources.files import scratch_dir
 from velotide.streaming import ingest
 
@@ -43,15 +43,6 @@ def _status_rejects(spark, sf_dir):
     return status_rejects(payloads).select("event_id", "ingest_ts")
 
 
-def _events_stream(spark, sf_dir):
-    """The table as a stream, whether it is one file or a folder of files.
-
-    A plain path has to be a folder; a pattern (the braces) may also name a file.
-    """
-    schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).parquet(table_path(sf_dir, "{events}"))
-
-
 @query(
     "raw_landing",
     "events",
@@ -64,7 +55,7 @@ def _events_stream(spark, sf_dir):
 def _raw_landing(spark, sf_dir):
     """Land the stream of payloads, then count what each day's folder holds."""
     path = scratch_dir(spark, "raw")
-    payloads = feeds.status_payloads(_events_stream(spark, sf_dir))
+    payloads = feeds.status_payloads(table_stream(spark, sf_dir, "events"))
     ingest.land_raw(payloads, path, f"{path}-checkpoint").awaitTermination()
     sizes = spark.read.parquet(path).select("ingest_date", F.size(station_list()).alias("size"))
     return sizes.groupBy("ingest_date").agg(
@@ -82,7 +73,7 @@ def _raw_landing(spark, sf_dir):
 )
 def _status_stream_append(spark, sf_dir):
     path = scratch_dir(spark, "status")
-    payloads = feeds.status_payloads(_events_stream(spark, sf_dir))
+    payloads = feeds.status_payloads(table_stream(spark, sf_dir, "events"))
     ingest.append_status(payloads, path, f"{path}-checkpoint").awaitTermination()
     return ingest.read_status_table(spark, path)
 

@@ -28,14 +28,14 @@ _STEPS = 6
 def _weather_rows(spark, sf_dir):
     """One six-hour report per event; humidity is NaN for one event type."""
     start = F.unix_seconds(F.date_trunc("hour", F.col("ts").cast("timestamp")))
-    steps = F.sequence(F.lit(0), F.lit(_STEPS - 1))
 
     def series(value):
-        return F.transform(steps, lambda i: value(i).cast("float"))
+        return F.array(*[value(i).cast("float") for i in range(_STEPS)])
+
+    def humidity(i):
+        known = F.col("event_type") != "error"
+        return F.when(known, F.col("value") + i / 2).otherwise(float("nan"))
 
-    humidity = lambda i: F.when(
-        F.col("event_type") != "error", F.col("value") + i / 2
-    ).otherwise(F.lit(float("nan")))
     reports = table(spark, sf_dir, "events").select(
         start.alias("start"),
         (start + _STEPS * 3600).alias("end"),
@@ -44,7 +44,7 @@ def _weather_rows(spark, sf_dir):
         series(humidity).alias("relative_humidity_2m"),
         series(lambda i: F.col("value") / 10).alias("rain"),
         series(lambda i: F.lit(0)).alias("snowfall"),
-        series(lambda i: i * 10).alias("cloud_cover"),
+        series(lambda i: F.lit(i * 10)).alias("cloud_cover"),
     )
     return weather_rows(reports)
 

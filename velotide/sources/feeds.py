@@ -77,16 +77,19 @@ def weather_rows(reports: DataFrame) -> DataFrame:
                      F.col("start").cast("string"))
         )
     )
+    # Only the axis is exploded; each series is then read at the step's position,
+    # which builds no struct per step.
     steps = reports.withColumn("axis", axis).select(
-        F.explode(F.arrays_zip(checked.alias("at"), *_WEATHER_SERIES)).alias("w")
+        F.posexplode(checked).alias("step", "at"), *_WEATHER_SERIES
     )
+    series = {name: F.get(name, F.col("step")) for name in _WEATHER_SERIES}
     return steps.select(
-        clock.iso_utc(clock.epoch_to_utc(F.col("w.at"))).alias("date"),
-        F.col("w.temperature_2m").cast("double").alias("temperature_2m"),
-        values.whole_number(F.col("w.relative_humidity_2m")).alias("relative_humidity_2m"),
-        F.col("w.rain").cast("double").alias("rain"),
-        F.col("w.snowfall").cast("double").alias("snowfall"),
-        values.whole_number(F.col("w.cloud_cover")).alias("cloud_cover"),
+        clock.iso_utc(clock.epoch_to_utc(F.col("at"))).alias("date"),
+        series["temperature_2m"].cast("double").alias("temperature_2m"),
+        values.whole_number(series["relative_humidity_2m"]).alias("relative_humidity_2m"),
+        series["rain"].cast("double").alias("rain"),
+        series["snowfall"].cast("double").alias("snowfall"),
+        values.whole_number(series["cloud_cover"]).alias("cloud_cover"),
     )
 
 
