@@ -5,20 +5,15 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from velotide.operators import dedup, merge
-from velotide.schemas import FACT_STATUS, STATUS_COLUMNS
+from velotide.schemas import FACT_STATUS, STATUS_STAGING
 from velotide.sources import files
 
-STAGING = """utc_timestamp timestamp, station_id string, is_returning boolean, is_renting boolean,
-    is_installed boolean, num_docks_available int, num_bikes_available int,
-    num_bikes_available_electric int, num_bikes_available_smart int,
-    num_bikes_available_classic int"""
-
 
 def staging(spark, *readings):
     """Readings (UTC time, station, bikes)."""
     return spark.createDataFrame(
         [(dt.datetime.fromisoformat(t), s, True, True, True, 10, b, 0, 0, b) for t, s, b in readings],
-        STAGING,
+        STATUS_STAGING,
     )
 
 
@@ -30,10 +25,6 @@ def bikes(fact):
     return rows(fact, "station_id", "utc_timestamp", "num_bikes_available")
 
 
-def test_columns_follow_the_schema(spark):
-    assert [f.strip().split()[0] for f in STAGING.split(",")] == STATUS_COLUMNS
-
-
 def test_dedup_keeps_one_row_by_full_order(spark):
     df = spark.createDataFrame([("a", 1, 9), ("a", 1, 3), ("a", None, 7), ("a", None, 7)], "k string, t int, v int")
     assert rows(dedup.dedup_keep_one(df, ["k", "t"])) == [("a", 1, 3), ("a", None, 7)]
@@ -125,3 +116,7 @@ def test_a_run_reads_only_the_folders_of_its_window(spark):
     plan = new._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(est_date" in plan
     assert new.count() == 0
+
+    dates = (dt.date(2024, 1, 14), dt.date(2024, 1, 15))
+    files_read = merge.read_status_fact(spark, path, dates).inputFiles()
+    assert {f.split("est_date=")[1][:10] for f in files_read} == {"2024-01-14", "2024-01-15"}

@@ -82,7 +82,7 @@ def test_a_new_checkpoint_does_not_overwrite_the_old_rows(spark):
     append(spark, source, target, checkpoint)
     append(spark, source, target, checkpoint + "-2")
     assert len(readings(spark, target)) == 4
-    assert len(files.subdirectories(spark, target)) == 2
+    assert len(files.subdirectories(spark, f"{target}/utc_date=2025-01-01")) == 2
 
 
 def test_rows_lie_in_folders_by_date(spark):
@@ -93,6 +93,23 @@ def test_rows_lie_in_folders_by_date(spark):
     assert "PartitionFilters: [isnotnull(utc_date" in day._jdf.queryExecution().executedPlan().toString()
     assert rows(day, "utc_timestamp") == [(dt.datetime(2025, 1, 2),)] * 2
 
+    dates = (dt.date(2025, 1, 2), dt.date(2025, 1, 9))
+    alone = ingest.read_status_table(spark, target, dates)
+    assert rows(alone) == rows(day)
+    assert all("utc_date=2025-01-02" in file for file in alone.inputFiles())
+    nothing = ingest.read_status_table(spark, target, (dt.date(2030, 1, 1), dt.date(2030, 1, 2)))
+    assert nothing.count() == 0 and nothing.schema == day.schema
+
+
+def test_rows_without_time_are_kept(spark):
+    source, target, checkpoint = paths(spark)
+    text = '{"data": {"stations": [{"station_id": "hub_1"}]}}'
+    spark.createDataFrame([(text.encode(),)], "value binary").withColumn(
+        "ingest_ts", F.current_timestamp()
+    ).write.parquet(source)
+    append(spark, source, target, checkpoint)
+    assert readings(spark, target) == [("1", None)]
+
 
 def test_landed_payloads_replay_to_the_same_rows(spark):
     source, target, checkpoint = paths(spark)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 LOCAL_ZONE = "America/New_York"
 
 # No zone is further than 14 hours from UTC, so one day covers every offset.
-_ONE_DAY = dt.timedelta(days=1)
+UTC_PAD_DAYS = 1
 
 
 def as_date(value: dt.date | str) -> dt.date:
@@ -43,6 +43,14 @@ def local_hour(local: Column) -> Column:
     return F.date_trunc("hour", local).cast("timestamp_ntz")
 
 
+def window(
+    run_date: dt.date | str, days: int = 1, pad: int = 0
+) -> tuple[dt.date, dt.date]:
+    """First and last local date of a run, widened by ``pad`` days at both ends."""
+    last = as_date(run_date)
+    return last - dt.timedelta(days=days + pad), last + dt.timedelta(days=pad)
+
+
 def in_window(
     df: DataFrame, column: str, run_date: dt.date | str, days: int = 1
 ) -> DataFrame:
@@ -50,8 +58,7 @@ def in_window(
 
     ``run_date`` is a local date, given by the caller; nothing reads the clock.
     """
-    last = as_date(run_date)
-    first = last - dt.timedelta(days=days)
+    first, last = window(run_date, days)
     return df.filter(F.to_date(column).between(F.lit(first), F.lit(last)))
 
 
@@ -69,9 +76,9 @@ def near_window(
     exact predicate on the converted time cannot do.  With ``utc_date``, the name
     of a column that holds the instant's UTC date, it skips folders as well.
     """
-    last = as_date(run_date) + _ONE_DAY
-    first = as_date(run_date) - dt.timedelta(days=days) - _ONE_DAY
-    near = (F.col(column) >= F.lit(first)) & (F.col(column) < F.lit(last + _ONE_DAY))
+    first, last = window(run_date, days, UTC_PAD_DAYS)
+    after = last + dt.timedelta(days=1)
+    near = (F.col(column) >= F.lit(first)) & (F.col(column) < F.lit(after))
     if utc_date is not None:
         near = near & F.col(utc_date).between(F.lit(first), F.lit(last))
     return df.filter(near)

@@ -81,12 +81,23 @@ def status_increment(
     return fact.select(*FACT_COLUMNS).unionByName(new)
 
 
-def read_status_fact(spark: SparkSession, path: str) -> DataFrame:
-    """The stored fact with its partition column ``est_date``; empty if absent."""
-    schema = T.StructType([*schemas.FACT_STATUS, T.StructField("est_date", T.DateType())])
-    if not files.exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+_STORED = T.StructType([*schemas.FACT_STATUS, T.StructField("est_date", T.DateType())])
+
+
+def read_status_fact(
+    spark: SparkSession, path: str, dates: tuple[dt.date, dt.date] | None = None
+) -> DataFrame:
+    """The stored fact with its folder column ``est_date``; empty if absent.
+
+    With ``dates``, only the folders of those local dates are listed and read.
+    """
+    if dates is not None:
+        folders = files.day_folders(spark, path, "est_date", *dates)
+    else:
+        folders = [path] if files.exists(spark, path) else []
+    if not folders:
+        return spark.createDataFrame([], _STORED)
+    return spark.read.schema(_STORED).option("basePath", path).parquet(*folders)
 
 
 def load_status_increment(
@@ -102,5 +113,7 @@ def load_status_increment(
     through the append, finds the rows already there and adds only the rest.
     """
     spark = staging.sparkSession
-    new = status_new_rows(read_status_fact(spark, path), staging, run_date, days, zone)
-    write_partitioned(new.withColumn("est_date", F.to_date("est_datetime")), path, "append", ["est_date"])
+    fact = read_status_fact(spark, path, clock.window(run_date, days))
+    new = status_new_rows(fact, staging, run_date, days, zone)
+    dated = new.withColumn("est_date", F.to_date("est_datetime"))
+    write_partitioned(dated, path, "append", ["est_date"])

@@ -9,7 +9,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from velotide.functions.clock import as_date
+from velotide.functions.clock import UTC_PAD_DAYS, as_date, window
 from velotide.operators import scd
 from velotide.operators.merge import load_status_increment, read_status_fact
 from velotide.operators.trips import trip_fact
@@ -52,7 +52,8 @@ def load_trips(spark: SparkSession, path: str, base: str, **options) -> None:
 
 def load_status(spark: SparkSession, base: str, run_date: dt.date | str, days: int = 1) -> None:
     """Bring the streamed readings of the window into the status fact."""
-    staging = read_status_table(spark, f"{base}/{STATUS_STAGING}")
+    dates = window(run_date, days, UTC_PAD_DAYS)
+    staging = read_status_table(spark, f"{base}/{STATUS_STAGING}", dates)
     load_status_increment(staging, f"{base}/{STATUS_FACT}", run_date, days)
 
 

@@ -48,18 +48,24 @@ TRIP_CSV = """
 
 RAW_LANDING = "value binary, ingest_ts timestamp, ingest_date date"
 
-STATUS_COLUMNS = [
-    "utc_timestamp",
-    "station_id",
-    "is_returning",
-    "is_renting",
-    "is_installed",
-    "num_docks_available",
-    "num_bikes_available",
-    "num_bikes_available_electric",
-    "num_bikes_available_smart",
-    "num_bikes_available_classic",
-]
+STATUS_STAGING = T.StructType(
+    [
+        T.StructField("utc_timestamp", T.TimestampType()),
+        T.StructField("station_id", T.StringType()),
+        T.StructField("is_returning", T.BooleanType()),
+        T.StructField("is_renting", T.BooleanType()),
+        T.StructField("is_installed", T.BooleanType()),
+        T.StructField("num_docks_available", T.IntegerType()),
+        T.StructField("num_bikes_available", T.IntegerType()),
+        T.StructField("num_bikes_available_electric", T.IntegerType()),
+        T.StructField("num_bikes_available_smart", T.IntegerType()),
+        T.StructField("num_bikes_available_classic", T.IntegerType()),
+    ]
+)
+STATUS_COLUMNS = STATUS_STAGING.fieldNames()
+
+# As stored: in folders by UTC date.
+STATUS_TABLE = T.StructType([*STATUS_STAGING, T.StructField("utc_date", T.DateType())])
 
 MEASURES = [
     "num_docks_available",

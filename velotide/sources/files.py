@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 import tempfile
 import uuid
 
@@ -38,6 +40,23 @@ def subdirectories(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory())
 
 
+def day_folders(
+    spark: SparkSession, path: str, column: str, first: dt.date, last: dt.date
+) -> list[str]:
+    """Folders ``<column>=<date>`` below ``path`` with a date in [first, last].
+
+    Reading these paths lists the files of those days only.  Reading the table
+    and filtering would list every file of its history first.
+    """
+    wanted = []
+    for name in subdirectories(spark, path):
+        key, _, value = name.partition("=")
+        if key == column and re.fullmatch(r"\d{4}-\d{2}-\d{2}", value):
+            if first <= dt.date.fromisoformat(value) <= last:
+                wanted.append(f"{path}/{name}")
+    return wanted
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, jpath = _path(spark, path)
     return fs.delete(jpath, True)

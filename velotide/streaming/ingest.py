@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from velotide import schemas
 from velotide.operators.decode import decode_status
+from velotide.sources import files
 
 # -- sources -------------------------------------------------------------------
 
@@ -85,9 +88,9 @@ def append_status(
     """Decode a stream of payloads and append the rows to the status table.
 
     Spark may hand over a batch again after a failure.  Each batch owns the
-    folder of its query and batch number and overwrites it, so nothing is
+    folders of its query and batch number and replaces them, so nothing is
     appended twice.  The query's identity lives in the checkpoint: a new
-    checkpoint starts new folders and never overwrites the old query's.
+    checkpoint starts new folders and never replaces those of the old query.
     """
     return (
         decode_status(payloads)
@@ -99,20 +102,40 @@ def append_status(
     )
 
 
-def write_batch(batch: DataFrame, number: int, path: str, query: str | None = None) -> None:
-    """Write one micro-batch.  It is read once; no count or cache goes before."""
-    if query is None:
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+def write_batch(batch: DataFrame, number: int, path: str) -> None:
+    """Write one micro-batch.  It is read once; no count or cache goes before.
+
+    The date comes first in the layout, so that a reader of some days lists the
+    folders of those days only, however many batches there have been.
+    """
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
     (
-        batch.withColumn("utc_date", F.to_date("utc_timestamp"))
+        batch.withColumns(
+            {
+                "utc_date": F.to_date("utc_timestamp"),
+                "query": F.lit(query),
+                "batch": F.lit(number),
+            }
+        )
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("utc_date")
-        .parquet(f"{path}/query={query}/batch={number}")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("utc_date", "query", "batch")
+        .parquet(path)
     )
 
 
-def read_status_table(spark: SparkSession, path: str) -> DataFrame:
-    """The appended rows; filters on ``utc_date`` skip whole folders."""
-    table = spark.read.option("basePath", path).parquet(path)
-    return table.select(*schemas.STATUS_COLUMNS, "utc_date")
+def read_status_table(
+    spark: SparkSession, path: str, dates: tuple[dt.date, dt.date] | None = None
+) -> DataFrame:
+    """The appended rows and their folder column ``utc_date``.
+
+    With ``dates``, only the folders of those UTC dates are listed and read.
+    """
+    if dates is None:
+        folders = [path]
+    else:
+        folders = files.day_folders(spark, path, "utc_date", *dates)
+    if not folders:
+        return spark.createDataFrame([], schemas.STATUS_TABLE)
+    table = spark.read.schema(schemas.STATUS_TABLE).option("basePath", path).parquet(*folders)
+    return table.select(*schemas.STATUS_TABLE.fieldNames())
