@@ -155,7 +155,8 @@ def test_as_of_splits_a_hot_station(spark, large_tables):
 
 
 def test_star_join_splits_a_hot_station(spark, large_tables):
-    got = trips.trips_with_stations(hot_trips(spark), dimension(spark).select("station_id", "name"), broadcast_bytes=0)
+    names = dimension(spark).select("station_id", "name")
+    got = trips.trips_with_stations(hot_trips(spark), names, broadcast_bytes=0)
     assert final_plan(got).count("skew=true") >= 2
     assert got.count() == 200_000
 

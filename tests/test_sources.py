@@ -78,7 +78,13 @@ def test_weather_end_between_steps(spark):
 
 def test_weather_numbers(spark):
     got = feeds.weather_rows(
-        report(spark, 2, temperature_2m=[3.1, None], relative_humidity_2m=[66.9, float("nan")], cloud_cover=[-0.9, None])
+        report(
+            spark,
+            2,
+            temperature_2m=[3.1, None],
+            relative_humidity_2m=[66.9, float("nan")],
+            cloud_cover=[-0.9, None],
+        )
     ).collect()
     assert got[0]["temperature_2m"] == pytest.approx(3.0999999046, abs=1e-10)
     assert [(r["relative_humidity_2m"], r["cloud_cover"]) for r in got] == [(66, 0), (None, None)]

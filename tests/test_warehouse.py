@@ -28,7 +28,8 @@ def test_stations_over_three_days(spark):
         for _ in range(2):  # every job may be run again
             warehouse.load_stations(spark, path, base, day, f"{day} 06:00:00")
     got = warehouse.read_dimension(spark, base)
-    assert rows(got.filter("station_id = '3032'").select("active_status", F.day("start_date"), F.day("end_date"))) == [
+    closed = got.filter("station_id = '3032'")
+    assert rows(closed.select("active_status", F.day("start_date"), F.day("end_date"))) == [
         (False, 2, 3), (True, 1, 2), (True, 3, None),
     ]
     assert got.filter("station_id = '3010'").count() == 1

@@ -162,22 +162,34 @@ def _scd_as_of(spark, sf_dir):
     "supplier",
     oracle="""
         WITH k AS (
-            SELECT regexp_extract('hub_' || lpad(CAST(user_id AS VARCHAR), 4, '0'), '\\d+', 0)
-                   AS station_id, 1 AS s, 0 AS t, 0 AS d FROM events
-            UNION ALL SELECT lpad(CAST(l_suppkey AS VARCHAR), 4, '0'), 0, 1, 0 FROM lineitem
-            UNION ALL SELECT lpad(CAST(l_partkey AS VARCHAR), 4, '0'), 0, 1, 0 FROM lineitem
-            UNION ALL SELECT right(s_name, 4), 0, 0, 1 FROM supplier)
+            SELECT regexp_extract('hub_' || CAST(user_id AS VARCHAR), '\\d+', 0) AS id,
+                   1 AS s, 0 AS t, 0 AS d FROM events
+            UNION ALL SELECT CAST(l_suppkey AS VARCHAR), 0, 1, 0 FROM lineitem
+            UNION ALL SELECT CAST(l_partkey AS VARCHAR), 0, 1, 0 FROM lineitem
+            UNION ALL SELECT right(s_name, 4), 0, 0, 1 FROM supplier),
+        p AS (SELECT lpad(id, greatest(4, CAST(length(id) AS INTEGER)), '0') AS station_id, s, t, d FROM k)
         SELECT station_id, CAST(sum(s) AS BIGINT) AS rows_status,
                CAST(sum(t) AS BIGINT) AS rows_trips, CAST(sum(d) AS BIGINT) AS rows_stations
-        FROM k GROUP BY 1 HAVING least(sum(s), sum(t), sum(d)) = 0""",
+        FROM p GROUP BY 1 HAVING least(sum(s), sum(t), sum(d)) = 0""",
 )
 def _key_reconcile(spark, sf_dir):
-    padded = lambda c: F.lpad(F.col(c).cast("string"), 4, "0")
+    """Keys of the three feeds, with leading zeros up to four digits.
+
+    Stations are keyed by the last four characters, so keys of more digits show
+    up here as the mismatch they are.
+    """
+
+    def padded(key):
+        return F.lpad(key, F.greatest(F.lit(4), F.length(key)), F.lit("0"))
+
+    def text(column):
+        return F.col(column).cast("string")
+
     status = table(spark, sf_dir, "events").select(
-        station_key_digits(F.concat(F.lit("hub_"), padded("user_id"))).alias("station_id")
+        padded(station_key_digits(F.concat(F.lit("hub_"), text("user_id")))).alias("station_id")
     )
     trips = table(spark, sf_dir, "lineitem").select(
-        F.explode(F.array(padded("l_suppkey"), padded("l_partkey"))).alias("station_id")
+        F.explode(F.array(padded(text("l_suppkey")), padded(text("l_partkey")))).alias("station_id")
     )
     stations = table(spark, sf_dir, "supplier").select(
         station_key_suffix(F.col("s_name")).alias("station_id")
