@@ -2,9 +2,12 @@
 
 import json
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from velotide.__main__ import run
+from velotide.operators.merge import status_new_rows
 from velotide.plans import warehouse
 from velotide.sources import files
 from velotide.streaming import ingest
@@ -73,9 +76,33 @@ def test_status_jobs_read_only_the_days_of_the_window(spark):
     assert rows(warehouse.read_status(spark, base).select(F.day("est_date"))) == [(4,), (5,), (6,)]
 
     staging = ingest.read_status_table(spark, f"{base}/stations_status")
-    from velotide.operators.merge import status_new_rows
-
     new = status_new_rows(warehouse.read_status(spark, base), staging, "2025-01-07")
     plan = new._jdf.queryExecution().executedPlan().toString()
     assert plan.count("PartitionFilters: [isnotnull(") == 2  # utc_date and est_date
     assert new.count() == 1
+
+
+def test_commands(spark):
+    base = files.scratch_dir(spark, "warehouse")
+    path = documents(spark, base, "2024-01-01", 3010)
+    run(spark, ["stations", "--base", base, "--run-date", "2024-01-01", "--documents", path])
+    assert rows(warehouse.read_dimension(spark, base), "station_id") == [("3010",)]
+
+    header = (
+        "trip_id,duration,start_time,end_time,start_station,end_station,bike_id,plan_duration,"
+        "trip_route_category,passholder_type,bike_type"
+    )
+    line = "1,7,1/2/2024 8:05,1/2/2024 8:12,3010,3010,b1,30,Round Trip,Month,standard"
+    csv = f"{base}/csv"
+    spark.createDataFrame([(f"{header}\n{line}",)], "value string").coalesce(1).write.text(csv)
+    run(spark, ["trips", "--base", base, "--files", csv, "--timestamp-format", "M/d/yyyy H:mm"])
+    assert rows(warehouse.read_trip_fact(spark, base), "trip_id", "is_round_trip", "bike_type") == [
+        (1, True, "classic")
+    ]
+
+    run(spark, ["status", "--base", base, "--run-date", "2024-01-01"])  # nothing streamed yet
+    assert warehouse.read_status(spark, base).count() == 0
+    with pytest.raises(Exception, match="kafka"):
+        run(spark, ["stream", "--base", base, "--servers", "host:9092", "--topic", "t"])
+    with pytest.raises(SystemExit):
+        run(spark, ["status", "--base", base])

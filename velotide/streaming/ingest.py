@@ -109,6 +109,8 @@ def write_batch(batch: DataFrame, number: int, path: str) -> None:
     folders of those days only, however many batches there have been.
     """
     query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if query is None:
+        raise RuntimeError("write_batch runs inside a streaming query only")
     (
         batch.withColumns(
             {
