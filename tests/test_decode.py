@@ -1,12 +1,15 @@
 import datetime as dt
 import json
+import random
+from zoneinfo import ZoneInfo
 
+import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from velotide.functions import clock, keys, values
 from velotide.operators.decode import decode_status, status_rejects
 from velotide.schemas import STATUS_COLUMNS
-from pyspark.sql import functions as F
 
 
 def payload(*stations):
@@ -88,6 +91,19 @@ def test_clock_change(spark):
     assert {r["l"] for r in got[:2]} == {dt.datetime(2024, 11, 3, 1, 30)}
 
 
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kathmandu", "Pacific/Apia", "UTC"])
+def test_local_time_against_the_zone_database(spark, zone):
+    rng = random.Random(zone)
+    seconds = [rng.randrange(0, 2_000_000_000) for _ in range(300)]
+    # every quarter hour around the clock changes of one year
+    for change in (1710054000, 1730613600):
+        seconds += [change + 900 * n for n in range(-12, 12)]
+    df = spark.createDataFrame([(s,) for s in seconds], "s bigint")
+    got = df.select("s", clock.to_local(clock.epoch_to_utc(F.col("s")), zone)).collect()
+    for s, local in got:
+        assert local == dt.datetime.fromtimestamp(s, ZoneInfo(zone)).replace(tzinfo=None)
+
+
 def test_iso_text_has_numeric_offset(spark):
     got = spark.range(1).select(clock.iso_utc(clock.epoch_to_utc(F.lit(1735707600)))).first()
     assert got[0] == "2025-01-01T05:00:00+00:00"

@@ -28,6 +28,14 @@ def test_no_all_pairs_join_and_no_python(spark, name):
         assert word not in plan
 
 
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_only_bounded_rows_meet_in_one_task(spark, name):
+    """One task may end an aggregate of the whole table, never a window or sort."""
+    plan = planned(QUERIES[name](spark, SF))
+    for part in plan.split("Exchange SinglePartition")[1:]:
+        assert "Aggregate" in part.splitlines()[1] and "partial_" in part.splitlines()[1]
+
+
 def test_decoding_is_narrow_and_parses_once(spark):
     payloads = feeds.status_payloads(table(spark, SF, "events"))
     for df in (decode_status(payloads), status_rejects(payloads)):

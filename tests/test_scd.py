@@ -114,6 +114,22 @@ def test_same_day_flap_leaves_one_open_version(spark):
     assert rows(scd.scd_current(d), "station_id", "active_status") == [("1", True)]
 
 
+def test_merging_the_same_snapshot_again_only_touches(spark):
+    snap = snapshot(spark, ("1", "a"), ("2", "b"), ("4", "d"))
+    before = dim(
+        spark,
+        ("1", "a", False, DAY[0], None),
+        ("2", "b", True, DAY[0], None),
+        ("3", "c", True, DAY[0], None),
+        ("4", "d", True, DAY[0], DAY[1]),
+    )
+    once = run(before, snap, DAY[5], 6)
+    twice = run(once, snap, DAY[5], 7)
+    assert versions(twice) == versions(once)
+    touched = dt.datetime(2024, 5, 6, 7)
+    assert rows(scd.scd_current(twice), "last_updated") == [(touched,)] * 4
+
+
 def _model_merge(state, listed, day):
     """The merge rule station by station: state maps id -> [(active, start, end)]."""
     for station in set(state) | listed:
