@@ -11,6 +11,7 @@ from velotide.registry import feeds
 from velotide.registry.base import query, table
 from velotide.sources.feeds import read_station_info, station_rejects, station_rows
 from velotide.sources.files import scratch_dir
+from velotide.sources.tables import rebuild
 
 
 def _station_documents(spark, sf_dir):
@@ -151,8 +152,10 @@ def _scd2_stored(spark, sf_dir):
          AND (d.end_date IS NULL OR m.day < d.end_date)""",
 )
 def _scd_as_of(spark, sf_dir):
+    """The dimension is stored first: the lookup measures it and then reads it."""
     moves = feeds.trip_moves(table(spark, sf_dir, "lineitem")).drop("end_station")
-    return scd.scd_as_of(moves, _merged(spark, sf_dir), "day", key="start_station")
+    dim = rebuild(_merged(spark, sf_dir), scratch_dir(spark, "dim_stations"))
+    return scd.scd_as_of(moves, dim, "day", key="start_station")
 
 
 @query(

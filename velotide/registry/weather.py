@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from velotide.plans import weather
 from velotide.registry import feeds
 from velotide.registry.base import query, rounded, table
+from velotide.sources import tables
 from velotide.sources.feeds import weather_rows
+from velotide.sources.files import scratch_dir
 
 _STEPS = 6
 
@@ -50,8 +52,16 @@ def _weather_rows(spark, sf_dir):
 
 
 def _trips_and_weather(spark, sf_dir):
+    """Trips, and the weather as staged by an appending load.
+
+    Staging it also keeps the plans apart: on the bare stand-in, Spark would
+    evaluate the weather's join key for every event it is made from.
+    """
     events = table(spark, sf_dir, "events")
-    return feeds.trip_starts(events), feeds.weather_staging(events)
+    staged = tables.load_table(
+        feeds.weather_staging(events), scratch_dir(spark, "weather"), "weather", tables.APPEND
+    )
+    return feeds.trip_starts(events), spark.read.parquet(staged)
 
 
 @query(
