@@ -227,3 +227,31 @@ def test_expiry_at_seven_days(spark):
     assert files.subdirectories(spark, base) == [
         "other", "stations_info_2024-01-24", "stations_info_2024-01-30",
     ]
+
+
+# -- scratch folders -----------------------------------------------------------
+
+
+class FakeSession:
+    """As much of a session as scratch_dir asks for."""
+
+    def __init__(self, master, shared=None):
+        self.conf = {"spark.checkpoint.dir": shared}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": f"app-{master}"})
+
+
+def test_scratch_lies_in_the_shared_folder():
+    session = FakeSession("spark://host:7077", "hdfs://nn/shared/")
+    first, second = files.scratch_dir(session, "x"), files.scratch_dir(session, "x")
+    assert first.startswith("hdfs://nn/shared/velotide/x-") and first != second
+
+
+def test_a_cluster_without_shared_folder_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        files.scratch_dir(FakeSession("spark://host:7077"), "x")
+
+
+def test_a_local_session_gets_one_folder_of_its_own():
+    session = FakeSession("local[2]")
+    first, second = files.scratch_dir(session, "a"), files.scratch_dir(session, "b")
+    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]

@@ -102,7 +102,28 @@ def test_commands(spark):
 
     run(spark, ["status", "--base", base, "--run-date", "2024-01-01"])  # nothing streamed yet
     assert warehouse.read_status(spark, base).count() == 0
-    with pytest.raises(Exception, match="kafka"):
-        run(spark, ["stream", "--base", base, "--servers", "host:9092", "--topic", "t"])
+    for job in ("land", "stream"):
+        with pytest.raises(Exception, match="kafka"):
+            run(spark, [job, "--base", base, "--servers", "host:9092", "--topic", "t"])
     with pytest.raises(SystemExit):
         run(spark, ["status", "--base", base])
+
+
+def test_endless_jobs_start_their_sink(spark, monkeypatch):
+    """With a file stream in place of the topic, and one pass in place of no end."""
+    base = files.scratch_dir(spark, "warehouse")
+    text = '{"data": {"stations": [{"station_id": "hub_1", "last_reported": 1735689600}]}}'
+    spark.createDataFrame([(text.encode(),)], "value binary").withColumn(
+        "ingest_ts", F.current_timestamp()
+    ).write.parquet(f"{base}/topic")
+    stream = spark.readStream.schema("value binary, ingest_ts timestamp").parquet(f"{base}/topic")
+    monkeypatch.setattr(ingest, "read_status_stream", lambda *_: stream)
+    for name in ("land_raw", "append_status"):
+        sink = getattr(ingest, name)
+        monkeypatch.setattr(ingest, name, lambda p, path, check, _, sink=sink: sink(p, path, check))
+    arguments = ["--base", base, "--servers", "host:9092", "--topic", "t"]
+    run(spark, ["land", *arguments])
+    run(spark, ["stream", *arguments])
+    assert spark.read.parquet(f"{base}/{warehouse.STATUS_RAW}").count() == 1
+    staged = ingest.read_status_table(spark, f"{base}/{warehouse.STATUS_STAGING}")
+    assert rows(staged, "station_id") == [("1",)]

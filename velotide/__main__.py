@@ -1,6 +1,7 @@
 """The jobs as commands, one run each, for any scheduler:
 
-    python -m velotide stream   --servers host:9092 --topic stations_status --base BASE
+    python -m velotide land     --base BASE --servers host:9092 --topic stations_status
+    python -m velotide stream   --base BASE --servers host:9092 --topic stations_status
     python -m velotide status   --base BASE --run-date 2024-01-30
     python -m velotide stations --base BASE --run-date 2024-01-30 --documents PATH
     python -m velotide weather  --base BASE --run-date 2024-01-30 --reports PATH
@@ -29,10 +30,12 @@ def _parser() -> argparse.ArgumentParser:
         added.add_argument("--base", required=True, help="folder of all tables")
         return added
 
+    land = job("land", "store the payloads of the status topic as they come, without end")
     stream = job("stream", "decode the status topic into the staging table, without end")
-    stream.add_argument("--servers", required=True)
-    stream.add_argument("--topic", required=True)
-    stream.add_argument("--min-partitions", help="read few topic partitions in parallel")
+    for endless in (land, stream):
+        endless.add_argument("--servers", required=True)
+        endless.add_argument("--topic", required=True)
+        endless.add_argument("--min-partitions", help="read few topic partitions in parallel")
 
     status = job("status", "bring the streamed readings into the status fact")
     status.add_argument("--days", type=int, default=1)
@@ -52,12 +55,16 @@ def _parser() -> argparse.ArgumentParser:
 
 def run(spark: SparkSession, argv: list[str]) -> None:
     args = _parser().parse_args(argv)
-    if args.job == "stream":
+    if args.job in ("land", "stream"):
         options = {"minPartitions": args.min_partitions} if args.min_partitions else {}
         payloads = ingest.read_status_stream(spark, args.servers, args.topic, options)
-        table = f"{args.base}/{warehouse.STATUS_STAGING}"
+        sink, name = {
+            "land": (ingest.land_raw, warehouse.STATUS_RAW),
+            "stream": (ingest.append_status, warehouse.STATUS_STAGING),
+        }[args.job]
+        checkpoint = f"{args.base}/checkpoints/{name}"
         trigger = {"processingTime": "0 seconds"}
-        ingest.append_status(payloads, table, f"{table}_checkpoint", trigger).awaitTermination()
+        sink(payloads, f"{args.base}/{name}", checkpoint, trigger).awaitTermination()
     elif args.job == "status":
         warehouse.load_status(spark, args.base, args.run_date, args.days)
     elif args.job == "stations":

@@ -111,6 +111,7 @@ def load_status_increment(
 
     Running it again for the same day, after success or after a failure half way
     through the append, finds the rows already there and adds only the rest.
+    Two runs must not overlap in time: neither would see the other's rows.
     """
     spark = staging.sparkSession
     fact = read_status_fact(spark, path, clock.window(run_date, days))

@@ -20,6 +20,7 @@ from velotide.streaming.ingest import read_status_table
 TRIPS = "fct_trip_data"
 STATIONS = "dim_stations_scd"
 STATUS_FACT = "fct_stations_status"
+STATUS_RAW = "raw_stations_status"
 STATUS_STAGING = tables.table_name("stations_status")
 
 
