@@ -1,5 +1,7 @@
 import datetime as dt
+import glob
 
+import pyarrow.parquet as parquet
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -118,5 +120,13 @@ def test_a_run_reads_only_the_folders_of_its_window(spark):
     assert new.count() == 0
 
     dates = (dt.date(2024, 1, 14), dt.date(2024, 1, 15))
+    # Stored instants carry their range, by which a filter skips row groups.
+    file = glob.glob(f"{path}/est_date=2024-01-15/*.parquet")[0]
+    group = parquet.ParquetFile(file).metadata.row_group(0)
+    instant = next(c for c in map(group.column, range(8)) if c.path_in_schema == "utc_timestamp")
+    assert instant.statistics.min == instant.statistics.max == dt.datetime(
+        2024, 1, 15, 12, tzinfo=dt.timezone.utc
+    )
+
     files_read = merge.read_status_fact(spark, path, dates).inputFiles()
     assert {f.split("est_date=")[1][:10] for f in files_read} == {"2024-01-14", "2024-01-15"}

@@ -13,10 +13,12 @@ RESULT_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
 }
 
-# Plans depend on these: runtime re-planning, splitting of hot join partitions
+# Speed depends on these: runtime re-planning, splitting of hot join partitions
 # (also where the join feeds an aggregate on the same key) and of hot output
-# partitions.
+# partitions.  The default form of stored instants, INT96, carries no minimum and
+# maximum, so that filters on them could skip nothing.
 PLAN_SETTINGS = {
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
