@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: the wall-clock zone of the network.
 LOCAL_ZONE = "America/New_York"
 
 # No zone is further than 14 hours from UTC, so one day covers every offset.

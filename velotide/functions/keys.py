@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed values of the two rules.
+DIGITS = r"(\d+)"
+SUFFIX_LENGTH = 4
+
 
 def station_key_digits(station_id: Column) -> Column:
     """First run of digits; '' where there is none, NULL for NULL."""
-    return F.regexp_extract(station_id, r"(\d+)", 0)
+    return F.regexp_extract(station_id, DIGITS, 0)
 
 
 def station_key_suffix(station_id: Column) -> Column:
     """Last four characters; a shorter text comes back whole."""
-    return F.substring(station_id, -4, 4)
+    return F.substring(station_id, -SUFFIX_LENGTH, SUFFIX_LENGTH)

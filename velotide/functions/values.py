@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed values of the trip feed.
+ROUND_TRIP = "Round Trip"
+OLD_CLASSIC = "standard"
+CLASSIC = "classic"
+
 
 def flag(number: Column) -> Column:
     """0/1 integer to boolean; NULL stays NULL."""
@@ -21,9 +26,9 @@ def whole_number(number: Column) -> Column:
 
 
 def is_round_trip(category: Column) -> Column:
-    return category == "Round Trip"
+    return category == ROUND_TRIP
 
 
 def bike_kind(bike_type: Column) -> Column:
-    """'standard' is an old name of 'classic'; all else, NULL too, passes."""
-    return F.when(bike_type == "standard", "classic").otherwise(bike_type)
+    """The old name becomes the new one; all else, NULL too, passes."""
+    return F.when(bike_type == OLD_CLASSIC, CLASSIC).otherwise(bike_type)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from velotide.sources import files
 
+# The dispositions.
 TRUNCATE = "WRITE_TRUNCATE"
 APPEND = "WRITE_APPEND"
 EMPTY = "WRITE_EMPTY"
