@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from velotide.llm import bpe, rules, shards, urls
+from velotide.llm import bpe, rules, secrets, shards, urls
 from velotide.session import prepare
 
 QUERIES, ORACLE = {}, {}
@@ -69,6 +69,57 @@ SELECT page_id, host, path, rule,
 FROM parts LEFT JOIN fitting USING (n) LEFT JOIN listed USING (n)
 """
 
+ASSIGN = (
+    r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]"
+    r"|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"'']?\x20*[:=]\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+)
+
+
+def _kind_sql(order: int, name: str, pattern: str, group: int) -> str:
+    return f"""
+  SELECT n, doc_id, source, {order} AS ord, '{name}' AS kind, i, gaps, wholes, values[i] AS value
+  FROM (SELECT *, regexp_split_to_array(text, '{pattern}') AS gaps,
+          regexp_extract_all(text, '{pattern}') AS wholes,
+          regexp_extract_all(text, '{pattern}', {group}) AS values FROM docs), range(1, len(wholes) + 1) r(i)"""
+
+
+SECRETS_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS n, doc_id, source, coalesce(text, '') AS text FROM documents),
+matches AS ({
+    " UNION ALL ".join(
+        _kind_sql(*k)
+        for k in [
+            (0, "assign", ASSIGN, 2),
+            (1, "access", "AKIA[A-Z0-9]+", 0),
+            (2, "hex", "[0-9a-f]+", 0),
+            (3, "opaque", "[A-Za-z0-9+/_-]+", 0),
+        ]
+    )
+}),
+placed AS (SELECT n, doc_id, source, ord, kind, value,
+    (list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+      + coalesce(list_sum(list_transform(wholes[1:i - 1], lambda x: length(x))), 0))::BIGINT AS start,
+    length(wholes[i]) AS size,
+    regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AS mixed
+  FROM matches
+  WHERE length(value) >= [6, 20, 24, 24][ord + 1]),
+owned AS (SELECT value, count(DISTINCT coalesce('=' || source, '-')) AS n_owners
+  FROM placed WHERE ord < 3 OR mixed GROUP BY value),
+judged AS (SELECT *, mixed AND n_owners <= 2 AS live FROM placed JOIN owned USING (value)
+  WHERE ord < 3 OR (mixed AND n_owners <= 2)),
+listed AS (SELECT n, count(*) FILTER (ord = 0) AS n_assign, count(*) FILTER (ord = 1) AS n_access,
+    count(*) FILTER (ord = 2) AS n_hex,
+    string_agg(kind || ':' || start || ':' || (start + size), ',' ORDER BY start, ord)
+      FILTER (ord < 3) AS base,
+    string_agg(kind || ':' || start || ':' || (start + size), ',' ORDER BY start, ord) AS spans,
+    count(*) FILTER (live) AS n_live, count(*) FILTER (n_owners > 2) AS n_example
+  FROM judged GROUP BY n)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM docs LEFT JOIN listed USING (n)
+"""
+
 SHARDS_SQL = f"""
 WITH RECURSIVE hashed AS (
   SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS bytes,
@@ -94,6 +145,11 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages")).drop("n_candidates")
 
 
+@query(SECRETS_SQL)
+def op6_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op8_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.verdicts(table(spark, sf_dir, "documents"))
