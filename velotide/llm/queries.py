@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from velotide.llm import bpe, rules, secrets, shards, urls
+from velotide.llm import bpe, near_dups, rules, secrets, shards, urls
 from velotide.session import prepare
 
 QUERIES, ORACLE = {}, {}
@@ -69,6 +69,24 @@ SELECT page_id, host, path, rule,
 FROM parts LEFT JOIN fitting USING (n) LEFT JOIN listed USING (n)
 """
 
+NEAR_DUPS_SQL = """
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents),
+sets AS (SELECT n, doc_id, CASE WHEN coalesce(len(words), 0) = 0 THEN []::VARCHAR[]
+    WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')))
+    END AS shingles FROM docs),
+held AS (SELECT n, len(shingles) AS size, unnest(shingles) AS shingle FROM sets),
+links AS (SELECT a.n AS u, b.n AS v FROM held a JOIN held b ON a.shingle = b.shingle AND a.n <> b.n
+  GROUP BY a.n, b.n, a.size, b.size HAVING 100 * count(*) >= 75 * (a.size + b.size - count(*))),
+reached(u, v) AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reached r JOIN links l ON l.u = r.v),
+least AS (SELECT u AS n, min(doc_id) AS low FROM reached JOIN sets ON sets.n = v GROUP BY u)
+SELECT doc_id, len(shingles) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
+  doc_id = least(doc_id, coalesce(low, doc_id)) AS kept
+FROM sets LEFT JOIN least USING (n)
+"""
+
 ASSIGN = (
     r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]"
     r"|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"'']?\x20*[:=]\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
@@ -145,6 +163,11 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages")).drop("n_candidates")
 
 
+@query(NEAR_DUPS_SQL)
+def op5_odd_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query(SECRETS_SQL)
 def op6_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
