@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from velotide.llm import bpe, near_dups, rules, secrets, shards, urls
-from velotide.session import prepare
+from velotide.llm import bpe, ctw, decontaminate, near_dups, neighbours, rules, secrets, shards, urls
+from velotide.llm.common import prepare
 
 QUERIES, ORACLE = {}, {}
 
@@ -163,6 +163,23 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages")).drop("n_candidates")
 
 
+@query()
+def op1_ctw_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return neighbours.classify(docs, labels)
+
+
+@query()
+def op4_cgk_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontaminate.contaminations(docs, benchmark)
+
+
 @query(NEAR_DUPS_SQL)
 def op5_odd_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
