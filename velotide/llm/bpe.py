@@ -29,7 +29,7 @@ from velotide.llm.common import raw, text_function
 #: Fixed value: the pre-tokenizer's pattern.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words remembered by one Python worker; beyond this it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Failing words of up to so many bytes are merged together, longer ones each with a queue.
 SHORT = 64
 #: Above any merge rank.
@@ -200,12 +200,12 @@ class Merges:
 
 
 class Encoder:
-    """Encodes batches of texts; remembers words and pairs it has seen."""
+    """Encodes batches of texts; remembers words it has seen."""
 
     def __init__(self, path: str):
         self.merges = Merges(path)
-        self.words: dict[str, list[int]] = {}
-        self.fits: dict[int, bool] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
+        self.ids = tuple(range(self.merges.size))  # one object for each id
         self.repaired = 0
         special = sorted(self.merges.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")")
@@ -226,11 +226,8 @@ class Encoder:
         keys, back = np.unique(
             flat[inside] * m.size + flat[inside + 1], return_inverse=True
         )
-        fits = np.array([self.fits.get(k, -1) for k in keys.tolist()], np.int8)
-        new = fits < 0
-        fits[new] = m.compatible(keys[new] // m.size, keys[new] % m.size)
-        self.fits.update(zip(keys[new].tolist(), fits[new].tolist(), strict=True))
-        good[of[inside[fits[back] == 0]]] = False
+        fits = m.compatible(keys // m.size, keys % m.size)
+        good[of[inside[~fits[back]]]] = False
         failed = np.flatnonzero(~good).tolist()
         short = [i for i in failed if len(raws[i]) <= SHORT]
         for i, ids in zip(short, m.exact_many([raws[i] for i in short]), strict=True):
@@ -239,13 +236,12 @@ class Encoder:
             if len(raws[i]) > SHORT:
                 guesses[i] = m.exact(raws[i])
         self.repaired += len(failed)
-        known.update(zip(words, guesses, strict=True))
+        shared = self.ids
+        known.update((w, tuple([shared[i] for i in g])) for w, g in zip(words, guesses, strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.words) > REMEMBERED:
             self.words.clear()
-        if len(self.fits) > 4 * REMEMBERED:
-            self.fits.clear()
         cut = []
         for text in texts:
             parts = self.special.split(text) if self.merges.special else [text]
@@ -277,11 +273,11 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def in_blocks(texts: list[str], size: int = 1 << 22):
-    """Runs of texts of about ``size`` characters."""
+def in_blocks(texts: list[bytes], size: int = 1 << 21) -> Iterator[list[str]]:
+    """Runs of texts of about ``size`` bytes."""
     block, n = [], 0
     for t in texts:
-        block.append(t)
+        block.append(t.decode("utf-8", "replace"))
         n += len(t)
         if n >= size:
             yield block
@@ -298,10 +294,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def ids(texts: list[bytes]) -> dict:
         own = encoder(path)
-        out = []
-        for block in in_blocks([t.decode("utf-8", "replace") for t in texts]):
-            out += own.encode(block)
-        return {"ids": out}
+        return {"ids": [x for block in in_blocks(texts) for x in own.encode(block)]}
 
     run = text_function("ids array<int>", ids)
     return docs.select(F.struct("*").alias("doc"), run(F.col("text")).alias("out")).select(
@@ -320,9 +313,26 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.withColumn("decoded", run.asNondeterministic()("ids"))
 
 
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """``decode(encode(docs))`` in one pass through Python."""
+
+    def both(texts: list[bytes]) -> dict:
+        own, ids, decoded = encoder(path), [], []
+        for block in in_blocks(texts):
+            new = own.encode(block)
+            ids += new
+            decoded += [own.decode(x.tolist()) for x in new]
+        return {"ids": ids, "decoded": decoded}
+
+    run = text_function("ids array<int>, decoded string", both)
+    return docs.select(F.struct("*").alias("doc"), run(F.col("text")).alias("out")).select(
+        "doc", "out.*"
+    )
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Per row doc_id, n_tokens, ids_sha256 and decoded_sha256."""
-    rows = decode(encode(docs.select("doc_id", "text"), path), path)
+    rows = round_trip(docs.select("doc_id", "text"), path)
     return rows.select(
         "doc.doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
