@@ -75,6 +75,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows, checkpointed; unlike stored ones they keep their partitioning."""
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(files.scratch_dir(spark, "checkpoints"))
+    return df.checkpoint()
+
+
 def partitions_for(spark: SparkSession, size: int, per_partition: int) -> int:
     """Shuffle partitions for ``size`` bytes, never fewer than the session's own number."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // per_partition + 1)

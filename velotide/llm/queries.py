@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from velotide.llm import bpe, ctw, decontaminate, near_dups, neighbours, rules, secrets, shards, urls
+from velotide.llm import bpe, ctw, decontaminate, near_dups, neighbours, repeats, rules, secrets, shards, urls
 from velotide.llm.common import prepare
 
 QUERIES, ORACLE = {}, {}
@@ -190,6 +190,11 @@ def op6_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op7_rlbwt_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op8_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.verdicts(table(spark, sf_dir, "documents"))
