@@ -76,11 +76,20 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows, checkpointed; unlike stored ones they keep their partitioning."""
-    spark = df.sparkSession
+    """The rows, checkpointed; unlike stored ones they keep their partitioning.
+
+    A plan that is still to be adapted has none to keep, so this job alone isn't.
+    """
+    spark, adaptive = df.sparkSession, "spark.sql.adaptive.enabled"
     if not spark.conf.get("spark.checkpoint.dir", None):
         spark.sparkContext.setCheckpointDir(files.scratch_dir(spark, "checkpoints"))
-    return df.checkpoint()
+    before = spark.conf.get(adaptive)
+    spark.conf.set(adaptive, "false")
+    try:
+        # The copy is planned under the setting, whenever the plan was built.
+        return df.select("*").checkpoint()
+    finally:
+        spark.conf.set(adaptive, before)
 
 
 def partitions_for(spark: SparkSession, size: int, per_partition: int) -> int:

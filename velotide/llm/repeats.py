@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velotide.llm.common import checkpointed, mix, partitions_for, raw, saved
+from velotide.llm.common import checkpointed, mix, partitions_for, raw, saved, text_bytes
 
 LENGTH, GRAM, SPAN = 400, 32, 41
 #: Grams of a window, less one: 9 blocks of SPAN windows share an anchor.
@@ -45,8 +45,8 @@ REACH = LENGTH - GRAM
 CHUNK, INDEX = 1 << 21, 1 << 20
 #: A core with more blocks is resolved by halving.
 MANY = 4096
-#: Compressed bytes of text in a partition.
-TEXT_BYTES = 64 << 20
+#: Bytes of text in a partition.
+TEXT_BYTES = 128 << 20
 
 _bytes = np.random.default_rng(77).integers(0, 2**63, 256, np.uint64)
 _odd = np.uint64(0x9E3779B97F4A7C15)
@@ -416,10 +416,9 @@ def repeated(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", packed(raw(F.col("text"))).alias("blob")
     )
-    rows = saved(rows, "repeat-texts")
-    size = rows.agg(F.sum(F.octet_length("blob"))).first()[0] or 0
-    # Dealt out by row once: the joins below find the texts in place.
-    rows = checkpointed(rows.repartition(partitions_for(spark, size, TEXT_BYTES), "row"))
+    # Numbered and dealt out by row once: the joins below find the texts in place.
+    n = partitions_for(spark, text_bytes(docs), TEXT_BYTES)
+    rows = checkpointed(rows.repartition(n, "row"))
     spans = find(rows.select("row", "blob")).groupBy("row").agg(
         F.collect_list(F.struct("begin", "end")).alias("found")
     )
