@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+#: Columns that clash with those the operators make.
+EXTRA = ", score double, ids string, doc string, spans string, row int, block int, kept boolean"
+
+
+def words(seed, n, alphabet="abcdefghij", longest=8):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(alphabet) for _ in range(rng.randint(2, longest))) for _ in range(n)]
+
+
+def text(seed, n):
+    return " ".join(words(seed, n))
+
+
+@pytest.fixture(scope="session")
+def odd_rows():
+    """NULLs in any column, empty and long texts, ties, repeated rows."""
+    long = text(1, 30_000)
+    near = text(2, 200)
+    return [
+        (1, None, "en", "a", None),
+        (2, "", "en", "a", 0),
+        (3, " \n\t ", None, None, 4),
+        (None, text(3, 60), "en", "b", 1),
+        (4, text(4, 60), None, "b", 1),
+        (4, text(4, 60), None, "b", 1),
+        (4, text(5, 60), "de", None, 1),
+        (5, long, "en", "a", len(long)),
+        (6, near, "en", "a", None),
+        (7, near.upper(), "en", "a", None),
+        (8, near + " more", "en", "b", None),
+        (9, "one", "en", "a", 3),
+        (10, "One", "en", "a", 3),
+        (11, "the the the the the the the the", "en", "a", 3),
+        (12, "é ß 日本 😀 \x00 | # $", "xx", "a", 3),
+        (13, 'password="hunter2hunter" é token: ab AKIA' + "A" * 20, "en", "a", 3),
+    ]
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark, odd_rows):
+    rows = [(*r, 0.5, "x", "y", "z", 7, 8, True) for r in odd_rows]
+    return spark.createDataFrame(rows, SCHEMA + EXTRA)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)

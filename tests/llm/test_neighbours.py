@@ -1,0 +1,70 @@
+"""Nearest-neighbour votes."""
+
+import numpy as np
+import pytest
+
+from velotide.llm import neighbours
+
+SF = "/root/testdata/sf0.1"
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    rows = neighbours.classify(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    assert len(rows) > 1000
+    right = [r["predicted"] == r["quality"] for r in rows]
+    clean = [r["predicted"] == 1 for r in rows if r["quality"] == 1]
+    junk = [r["predicted"] == 0 for r in rows if r["quality"] == 0]
+    assert np.mean(right) > 0.97
+    assert np.mean(clean) > 0.99
+    assert np.mean(junk) > 0.9
+
+
+def model(seed=0, n=60):
+    rng = np.random.default_rng(seed)
+    texts = [bytes(rng.choice(list(b"abc xyzXYZ!."), rng.integers(5, 200))) for _ in range(n)]
+    rows = np.stack([neighbours.counts(t) for t in texts])
+    return neighbours.Model(np.ones(neighbours.TRIGRAMS), rows, rng.integers(0, 2, n).astype(float)), texts
+
+
+def test_scores_are_weighted_votes_of_the_nearest():
+    m, texts = model()
+    for t in texts[:10] + [b"something else entirely"]:
+        v = neighbours.unit(neighbours.weigh(neighbours.counts(t)[None], m.idf) @ m.axes)[0]
+        near = m.vectors @ v
+        k = sorted(near)[-neighbours.NEIGHBOURS]
+        chosen = [(max(s, 0) ** neighbours.SHARPNESS, y) for s, y in zip(near, m.labels, strict=True) if s >= k]
+        want = sum(w * y for w, y in chosen) / sum(w for w, _ in chosen)
+        assert m.scores([t])[0] == pytest.approx(want, abs=1e-4)
+
+
+def test_blocks_change_nothing(monkeypatch):
+    m, texts = model()
+    whole = m.scores(texts)
+    monkeypatch.setattr(neighbours, "BLOCK", 7)
+    assert m.scores(texts) == pytest.approx(whole, abs=1e-5)
+
+
+def test_empty_texts_and_no_labels():
+    m, _ = model()
+    assert m.scores([b"", b"ab"])[0] == pytest.approx(m.prior)
+    none = neighbours.Model(np.ones(neighbours.TRIGRAMS), np.empty((0, neighbours.DIMS), np.float32), np.empty(0))
+    assert none.scores([b"", b"text"]).tolist() == [0.5, 0.5]
+
+
+def test_odd_rows(spark, odd_docs, odd_rows):
+    labels = spark.createDataFrame(
+        [(1, 1, 0), (2, 0, 0), (4, 0, 0), (4, 1, 0), (5, None, 0), (6, 7, 0), (None, 1, 0), (9, 1, None)],
+        "doc_id long, quality int, toxic int",
+    )
+    rows = neighbours.classify(odd_docs, labels).collect()
+    assert len(rows) == len(odd_rows)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
+    none = neighbours.classify(odd_docs, labels.limit(0)).collect()
+    assert {(r["score"], r["predicted"]) for r in none} == {(0.5, 1)}
+
+
+def test_learns_from_rows_not_held_out_only(spark):
+    docs = spark.range(60).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    labels = docs.selectExpr("doc_id", "if(crc32(cast(cast(doc_id AS string) AS binary)) % 3 = 1, 0, 1) AS quality")
+    assert {r["predicted"] for r in neighbours.classify(docs, labels).collect()} == {1}

@@ -1,0 +1,99 @@
+"""Weak supervision: figures against plain Python, estimates against planted rates."""
+
+import collections
+
+import numpy as np
+
+from velotide.llm import rules
+
+
+def figures(text):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+    blank = " \t\n\x0b\x0c\r"
+    words, word = [], ""
+    for c in (text or "") + " ":
+        if c in blank:
+            words += [word] * bool(word)
+            word = ""
+        else:
+            word += c
+    seen, copies = set(), 0
+    for line in (text or "").split("\n"):
+        if line.strip(blank):
+            copies += line in seen
+            seen.add(line)
+    windows = collections.Counter(zip(words, words[1:], words[2:], strict=False))
+    inside = set()
+    for i in range(len(words) - 2):
+        if windows[tuple(words[i : i + 3])] > 1:
+            inside |= {i, i + 1, i + 2}
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), copies, len(inside)
+
+
+TEXTS = [
+    "a b c a b c a b c d",
+    "a a a a",
+    "a a a",
+    "x\nx\n\n \n \nx \ny\nx",
+    "é\u00a0ß\u2003x # | <tag> $5 100%\x1fz",
+    "one two three four " * 30,
+    "\n".join(["same line here"] * 5),
+]
+
+
+def test_figures(spark, odd_docs, odd_rows):
+    rows = [(i, t) for i, t in enumerate(TEXTS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    for r in rules.verdicts(docs).collect():
+        want = figures(TEXTS[r["doc_id"]])
+        assert tuple(r[n] for n in names) == want
+        assert r["base_failed"] == (want[0] < 50 or 100 * want[4] > 50 * want[0])
+        assert not (r["base_failed"] and r["kept"])
+    got = sorted(repr((r["doc_id"], *(r[n] for n in names))) for r in rules.verdicts(odd_docs).collect())
+    assert got == sorted(repr((r[0], *figures(r[1]))) for r in odd_rows)
+
+
+def test_figures_of_the_corpus(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    for r in rules.verdicts(docs).collect():
+        assert tuple(r[n] for n in names) == figures(texts[r["doc_id"]])
+
+
+def test_em_recovers_planted_rates():
+    rng = np.random.default_rng(2)
+    n, prior = 40_000, 0.8
+    good = rng.random(n) < prior
+    right = np.array([0.95, 0.9, 0.8, 0.7, 0.9])
+    casts = np.array([0.9, 0.5, 0.8, 1.0, 0.6])
+    votes = np.where(rng.random((n, 5)) < right, good[:, None], ~good[:, None]).astype(int)
+    votes[rng.random((n, 5)) > casts] = -1
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    model = rules.fit(patterns, counts.astype(float))
+    assert abs(model["prior"] - prior) < 0.03
+    assert np.abs(model["rates"][1, :, 1] - right).max() < 0.04
+    assert np.abs(model["rates"][0, :, 0] - right).max() < 0.08
+    assert (model["posterior"] >= 0.0).all() and (model["posterior"] <= 1.0).all()
+
+
+def test_posterior_column_equals_the_fitted_posterior(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = rules.judge(docs)
+    quality, model = rules.posterior(rows)
+    votes = {n: v.alias(n) for n, v in rules.votes().items()}
+    for r in rows.select(*votes.values(), quality.alias("q")).distinct().collect():
+        log = np.log([1 - model["prior"], model["prior"]])
+        for k, n in enumerate(votes):
+            if r[n] >= 0:
+                log += np.log(model["rates"][:, k, r[n]])
+        assert abs(r["q"] - 1 / (1 + np.exp(log[0] - log[1]))) < 1e-9
+
+
+def test_agrees_with_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = rules.verdicts(docs).where("NOT base_failed").join(labels, "doc_id").collect()
+    assert np.mean([r["kept"] for r in rows if r["quality"] == 1]) > 0.97
+    assert np.mean([not r["kept"] for r in rows if r["quality"] == 0]) > 0.7
