@@ -6,10 +6,13 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from velotide.functions import clock
+from velotide.operators.dedup import dedup_keep_one
 from velotide.operators.reconcile import key_reconcile
 from velotide.operators.trips import trip_fact
 from velotide.plans import availability, demand, stations, weather
 from velotide.schemas import FACT_STATUS, TRIP_CSV
+from velotide.sources.feeds import weather_rows
 
 T = dt.datetime
 
@@ -145,3 +148,73 @@ def test_reconcile_counts_a_hot_key_before_the_shuffle(spark):
     hot = spark.range(100_000).select(F.lit("7").alias("station_id"))
     got = key_reconcile({"left": hot, "right": hot.filter("false")})
     assert rows(got) == [("7", 100_000, 0)]
+
+
+def test_unknown_weather_is_neither_rain_nor_snow(spark):
+    nan = float("nan")
+    reports = spark.createDataFrame(
+        [(1704085200, 1704092400, 3600, [5.0, nan], [50.0, nan], [0.0, nan], [0.0, nan], [1.0, nan])],
+        """start bigint, end bigint, interval_s int, temperature_2m array<float>,
+           relative_humidity_2m array<float>, rain array<float>, snowfall array<float>, cloud_cover array<float>""",
+    )
+    readings = weather_rows(reports)
+    assert readings.filter("isnan(temperature_2m) OR isnan(rain) OR isnan(snowfall)").count() == 0
+    trips = spark.createDataFrame([(T(2024, 1, 1, h),) for h in (0, 1, 1)], "start_time timestamp_ntz")
+    assert rows(weather.weather_demand(trips, readings)) == [(0, False, False, 1, 1.0), (None, None, None, 1, 2.0)]
+
+
+def test_correlation_passes_over_unknown_hours(spark):
+    known = [(f"2024-01-01T{h + 5:02d}:00:00+00:00", float(h), 0.0, 0.0) for h in range(4)]
+    gap = ("2024-01-01T09:00:00+00:00", None, None, None)
+    trips = spark.createDataFrame(
+        [(T(2024, 1, 1, h, m),) for h in range(5) for m in range(h + 1 if h < 4 else 40)], "start_time timestamp_ntz"
+    )
+    assert weather.weather_corr(trips, weather_frame(spark, *known, gap)).first()[0] == pytest.approx(1.0)
+
+
+def test_the_most_complete_and_latest_load_wins(spark):
+    loads = spark.createDataFrame(
+        [
+            ("2024-01-01T05:00:00+00:00", 9.0, 1.0, 0.0, "2024-01-01"),
+            ("2024-01-01T05:00:00+00:00", 3.0, 1.0, 0.0, "2024-01-02"),
+            ("2024-01-01T05:00:00+00:00", None, 1.0, 0.0, "2024-01-03"),
+            ("2024-01-01T06:00:00+00:00", None, None, None, "2024-01-03"),
+            ("2024-01-01T06:00:00+00:00", None, 2.0, None, "2024-01-01"),
+        ],
+        "date string, temperature_2m double, rain double, snowfall double, load_id string",
+    )
+    assert rows(weather.weather_by_local_hour(loads)) == [
+        (T(2024, 1, 1, 0), 3.0, 1.0, 0.0), (T(2024, 1, 1, 1), None, 2.0, None),
+    ]
+
+
+def test_hours_without_trips_count(spark):
+    readings = weather_frame(
+        spark, *[(f"2024-01-01T{h + 5:02d}:00:00+00:00", 12.0, 0.0, 0.0) for h in range(5)]
+    )
+    trips = spark.createDataFrame([(T(2024, 1, 1, h),) for h in (1, 1, 1, 1, 3)], "start_time timestamp_ntz")
+    # Hours 1 to 3; the first and the last hour lie outside the trips' span.
+    assert rows(weather.weather_demand(trips, readings)) == [(10, False, False, 3, pytest.approx(5 / 3))]
+
+
+def test_hours_that_one_side_lacks(spark):
+    trips = spark.createDataFrame([(T(2024, 1, 1, 8),)], "start_time timestamp_ntz")
+    readings = fact(spark, ("a", T(2024, 1, 1, 9), 4, 2))
+    assert rows(availability.demand_vs_availability(trips, readings)) == [(8, 1, None, None), (9, 0, 4.0, 2.0)]
+
+
+def test_a_full_reading_beats_a_broken_copy(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", 7, 2), ("a", 9, 0), ("b", None, None)], "k string, x int, y int")
+    assert rows(dedup_keep_one(df, ["k"])) == [("a", 7, 2), ("b", None, None)]
+
+
+@pytest.mark.parametrize("use", [
+    lambda df: clock.to_local(F.col("t")), lambda df: clock.iso_utc(F.col("t")),
+    lambda df: clock.near_window(df, "t", "2024-01-01"),
+])
+def test_another_session_zone_is_refused(spark, conf, use):
+    df = spark.createDataFrame([(T(2024, 1, 1),)], "t timestamp")
+    use(df)
+    conf(session__timeZone="America/New_York")
+    with pytest.raises(RuntimeError, match="New_York"):
+        use(df)

@@ -6,13 +6,14 @@ import pytest
 from conftest import final_plan, rows
 from pyspark.sql import functions as F
 
-from velotide import session
-from velotide.operators import dedup, scd, sizing, trips
+from velotide import schemas, session
+from velotide.operators import dedup, merge, scd, sizing, trips
 from velotide.operators.decode import decode_status, status_rejects
-from velotide.plans import availability, demand, stations
+from velotide.plans import availability, demand, stations, warehouse
 from velotide.registry import QUERIES, feeds
 from velotide.registry.base import table
 from velotide.schemas import DIM_STATIONS
+from velotide.sources import files, tables
 
 SF = "/root/testdata/sf0.01"
 
@@ -202,11 +203,36 @@ def test_hot_folder_is_split_when_written(spark, conf):
     assert spark.read.parquet(path).count() == 200_000
 
 
-def test_shuffles_are_sized_by_the_input(spark, conf, monkeypatch):
-    conf(adaptive__coalescePartitions__initialPartitionNum="8")
-    monkeypatch.setattr(session.files, "total_bytes", lambda spark, path: 10 * 1024**4)
-    assert session.size_shuffles(spark, "anything") == 50_000
+@pytest.mark.parametrize("size, partitions", [(100 * 1024**4, 3_276_801), (1024**4, 32_769), (1, 8)])
+def test_shuffles_are_sized_by_the_input(spark, monkeypatch, size, partitions):
+    monkeypatch.setattr(session.files, "total_bytes", lambda spark, path: size)
+    before = spark.conf.get(session.INITIAL_PARTITIONS, None)
+    with pytest.raises(KeyError), session.sized_shuffles(spark, "anything") as n:
+        assert n == partitions
+        assert spark.conf.get(session.INITIAL_PARTITIONS) == str(partitions)
+        raise KeyError
+    assert spark.conf.get(session.INITIAL_PARTITIONS, None) == before
+
+
+def test_daily_jobs_size_their_shuffles(spark, monkeypatch):
+    """While they write, and not after."""
+    seen = []
+    write = tables.write_partitioned
+
+    def spy(df, *rest):
+        seen.append(spark.conf.get(session.INITIAL_PARTITIONS, None))
+        write(df, *rest)
+
+    for module in (tables, merge):
+        monkeypatch.setattr(module, "write_partitioned", spy)
     monkeypatch.setattr(session.files, "total_bytes", lambda spark, path: 1024**4)
-    assert session.size_shuffles(spark, "anything") == 8193
-    monkeypatch.setattr(session.files, "total_bytes", lambda spark, path: 1)
-    assert session.size_shuffles(spark, "anything") == 8
+    base = files.scratch_dir(spark, "sized")
+    header = ",".join(c.split()[0] for c in schemas.TRIP_CSV.split(","))
+    line = "1,7,2024-01-02T08:05:00,2024-01-02T08:12:00,1,2,b1,30,Round Trip,Month,standard"
+    spark.createDataFrame([(f"{header}\n{line}",)], "value string").coalesce(1).write.text(f"{base}/csv")
+    warehouse.load_trips(spark, f"{base}/csv", base)
+    staged = spark.createDataFrame([], schemas.STATUS_TABLE).drop("utc_date")
+    staged.write.parquet(f"{base}/{warehouse.STATUS_STAGING}/utc_date=2024-01-30/query=q/batch=0")
+    warehouse.load_status(spark, base, "2024-01-30")
+    assert seen == ["32769", "32769"]
+    assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None

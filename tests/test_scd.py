@@ -149,9 +149,15 @@ def test_random_histories(spark, seed):
     for n, day in enumerate(sorted(rng.choices(DAY, k=7))):
         listed = {str(s) for s in range(12) if rng.random() < 0.6}
         _model_merge(state, listed, day)
+        if rng.random() < 0.4:  # first with another list, then again with the right one
+            wrong = [(str(s), "w") for s in range(12) if rng.random() < 0.5]
+            scd.apply_snapshot(snapshot(spark, *wrong), path, day, f"{day} {n + 1:02d}:00:00")
         scd.apply_snapshot(
             snapshot(spark, *[(s, "n" + s) for s in listed]), path, day, f"{day} {n + 1:02d}:00:00"
         )
+        if n:
+            with pytest.raises(scd.LateRunError):
+                scd.apply_snapshot(snapshot(spark), path, day, f"{DAY[0]} 00:00:00")
     stored = scd.read_stations(spark, path)
     want = [(s, *v) for s, history in state.items() for v in history]
     assert rows(stored, "station_id", "active_status", "start_date", "end_date") == sorted(want, key=repr)
@@ -172,12 +178,53 @@ def test_running_a_run_again_changes_nothing(spark):
         ]
 
 
-def test_an_unfinished_run_is_not_read(spark):
+def test_an_unfinished_run_is_not_read(spark, monkeypatch):
     path = files.scratch_dir(spark, "dim")
     scd.apply_snapshot(snapshot(spark, ("1", "a")), path, DAY[0], f"{DAY[0]} 06:00:00")
     scd.apply_snapshot(snapshot(spark), path, DAY[1], f"{DAY[1]} 06:00:00")
-    files.delete(spark, f"{path}/run=20240502T060000/_SUCCESS")
-    assert versions(scd.read_stations(spark, path)) == [("1", "a", True, DAY[0], None)]
+    # As if the third run had died before it moved the pointer.
+    monkeypatch.setattr(scd.versions, "point", lambda *_: None)
+    scd.apply_snapshot(snapshot(spark, ("1", "a")), path, DAY[2], f"{DAY[2]} 06:00:00")
+    monkeypatch.undo()
+    after_two = [("1", "a", False, DAY[1], None), ("1", "a", True, DAY[0], DAY[1])]
+    assert versions(scd.read_stations(spark, path)) == after_two
+    scd.apply_snapshot(snapshot(spark), path, DAY[3], f"{DAY[3]} 06:00:00")
+    assert versions(scd.read_stations(spark, path)) == after_two
+
+
+def test_a_late_run_is_refused(spark):
+    path = files.scratch_dir(spark, "dim")
+    for day, listed in ((DAY[0], [("1", "a")]), (DAY[2], [])):
+        scd.apply_snapshot(snapshot(spark, *listed), path, day, f"{day} 06:00:00")
+    before = versions(scd.read_stations(spark, path))
+    with pytest.raises(scd.LateRunError):
+        scd.apply_snapshot(snapshot(spark, ("1", "a")), path, DAY[1], f"{DAY[1]} 06:00:00")
+    assert versions(scd.read_stations(spark, path)) == before
+
+
+def test_run_times_are_instants(spark):
+    path = files.scratch_dir(spark, "dim")
+    scd.apply_snapshot(snapshot(spark, ("1", "a")), path, DAY[0], f"{DAY[0]}T06:00:00+00:00")
+    # 05:00 in a zone two hours ahead is 03:00 UTC: late, though its text is not.
+    with pytest.raises(scd.LateRunError):
+        scd.apply_snapshot(snapshot(spark), path, DAY[0], f"{DAY[0]}T07:00:00+02:00")
+    scd.apply_snapshot(snapshot(spark, ("1", "a")), path, DAY[0], f"{DAY[0]}T09:00:00+02:00")
+    assert rows(scd.read_stations(spark, path), "last_updated") == [(dt.datetime(2024, 5, 1, 7),)]
+
+
+def test_storage_does_not_grow_with_runs(spark, monkeypatch):
+    monkeypatch.setattr(scd, "CLOSED_FOLDERS", 3)
+    path, folders = files.scratch_dir(spark, "dim"), []
+    for n in range(10):
+        listed = [("1", "a")] + ([("2", "b")] if n % 2 else [])
+        scd.apply_snapshot(snapshot(spark, *listed), path, DAY[n], f"{DAY[n]} 06:00:00")
+        folders.append(len(files.subdirectories(spark, path)))
+    assert max(folders) <= 2 * (scd.CLOSED_FOLDERS + 2)
+    got = versions(scd.read_stations(spark, path))
+    assert [v for v in got if v[0] == "1"] == [("1", "a", True, DAY[0], None)]
+    assert len([v for v in got if v[0] == "2"]) == 9
+    stored = scd.versions.state(spark, path)
+    assert spark.read.parquet(f"{path}/{stored['open']}").count() == 2
 
 
 def test_duplicate_station_is_named(spark):

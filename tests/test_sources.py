@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from velotide.sources import feeds, files, snapshots, tables
+from velotide.sources import feeds, files, snapshots, tables, versions
 
 # -- station info --------------------------------------------------------------
 
@@ -139,7 +139,7 @@ def numbers(spark, *values):
 
 
 def stored(spark, path):
-    return sorted(r["v"] for r in spark.read.parquet(path).collect())
+    return sorted(r["v"] for r in versions.read(spark, path).collect())
 
 
 def test_dispositions(spark):
@@ -171,11 +171,39 @@ def test_a_failing_load_raises(spark):
         tables.load(bad, files.scratch_dir(spark, "load"))
 
 
+@pytest.mark.parametrize("replace", [tables.load, tables.rebuild])
+def test_a_load_that_fails_half_way_leaves_the_old_rows(spark, replace):
+    path = files.scratch_dir(spark, "load")
+    tables.load(numbers(spark, 1, 2, 3), path)
+    late = spark.range(1000, numPartitions=4).select(
+        F.when(F.col("id") == 999, F.raise_error(F.lit("broken"))).otherwise(F.col("id").cast("int")).alias("v")
+    )
+    for _ in range(2):
+        with pytest.raises(PySparkException):
+            replace(late, path)
+        assert stored(spark, path) == [1, 2, 3]
+    replace(numbers(spark, 4), path)
+    assert stored(spark, path) == [4]
+
+
+def test_replaced_states_are_dropped_but_the_last(spark):
+    path = files.scratch_dir(spark, "load")
+    for n in range(5):
+        tables.load(numbers(spark, n), path)
+    assert stored(spark, path) == [4]
+    assert len(files.subdirectories(spark, path)) == 2
+
+
+def test_unread_table(spark):
+    with pytest.raises(FileNotFoundError):
+        versions.read(spark, files.scratch_dir(spark, "load"))
+
+
 def test_partitioned_load_holds_all_rows(spark):
     path = files.scratch_dir(spark, "load")
     df = spark.range(1000).select(F.col("id").alias("v"), F.when(F.col("id") < 900, 1).otherwise(2).alias("p"))
     tables.load(df, path, partition_by=["p"])
-    assert files.subdirectories(spark, path) == ["p=1", "p=2"]
+    assert files.subdirectories(spark, versions.current(spark, path)) == ["p=1", "p=2"]
     assert stored(spark, path) == list(range(1000))
 
 

@@ -119,7 +119,7 @@ def test_landed_payloads_replay_to_the_same_rows(spark):
     for _ in range(2):
         ingest.land_raw(stream(spark, source), landing, checkpoint + "-raw").awaitTermination()
     landed = spark.read.parquet(landing)
-    assert landed.columns == ["value", "ingest_ts", "ingest_date"]
+    assert landed.columns == ["value", "ingest_ts", "ingest_date", "query", "batch"]
     assert landed.count() == 2
     replay = ingest.replay_raw(spark, landing, max_files_per_trigger=1)
     ingest.append_status(replay, target, checkpoint).awaitTermination()
@@ -150,3 +150,64 @@ def test_kafka_is_asked_for(spark):
     """The connector is not part of this image, so only the request is seen."""
     with pytest.raises(Exception, match="kafka"):
         ingest.read_status_stream(spark, "host:9092", "status")
+
+
+def data_files(spark, folder):
+    return len(spark.read.parquet(folder).inputFiles())
+
+
+def many_dates(spark, path, dates, per_date):
+    days = spark.range(dates * per_date, numPartitions=4).select(
+        (F.lit(DAY1) + (F.col("id") % dates) * 86400).alias("e")
+    )
+    text = F.format_string('{"data": {"stations": [{"station_id": "hub_1", "last_reported": %d}]}}', "e")
+    days.select(text.cast("binary").alias("value"), F.timestamp_seconds("e").alias("ingest_ts")).write.parquet(path)
+
+
+def test_a_batch_writes_one_file_per_date(spark):
+    source, target, checkpoint = paths(spark)
+    many_dates(spark, source, 30, 40)
+    ingest.append_status(stream(spark, source, 100), target, checkpoint).awaitTermination()
+    ingest.land_raw(stream(spark, source, 100), target + "-raw", checkpoint + "-raw").awaitTermination()
+    assert data_files(spark, target) == 30
+    assert data_files(spark, target + "-raw") == 30
+    assert ingest.read_status_table(spark, target).count() == 1200
+
+
+def test_closed_dates_are_compacted(spark):
+    source, target, checkpoint = paths(spark)
+    for epoch in (DAY1, DAY1 + 60, DAY1 + 120, DAY2, DAY2 + 60):
+        feed(spark, source, epoch)
+    append(spark, source, target, checkpoint)
+    before = readings(spark, target)
+    first, second = (f"{target}/utc_date=2025-01-0{n}" for n in (1, 2))
+    assert data_files(spark, first) == 3
+    assert ingest.compact(spark, target, "utc_date", dt.date(2025, 1, 2)) == ["utc_date=2025-01-01"]
+    assert (data_files(spark, first), data_files(spark, second)) == (1, 2)
+    assert readings(spark, target) == before
+    assert ingest.compact(spark, target, "utc_date", dt.date(2025, 1, 2)) == []
+    # The stream goes on, also for a date that was closed.
+    feed(spark, source, DAY1 + 180)
+    append(spark, source, target, checkpoint)
+    assert len(readings(spark, target)) == len(before) + 2
+    assert ingest.compact(spark, target, "utc_date", dt.date(2025, 1, 2)) == ["utc_date=2025-01-01"]
+    assert len(readings(spark, target)) == len(before) + 2
+
+
+def test_a_compaction_that_was_cut_off_is_finished(spark, monkeypatch):
+    source, target, checkpoint = paths(spark)
+    feed(spark, source, DAY1)
+    feed(spark, source, DAY1 + 60)
+    append(spark, source, target, checkpoint)
+    before = readings(spark, target)
+    move = files.move
+
+    def broken(*_):
+        raise OSError("cut off")
+
+    monkeypatch.setattr(files, "move", broken)
+    with pytest.raises(OSError):
+        ingest.compact(spark, target, "utc_date", dt.date(2025, 1, 2))
+    monkeypatch.setattr(files, "move", move)
+    assert ingest.compact(spark, target, "utc_date", dt.date(2025, 1, 2)) == ["utc_date=2025-01-01"]
+    assert readings(spark, target) == before

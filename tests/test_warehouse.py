@@ -7,9 +7,11 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from velotide.__main__ import run
+from velotide.operators.dedup import DuplicateKeyError
 from velotide.operators.merge import status_new_rows
 from velotide.plans import warehouse
-from velotide.sources import files
+from velotide.sources import files, tables
+from velotide.sources.feeds import StationDocumentError
 from velotide.streaming import ingest
 
 
@@ -36,12 +38,73 @@ def test_stations_over_three_days(spark):
         (False, 2, 3), (True, 1, 2), (True, 3, None),
     ]
     assert got.filter("station_id = '3010'").count() == 1
-    assert spark.read.parquet(f"{base}/stg_stations").count() == 2
+    assert tables.read_table(spark, base, "stations_info").count() == 2
     assert files.subdirectories(spark, f"{base}/snapshots") == [
         "stations_info_2024-01-01", "stations_info_2024-01-02", "stations_info_2024-01-03",
     ]
 
 
+def broken_documents(spark, base, kind):
+    good = {"station_id": "net_3010", "name": "S", "lon": 1.0, "lat": 2.0, "_bcycle_station_type": "dock"}
+    text = {
+        "garbage": "<html>502 Bad Gateway</html>",
+        "cut off": '{"data": {"stations": [{"station_id": "net_3010",',
+        "no list": '{"data": {}}',
+        "missing field": json.dumps({"data": {"stations": [good]}}),
+        "twice": json.dumps({"data": {"stations": [{**good, "address": "x"}] * 2}}),
+    }[kind]
+    path = f"{base}/info/broken"
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    return path
+
+
+@pytest.mark.parametrize("kind", ["garbage", "cut off", "no list", "missing field", "twice"])
+def test_a_broken_station_day_changes_nothing_and_can_be_run_again(spark, kind):
+    base = files.scratch_dir(spark, "warehouse")
+    warehouse.load_stations(
+        spark, documents(spark, base, "2024-01-01", 3010, 3032), base, "2024-01-01", "2024-01-01 06:00:00"
+    )
+    before = rows(warehouse.read_dimension(spark, base))
+    with pytest.raises((StationDocumentError, DuplicateKeyError)):
+        warehouse.load_stations(
+            spark, broken_documents(spark, base, kind), base, "2024-01-02", "2024-01-02 06:00:00"
+        )
+    assert rows(warehouse.read_dimension(spark, base)) == before
+    assert tables.read_table(spark, base, "stations_info").count() == 2
+    assert files.subdirectories(spark, f"{base}/snapshots") == ["stations_info_2024-01-01"]
+
+    good = documents(spark, base, "2024-01-02", 3010)
+    warehouse.load_stations(spark, good, base, "2024-01-02", "2024-01-02 07:00:00")
+    got = warehouse.read_dimension(spark, base).filter("end_date IS NULL")
+    assert rows(got, "station_id", "active_status") == [("3010", True), ("3032", False)]
+    assert rows(tables.read_table(spark, base, "stations_info"), "station_id") == [("3010",)]
+    snapshot = spark.read.option("header", True).csv(f"{base}/snapshots/stations_info_2024-01-02")
+    assert rows(snapshot, "station_id") == [("3010",)]
+
+
+def test_no_document_is_no_snapshot(spark):
+    base = files.scratch_dir(spark, "warehouse")
+    spark.createDataFrame([], "value string").write.text(f"{base}/info")
+    with pytest.raises(StationDocumentError):
+        warehouse.load_stations(spark, f"{base}/info", base, "2024-01-02", "2024-01-02 06:00:00")
+
+
+def test_the_first_status_load_has_no_window(spark):
+    base = files.scratch_dir(spark, "warehouse")
+    first = 1735689600  # 2025-01-01
+    texts = [
+        (json.dumps({"data": {"stations": [{"station_id": "hub_1", "last_reported": first - d * 86400}]}}),)
+        for d in (0, 1, 200, 900)
+    ]
+    spark.createDataFrame(texts, "value string").write.parquet(f"{base}/in")
+    stream = spark.readStream.schema("value string").parquet(f"{base}/in")
+    ingest.append_status(stream, f"{base}/stations_status", f"{base}/checkpoint").awaitTermination()
+    run(spark, ["status", "--base", base, "--run-date", "2025-01-01", "--backfill"])
+    assert warehouse.read_status(spark, base).count() == 4
+    run(spark, ["status", "--base", base, "--run-date", "2025-01-01"])
+    assert warehouse.read_status(spark, base).count() == 4
+
+
 def test_weather_day_run_again(spark):
     base = files.scratch_dir(spark, "warehouse")
     start = 1735707600
@@ -54,7 +117,8 @@ def test_weather_day_run_again(spark):
         )
         warehouse.load_weather(reports, base, f"2025-01-0{day + 1}")
     got = warehouse.read_weather(spark, base)
-    assert got.columns == ["date", "temperature_2m", "relative_humidity_2m", "rain", "snowfall", "cloud_cover"]
+    series = ["temperature_2m", "relative_humidity_2m", "rain", "snowfall", "cloud_cover"]
+    assert got.columns == ["date", *series, "load_id"]
     assert got.dtypes[0] == ("date", "string")
     assert got.count() == 48 == got.select("date").distinct().count()
 
@@ -101,6 +165,7 @@ def test_commands(spark):
     ]
 
     run(spark, ["status", "--base", base, "--run-date", "2024-01-01"])  # nothing streamed yet
+    run(spark, ["compact", "--base", base, "--before", "2024-01-01"])
     assert warehouse.read_status(spark, base).count() == 0
     for job in ("land", "stream"):
         with pytest.raises(Exception, match="kafka"):

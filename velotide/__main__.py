@@ -13,6 +13,7 @@ A failing job exits with an error, so that the scheduler can run it again.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import SparkSession
 
@@ -36,9 +37,15 @@ def _parser() -> argparse.ArgumentParser:
         endless.add_argument("--servers", required=True)
         endless.add_argument("--topic", required=True)
         endless.add_argument("--min-partitions", help="read few topic partitions in parallel")
+        endless.add_argument("--seconds", type=int, default=60, help="time between batches")
+        endless.add_argument("--max-offsets", type=int, default=5_000_000, help="messages in a batch")
+
+    compact = job("compact", "merge the batches of closed dates, landed and decoded")
+    compact.add_argument("--before", required=True, help="first date that is left as it is")
 
     status = job("status", "bring the streamed readings into the status fact")
     status.add_argument("--days", type=int, default=1)
+    status.add_argument("--backfill", action="store_true", help="first load: all readings there are")
     stations = job("stations", "station documents to staging, snapshot and dimension")
     stations.add_argument("--documents", required=True)
     stations.add_argument("--run-ts", help="default: the run date at 00:00:00")
@@ -56,17 +63,23 @@ def _parser() -> argparse.ArgumentParser:
 def run(spark: SparkSession, argv: list[str]) -> None:
     args = _parser().parse_args(argv)
     if args.job in ("land", "stream"):
-        options = {"minPartitions": args.min_partitions} if args.min_partitions else {}
+        options = {"maxOffsetsPerTrigger": str(args.max_offsets)}
+        if args.min_partitions:
+            options["minPartitions"] = args.min_partitions
         payloads = ingest.read_status_stream(spark, args.servers, args.topic, options)
         sink, name = {
             "land": (ingest.land_raw, warehouse.STATUS_RAW),
             "stream": (ingest.append_status, warehouse.STATUS_STAGING),
         }[args.job]
         checkpoint = f"{args.base}/checkpoints/{name}"
-        trigger = {"processingTime": "0 seconds"}
+        trigger = {"processingTime": f"{args.seconds} seconds"}
         sink(payloads, f"{args.base}/{name}", checkpoint, trigger).awaitTermination()
     elif args.job == "status":
-        warehouse.load_status(spark, args.base, args.run_date, args.days)
+        warehouse.load_status(spark, args.base, args.run_date, None if args.backfill else args.days)
+    elif args.job == "compact":
+        before = dt.date.fromisoformat(args.before)
+        for name, date in ((warehouse.STATUS_RAW, "ingest_date"), (warehouse.STATUS_STAGING, "utc_date")):
+            ingest.compact(spark, f"{args.base}/{name}", date, before)
     elif args.job == "stations":
         run_ts = args.run_ts or f"{args.run_date} 00:00:00"
         warehouse.load_stations(spark, args.documents, args.base, args.run_date, run_ts)

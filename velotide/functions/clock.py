@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: the wall-clock zone of the network.
@@ -14,6 +14,22 @@ LOCAL_ZONE = "America/New_York"
 UTC_PAD_DAYS = 1
 
 
+# Names of the zone the session must be in.
+UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00", "UTC+00:00"}
+
+
+def require_utc() -> None:
+    """Raise unless the session's zone is UTC.
+
+    Instants are cut to dates, formatted and shifted by the session's zone.  In
+    another one the results would be wrong without an error.
+    """
+    spark = SparkSession.getActiveSession()
+    zone = spark.conf.get("spark.sql.session.timeZone") if spark else "UTC"
+    if zone not in UTC_NAMES:
+        raise RuntimeError(f"the session's zone is {zone}; velotide.session.prepare sets UTC")
+
+
 def as_date(value: dt.date | str) -> dt.date:
     if isinstance(value, dt.datetime):
         return value.date()
@@ -26,16 +42,18 @@ def epoch_to_utc(seconds: Column) -> Column:
 
 
 def to_local(instant: Column, zone: str = LOCAL_ZONE) -> Column:
-    """Instant to wall-clock time without zone.  Needs a UTC session.
+    """Instant to wall-clock time without zone.  Raises outside a UTC session.
 
     ``from_utc_timestamp`` looks its zone up once per task; ``convert_timezone``
     does so for every row and takes four times as long.
     """
+    require_utc()
     return F.from_utc_timestamp(instant, zone).cast("timestamp_ntz")
 
 
 def iso_utc(instant: Column) -> Column:
     """ISO-8601 text with a numeric offset (``+00:00``, never ``Z``)."""
+    require_utc()
     return F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ssxxx")
 
 
@@ -77,6 +95,7 @@ def near_window(
     exact predicate on the converted time cannot do.  With ``utc_date``, the name
     of a column that holds the instant's UTC date, it skips folders as well.
     """
+    require_utc()
     first, last = window(run_date, days, UTC_PAD_DAYS)
     after = last + dt.timedelta(days=1)
     near = (F.col(column) >= F.lit(first)) & (F.col(column) < F.lit(after))

@@ -16,6 +16,11 @@ def flag(number: Column) -> Column:
     return number == 1
 
 
+def number(value: Column) -> Column:
+    """As a double; NaN, which would count as a value, becomes NULL."""
+    return F.when(~F.isnan(value), value.cast("double"))
+
+
 def whole_number(number: Column) -> Column:
     """Truncate toward zero; NaN and values out of range become NULL.
 

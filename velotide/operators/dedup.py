@@ -15,14 +15,18 @@ class DuplicateKeyError(ValueError):
 def dedup_keep_one(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None
 ) -> DataFrame:
-    """Keep the first row per key, by default ordered by all other columns.
+    """Keep the first row per key.
 
-    The full order makes the survivor the same on every run.  Spark limits each
+    By default that is one with the fewest unknown (NULL) values, and of these
+    the least by all other columns: a full reading beats a broken copy of it, and
+    the survivor is the same on every run.  Spark limits each
     key to its first row before the shuffle as well as after it, so a key with
     very many copies does not travel whole.
     """
     if order is None:
-        order = [c for c in df.columns if c not in keys]
+        others = [c for c in df.columns if c not in keys]
+        known = [F.col(c).isNotNull().cast("int") for c in others]
+        order = [sum(known, F.lit(0)).desc(), *[F.col(c).asc_nulls_last() for c in others]]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*(order or keys)))
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 

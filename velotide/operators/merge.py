@@ -41,11 +41,15 @@ def status_fact_rows(staging: DataFrame, zone: str = clock.LOCAL_ZONE) -> DataFr
     ).select(*FACT_COLUMNS)
 
 
+def _once(staging: DataFrame) -> DataFrame:
+    return dedup_keep_one(staging.select(*STATUS_KEY, *schemas.MEASURES), STATUS_KEY)
+
+
 def status_new_rows(
     fact: DataFrame,
     staging: DataFrame,
     run_date: dt.date | str,
-    days: int = 1,
+    days: int | None = 1,
     zone: str = clock.LOCAL_ZONE,
 ) -> DataFrame:
     """What the run of ``run_date`` inserts into the status fact.
@@ -54,11 +58,14 @@ def status_new_rows(
     in the fact.  Both inputs are cut to the window first, by folder where they
     are stored by date (``utc_date``, ``est_date``), so a run reads a few days of
     each however long the history is.  Deduplication and merge share their key
-    and with it one shuffle of the staging rows.
+    and with it one shuffle of the staging rows.  ``days=None`` is a back-fill: it
+    has no window and takes all that is staged.
     """
+    if days is None:
+        return unmatched(fact, status_fact_rows(_once(staging), zone), STATUS_KEY)
     utc_date = "utc_date" if "utc_date" in staging.columns else None
     staged = clock.near_window(staging, "utc_timestamp", run_date, days, utc_date)
-    once = dedup_keep_one(staged.select(*STATUS_KEY, *schemas.MEASURES), STATUS_KEY)
+    once = _once(staged)
     # The window depends on the key alone, so Spark filters before deduplicating;
     # the wall-clock time itself is neither sorted nor shuffled.
     fresh = clock.in_window(status_fact_rows(once, zone), "est_datetime", run_date, days)
@@ -104,7 +111,7 @@ def load_status_increment(
     staging: DataFrame,
     path: str,
     run_date: dt.date | str,
-    days: int = 1,
+    days: int | None = 1,
     zone: str = clock.LOCAL_ZONE,
 ) -> None:
     """Append the new rows to the stored fact, partitioned by local date.
@@ -114,7 +121,8 @@ def load_status_increment(
     Two runs must not overlap in time: neither would see the other's rows.
     """
     spark = staging.sparkSession
-    fact = read_status_fact(spark, path, clock.window(run_date, days))
+    dates = None if days is None else clock.window(run_date, days)
+    fact = read_status_fact(spark, path, dates)
     new = status_new_rows(fact, staging, run_date, days, zone)
     dated = new.withColumn("est_date", F.to_date("est_datetime"))
     write_partitioned(dated, path, "append", ["est_date"])

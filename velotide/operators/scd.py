@@ -10,13 +10,12 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from velotide import schemas
 from velotide.functions import clock
 from velotide.operators.dedup import assert_unique
 from velotide.operators.sizing import BROADCAST_BYTES, broadcast_if_small
-from velotide.sources import files
+from velotide.sources import files, versions
 
 DIM_COLUMNS = schemas.DIM_STATIONS.fieldNames()
 
@@ -135,45 +134,37 @@ def scd_as_of(
 
 # -- the stored dimension ------------------------------------------------------
 #
-# Each run writes one folder: run=<run time>/is_current=<bool>/.  Its open part
-# replaces that of earlier runs; its closed part holds the versions this run
-# closed.  History is therefore never read or rewritten by a merge, no run
-# writes where it reads, and running a run again replaces its own folder.
+# open-<name> holds all open versions after a run, closed-<name> the versions a
+# run closed.  The pointer (``versions``) names the last finished run, its open
+# folder and the closed folders that belong to it, and the same for the run
+# before, from which the last one may be run again.  A run writes new folders
+# and then moves the pointer; what no run refers to any more is dropped.
 
-
-_STORED = T.StructType(
-    [
-        *schemas.DIM_STATIONS,
-        T.StructField("run", T.StringType()),
-        T.StructField("is_current", T.BooleanType()),
-    ]
-)
+# Closed folders are merged into one beyond this number, so that neither the
+# pointer nor a listing grows with the number of runs.
+CLOSED_FOLDERS = 16
 
 
-def _run_key(run_ts: str) -> str:
-    return dt.datetime.fromisoformat(run_ts).strftime("%Y%m%dT%H%M%S")
+class LateRunError(ValueError):
+    """A run is older than the last one merged."""
 
 
-def _finished_runs(spark: SparkSession, path: str) -> list[str]:
-    return [
-        name.removeprefix("run=")
-        for name in files.subdirectories(spark, path)
-        if name.startswith("run=") and files.is_complete(spark, f"{path}/{name}")
-    ]
+def _instant(run_ts: str) -> dt.datetime:
+    """The run time as an instant; without an offset it is UTC."""
+    at = dt.datetime.fromisoformat(run_ts)
+    return at.replace(tzinfo=dt.UTC) if at.tzinfo is None else at.astimezone(dt.UTC)
 
 
-def read_stations(spark: SparkSession, path: str, before: str | None = None) -> DataFrame:
-    """The stored dimension after its last finished run (``before`` a run key)."""
-    runs = [r for r in _finished_runs(spark, path) if before is None or r < before]
-    if not runs:
+def _versions_of(spark: SparkSession, path: str, state: dict | None) -> DataFrame:
+    folders = [] if state is None else [f"{path}/{n}" for n in (state["open"], *state["closed"])]
+    if not folders:
         return spark.createDataFrame([], schemas.DIM_STATIONS)
-    stored = (
-        spark.read.schema(_STORED)
-        .option("basePath", path)
-        .parquet(*[f"{path}/run={r}" for r in runs])
-    )
-    latest = (F.col("run") == runs[-1]) & F.col("is_current")
-    return stored.filter(latest | ~F.col("is_current")).select(*DIM_COLUMNS)
+    return spark.read.schema(schemas.DIM_STATIONS).parquet(*folders)
+
+
+def read_stations(spark: SparkSession, path: str) -> DataFrame:
+    """The stored dimension after its last finished run."""
+    return _versions_of(spark, path, versions.state(spark, path))
 
 
 def apply_snapshot(
@@ -181,17 +172,41 @@ def apply_snapshot(
 ) -> None:
     """Merge a snapshot into the stored dimension.
 
-    Raises, naming the stations, if the snapshot lists a station twice.
+    Runs go forward in time.  The last run may be run again, which replaces what
+    it did; an older one raises ``LateRunError``, as the runs after it were
+    merged without it.  Raises, naming the stations, if the snapshot lists a
+    station twice.
     """
     spark = snapshot.sparkSession
     assert_unique(snapshot, ["station_id"])
-    run = _run_key(run_ts)
-    dim = read_stations(spark, path, before=run)
-    (
-        scd2_changes(dim, snapshot, run_date, run_ts)
-        .withColumn("is_current", F.col("end_date").isNull())
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("is_current")
-        .parquet(f"{path}/run={run}")
-    )
+    at = _instant(run_ts)
+    last = versions.state(spark, path)
+    if last and at < dt.datetime.fromisoformat(last["run"]):
+        raise LateRunError(f"the run of {run_ts} comes after that of {last['run']}")
+    again = last is not None and at == dt.datetime.fromisoformat(last["run"])
+    before = last["before"] if again else last
+
+    name = versions.fresh_name()
+    new = {"run": at.isoformat(), "open": f"open-{name}", "closed": [f"closed-{name}"]}
+    dim = _versions_of(spark, path, before and {**before, "closed": []})
+    changed = scd2_changes(dim, snapshot, run_date, at.isoformat())
+    # Both folders come from one computation: a station's change opens and closes.
+    changed.withColumn("is_current", F.col("end_date").isNull()).write.partitionBy(
+        "is_current"
+    ).parquet(f"{path}/run-{name}")
+    for part, folder in (("true", new["open"]), ("false", new["closed"][0])):
+        source = f"{path}/run-{name}/is_current={part}"
+        if files.exists(spark, source):
+            files.move(spark, source, f"{path}/{folder}")
+        else:
+            spark.createDataFrame([], schemas.DIM_STATIONS).write.parquet(f"{path}/{folder}")
+
+    if before:
+        new["closed"] = [*before["closed"], *new["closed"]]
+        before = {**before, "before": None}
+    if len(new["closed"]) > CLOSED_FOLDERS:
+        closed = spark.read.schema(schemas.DIM_STATIONS).parquet(*[f"{path}/{c}" for c in new["closed"]])
+        closed.write.parquet(f"{path}/closed-all-{name}")
+        new["closed"] = [f"closed-all-{name}"]
+    kept = {f for s in (new, before) if s for f in (s["open"], *s["closed"])}
+    versions.point(spark, path, {**new, "before": before}, kept)

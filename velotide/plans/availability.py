@@ -44,5 +44,9 @@ def latest_status(staging: DataFrame) -> DataFrame:
 
 
 def demand_vs_availability(trips: DataFrame, fact: DataFrame) -> DataFrame:
-    """Trips beside mean bikes and docks, per local hour of day."""
-    return demand_by_hour(trips).join(availability_by_hour(fact), "hour")
+    """Trips beside mean bikes and docks, per local hour of day.
+
+    An hour without trips has 0 of them, one without readings unknown means.
+    """
+    both = demand_by_hour(trips).join(availability_by_hour(fact), "hour", "full_outer")
+    return both.withColumn("trips", F.coalesce("trips", F.lit(0)))

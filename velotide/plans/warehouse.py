@@ -1,6 +1,7 @@
 """The daily jobs: feeds into staging, staging into the star schema.
 
-All tables lie below one base path.  Every job may be run again for its day.
+All tables lie below one base path.  The last run of every job may be run again;
+the dimension refuses runs older than its last one (``LateRunError``).
 """
 
 from __future__ import annotations
@@ -11,10 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from velotide.functions.clock import UTC_PAD_DAYS, as_date, window
 from velotide.operators import scd
+from velotide.operators.dedup import assert_unique
 from velotide.operators.merge import load_status_increment, read_status_fact
 from velotide.operators.trips import trip_fact
-from velotide.sources import snapshots, tables
-from velotide.sources.feeds import read_station_info, read_trips, station_rows, weather_rows
+from velotide.session import sized_shuffles
+from velotide.sources import files, snapshots, tables, versions
+from velotide.sources.feeds import (
+    assert_complete,
+    read_station_documents,
+    read_trips,
+    station_entries,
+    station_rows,
+    weather_rows,
+)
 from velotide.streaming.ingest import read_status_table
 
 TRIPS = "fct_trip_data"
@@ -32,12 +42,20 @@ def load_stations(
     run_ts: str,
     whole_files: bool = True,
 ) -> None:
-    """Station documents into staging, the dated snapshot and the dimension."""
-    rows = station_rows(read_station_info(spark, documents, whole_files))
-    staging = tables.load_table(rows, base, "stations_info", tables.TRUNCATE)
-    staged = spark.read.schema(rows.schema).parquet(staging)
-    snapshots.snapshot_csv(staged, f"{base}/snapshots", run_date)
-    scd.apply_snapshot(staged, f"{base}/{STATIONS}", run_date, run_ts)
+    """Station documents into staging, the dimension and the dated snapshot.
+
+    Documents and keys are checked before anything is written.  The snapshot,
+    which is written once, comes last: a day that failed can be run again.
+    """
+    texts = read_station_documents(spark, documents, whole_files)
+    with sized_shuffles(spark, documents):
+        assert_complete(texts)
+        rows = station_rows(station_entries(texts))
+        assert_unique(rows, ["station_id"])
+        tables.load_table(rows, base, "stations_info", tables.TRUNCATE)
+        staged = tables.read_table(spark, base, "stations_info")
+        scd.apply_snapshot(staged, f"{base}/{STATIONS}", run_date, run_ts)
+        snapshots.snapshot_csv(staged, f"{base}/snapshots", run_date)
 
 
 def load_weather(reports: DataFrame, base: str, run_date: dt.date | str) -> None:
@@ -48,22 +66,33 @@ def load_weather(reports: DataFrame, base: str, run_date: dt.date | str) -> None
 
 def load_trips(spark: SparkSession, path: str, base: str, **options) -> None:
     """Rebuild the trip fact from all quarterly files."""
-    tables.rebuild(trip_fact(read_trips(spark, path, **options)), f"{base}/{TRIPS}")
+    with sized_shuffles(spark, path):
+        tables.rebuild(trip_fact(read_trips(spark, path, **options)), f"{base}/{TRIPS}")
 
 
-def load_status(spark: SparkSession, base: str, run_date: dt.date | str, days: int = 1) -> None:
-    """Bring the streamed readings of the window into the status fact."""
-    dates = window(run_date, days, UTC_PAD_DAYS)
-    staging = read_status_table(spark, f"{base}/{STATUS_STAGING}", dates)
-    load_status_increment(staging, f"{base}/{STATUS_FACT}", run_date, days)
+def load_status(
+    spark: SparkSession, base: str, run_date: dt.date | str, days: int | None = 1
+) -> None:
+    """Bring the streamed readings of the window into the status fact.
+
+    ``days=None`` is the first load: all readings there are, whatever their date.
+    """
+    dates = None if days is None else window(run_date, days, UTC_PAD_DAYS)
+    path = f"{base}/{STATUS_STAGING}"
+    staging = read_status_table(spark, path, dates)
+    # A window's folders are a part of the table; their names give its dates.
+    folders = [path] if dates is None else files.day_folders(spark, path, "utc_date", *dates)
+    with sized_shuffles(spark, *folders):
+        load_status_increment(staging, f"{base}/{STATUS_FACT}", run_date, days)
 
 
 def read_trip_fact(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/{TRIPS}")
+    return versions.read(spark, f"{base}/{TRIPS}")
 
 
 def read_weather(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/{tables.table_name('weather')}").drop("load_id")
+    """All loads of the weather, with their ``load_id``."""
+    return tables.read_table(spark, base, "weather")
 
 
 def read_dimension(spark: SparkSession, base: str) -> DataFrame:

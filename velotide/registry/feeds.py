@@ -301,16 +301,20 @@ STATIONS_SQL = f"""
         FROM supplier
         WHERE s_acctbal < 1000 OR (s_acctbal >= 3000 AND s_acctbal < 5000) OR s_acctbal >= 7000)"""
 
+# By case of where a station is found: in today's list, else in the dimension only.
 RECONCILED_SQL = f"""
     {STATIONS_SQL.strip()},
+    opened AS (SELECT * FROM dim WHERE end_date IS NULL),
+    listed AS (
+        SELECT n.* REPLACE (
+                   CASE WHEN n.lat IS NULL THEN o.lat ELSE n.lat END AS lat), o.start_date
+        FROM snapshot n LEFT JOIN opened o USING (station_id)),
+    gone AS (
+        SELECT * EXCLUDE (end_date, last_updated) REPLACE (FALSE AS active_status)
+        FROM opened WHERE station_id NOT IN (SELECT station_id FROM snapshot)),
     reconciled AS (
-        SELECT coalesce(o.station_id, s.station_id) AS station_id,
-               coalesce(s.name, o.name) AS name, coalesce(s.lon, o.lon) AS lon,
-               coalesce(s.lat, o.lat) AS lat, coalesce(s.station_type, o.station_type) AS station_type,
-               coalesce(s.address, o.address) AS address,
-               coalesce(s.active_status, FALSE) AS active_status, o.start_date AS start_date
-        FROM (SELECT * FROM dim WHERE end_date IS NULL) o
-        FULL OUTER JOIN snapshot s ON s.station_id = o.station_id)"""
+        SELECT * FROM listed
+        UNION ALL BY NAME SELECT * FROM gone)"""
 
 # The merge spelled out by case, in other words than the operator's single join.
 MERGED_SQL = f"""
@@ -341,7 +345,10 @@ MERGED_SQL = f"""
 def weather_staging(events: DataFrame) -> DataFrame:
     """Hourly weather in the staging shape, every row loaded twice.
 
-    Temperatures come from whole cents, so that no sum depends on its order.
+    The second load corrects the first, whose temperature is a degree too low.  It
+    lacks the temperature of some hours, which only the first load has, and
+    others lack it in both.  Temperatures come from whole cents, so that no sum
+    depends on its order.
     """
     cents = F.round(F.col("value") * 100).cast("bigint")
     hourly = events.groupBy(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("at")).agg(
@@ -350,15 +357,25 @@ def weather_staging(events: DataFrame) -> DataFrame:
         F.count_if(F.col("event_type") == "error").alias("errors"),
         F.count_if(F.col("event_type") == "signup").alias("signups"),
     )
+    right = F.floor(F.col("cents") / F.col("n"))
+    first = F.when(F.col("n") % 7 != 0, (right - 100) / 100)
+    second = F.when((F.col("n") % 7 != 0) & (F.col("n") % 5 != 0), right / 100)
     return hourly.select(
-        F.explode(F.array(F.lit(1), F.lit(2))).alias("load"),
+        "*", F.explode(F.array(F.lit("2024-01-01"), F.lit("2024-01-02"))).alias("load_id")
+    ).select(
+        "load_id",
         F.date_format("at", "yyyy-MM-dd'T'HH:mm:ssxxx").alias("date"),
-        (F.floor(F.col("cents") / F.col("n")) / 100).alias("temperature_2m"),
+        F.when(F.col("load_id") == "2024-01-01", first).otherwise(second).alias("temperature_2m"),
         F.col("n").cast("int").alias("relative_humidity_2m"),
         F.greatest(F.lit(0), F.col("errors") - 2).cast("double").alias("rain"),
         F.greatest(F.lit(0), F.col("signups") - 3).cast("double").alias("snowfall"),
         F.lit(50).alias("cloud_cover"),
-    ).drop("load")
+    )
+
+
+def quiet_trip_starts(events: DataFrame) -> DataFrame:
+    """The trips of one event type only: many hours have none."""
+    return trip_starts(events.filter(F.col("event_type") == "signup"))
 
 
 WEATHER_SQL = f"""
@@ -369,10 +386,17 @@ WEATHER_SQL = f"""
         FROM events GROUP BY 1),
     weather AS (
         SELECT date_trunc('hour', {LOCAL.format('instant')}) AS hour,
-               floor(CAST(cents AS DOUBLE) / n) / 100 AS temperature_2m,
+               CASE WHEN n % 7 = 0 THEN NULL
+                    WHEN n % 5 = 0 THEN (floor(CAST(cents AS DOUBLE) / n) - 100) / 100
+                    ELSE floor(CAST(cents AS DOUBLE) / n) / 100 END AS temperature_2m,
                CAST(greatest(0, errors - 2) AS DOUBLE) AS rain,
                CAST(greatest(0, signups - 3) AS DOUBLE) AS snowfall
         FROM hourly),
     demand AS (
-        SELECT date_trunc('hour', ts) AS hour, count(*) AS trips FROM events GROUP BY 1),
-    both_hours AS (SELECT * FROM demand JOIN weather USING (hour))"""
+        SELECT date_trunc('hour', ts) AS hour, count(*) AS n_trips
+        FROM events WHERE event_type = 'signup' GROUP BY 1),
+    both_hours AS (
+        SELECT weather.*, coalesce(n_trips, 0) AS trips
+        FROM weather LEFT JOIN demand USING (hour)
+        WHERE weather.hour >= (SELECT min(hour) FROM demand)
+          AND weather.hour <= (SELECT max(hour) FROM demand))"""

@@ -50,7 +50,7 @@ def _warehouse_day(spark, sf_dir):
     ingest.append_status(
         feeds.status_payloads(stream), f"{base}/{warehouse.STATUS_STAGING}", f"{base}/checkpoint"
     ).awaitTermination()
-    warehouse.load_status(spark, base, RUN_DATE, days=60)
+    warehouse.load_status(spark, base, RUN_DATE, days=None)
 
     feeds.trip_staging(table(spark, sf_dir, "orders")).write.option("header", True).csv(
         f"{base}/trip_csv"

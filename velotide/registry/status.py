@@ -107,9 +107,12 @@ def _incremental_window(spark, sf_dir):
     return clock.in_window(near, "est_datetime", RUN_DATE)
 
 
-_FULL_ORDER = """num_docks_available NULLS FIRST, num_bikes_available NULLS FIRST,
-    num_bikes_available_electric NULLS FIRST, num_bikes_available_smart NULLS FIRST,
-    num_bikes_available_classic NULLS FIRST"""
+# The fewest unknown values first, then the least values.
+_COLUMNS = """num_docks_available, num_bikes_available, num_bikes_available_electric,
+    num_bikes_available_smart, num_bikes_available_classic"""
+_FULL_ORDER = f"len(list_filter([{_COLUMNS}], lambda x: x IS NULL)), " + ", ".join(
+    f"{c.strip()} NULLS LAST" for c in _COLUMNS.split(",")
+)
 
 _DEDUPED_SQL = f"""{feeds.STATUS_REPEATED_SQL},
     ranked AS (
@@ -174,10 +177,10 @@ def _status_increment(spark, sf_dir):
         FROM deduped""",
 )
 def _status_increment_stored(spark, sf_dir):
-    """Fill the stored fact: all history in one run, then the last day twice."""
+    """Fill the stored fact: all history as a back-fill, then the last day twice."""
     path = scratch_dir(spark, "fct_stations_status")
     staging = feeds.status_repeated(table(spark, sf_dir, "events"))
-    load_status_increment(staging, path, RUN_BEFORE, days=60)
+    load_status_increment(staging, path, RUN_BEFORE, days=None)
     load_status_increment(staging, path, RUN_DATE)
     load_status_increment(staging, path, RUN_DATE)
     return read_status_fact(spark, path).select(*FACT_COLUMNS, "est_date")
@@ -249,16 +252,17 @@ def _station_fill(spark, sf_dir):
     "demand_vs_availability",
     "events",
     oracle=f"""WITH {feeds.STATUS_FACT_SQL},
-        d AS (SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS trips FROM events GROUP BY 1),
+        d AS (SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS trips FROM events WHERE hour(ts) % 2 = 0 GROUP BY 1),
         a AS (SELECT CAST(hour(est_datetime) AS INTEGER) AS hour,
                      round(avg(num_bikes_available), 10) AS avg_bikes,
                      round(avg(num_docks_available), 10) AS avg_docks
-              FROM fact GROUP BY 1)
-        SELECT hour, trips, avg_bikes, avg_docks FROM d JOIN a USING (hour)""",
+              FROM fact WHERE hour(est_datetime) < 20 GROUP BY 1)
+        SELECT hour, coalesce(trips, 0) AS trips, avg_bikes, avg_docks FROM d FULL JOIN a USING (hour)""",
 )
 def _demand_vs_availability(spark, sf_dir):
+    """Trips that start in even hours, and readings before 20:00: either side lacks hours."""
     events = table(spark, sf_dir, "events")
-    hourly = availability.demand_vs_availability(
-        feeds.trip_starts(events), feeds.status_fact(events)
-    )
+    starts = feeds.trip_starts(events).filter(F.hour("start_time") % 2 == 0)
+    fact = feeds.status_fact(events).filter(F.hour("est_datetime") < 20)
+    hourly = availability.demand_vs_availability(starts, fact)
     return rounded(hourly, "avg_bikes", "avg_docks")

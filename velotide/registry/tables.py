@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from velotide.registry import feeds
 from velotide.registry.base import query, table
-from velotide.sources import snapshots, tables
+from velotide.sources import snapshots, tables, versions
 from velotide.sources.files import scratch_dir
 
 
@@ -38,7 +38,7 @@ def _load_truncate(spark, sf_dir):
     path = scratch_dir(spark, "truncate")
     tables.load(_suppliers(spark, sf_dir), path, tables.TRUNCATE)
     tables.load(_customers(spark, sf_dir), path, tables.TRUNCATE)
-    return spark.read.parquet(path)
+    return versions.read(spark, path)
 
 
 @query(
@@ -53,7 +53,7 @@ def _load_append(spark, sf_dir):
     tables.load(_suppliers(spark, sf_dir), path, tables.APPEND)
     tables.load(_customers(spark, sf_dir), path, tables.APPEND)
     tables.load(_suppliers(spark, sf_dir), path, tables.APPEND)
-    return spark.read.parquet(path)
+    return versions.read(spark, path)
 
 
 @query("load_empty", "customer", "supplier", oracle=_CUSTOMERS_SQL)
@@ -67,7 +67,7 @@ def _load_empty(spark, sf_dir):
         tables.load(_suppliers(spark, sf_dir), path, tables.EMPTY)
     except tables.TableNotEmptyError:
         pass
-    return spark.read.parquet(path)
+    return versions.read(spark, path)
 
 
 @query(
@@ -89,8 +89,9 @@ def _schema_hints(spark, sf_dir):
         F.col("s_name").alias("address"),
         (F.col("s_acctbal") >= 0).cast("int").alias("active_status"),
     )
-    path = tables.load_table(stations, scratch_dir(spark, "warehouse"), "stations_info")
-    return spark.read.parquet(path)
+    base = scratch_dir(spark, "warehouse")
+    tables.load_table(stations, base, "stations_info")
+    return tables.read_table(spark, base, "stations_info")
 
 
 @query(
@@ -125,8 +126,8 @@ def _snapshot_expiry(spark, sf_dir):
         "event_id", "user_id", "event_type", "value", F.to_date("ts").alias("day")
     )
     tables.load(daily, base, tables.TRUNCATE, partition_by=["day"])
-    snapshots.expire(spark, base, _RUN_DATE)
-    return spark.read.parquet(base)
+    snapshots.expire(spark, versions.current(spark, base), _RUN_DATE)
+    return versions.read(spark, base)
 
 
 @query(

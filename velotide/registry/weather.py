@@ -20,7 +20,8 @@ _STEPS = 6
     oracle=f"""
         SELECT strftime(date_trunc('hour', ts) + to_hours(CAST(i AS INTEGER)), '%Y-%m-%dT%H:%M:%S')
                    || '+00:00' AS date,
-               CAST(CAST(value + i AS FLOAT) AS DOUBLE) AS temperature_2m,
+               CASE WHEN event_type <> 'click' THEN CAST(CAST(value + i AS FLOAT) AS DOUBLE)
+                   END AS temperature_2m,
                CASE WHEN event_type <> 'error' THEN CAST(trunc(CAST(value + i / 2 AS FLOAT)) AS INTEGER)
                    END AS relative_humidity_2m,
                CAST(CAST(value / 10 AS FLOAT) AS DOUBLE) AS rain,
@@ -28,12 +29,16 @@ _STEPS = 6
         FROM events, range(0, {_STEPS}) AS steps(i)""",
 )
 def _weather_rows(spark, sf_dir):
-    """One six-hour report per event; humidity is NaN for one event type."""
+    """One six-hour report per event; humidity and temperature are NaN for an event type each."""
     start = F.unix_seconds(F.date_trunc("hour", F.col("ts").cast("timestamp")))
 
     def series(value):
         return F.array(*[value(i).cast("float") for i in range(_STEPS)])
 
+    def temperature(i):
+        known = F.col("event_type") != "click"
+        return F.when(known, F.col("value") + i).otherwise(float("nan"))
+
     def humidity(i):
         known = F.col("event_type") != "error"
         return F.when(known, F.col("value") + i / 2).otherwise(float("nan"))
@@ -42,7 +47,7 @@ def _weather_rows(spark, sf_dir):
         start.alias("start"),
         (start + _STEPS * 3600).alias("end"),
         F.lit(3600).alias("interval_s"),
-        series(lambda i: F.col("value") + i).alias("temperature_2m"),
+        series(temperature).alias("temperature_2m"),
         series(humidity).alias("relative_humidity_2m"),
         series(lambda i: F.col("value") / 10).alias("rain"),
         series(lambda i: F.lit(0)).alias("snowfall"),
@@ -58,10 +63,9 @@ def _trips_and_weather(spark, sf_dir):
     evaluate the weather's join key for every event it is made from.
     """
     events = table(spark, sf_dir, "events")
-    staged = tables.load_table(
-        feeds.weather_staging(events), scratch_dir(spark, "weather"), "weather", tables.APPEND
-    )
-    return feeds.trip_starts(events), spark.read.parquet(staged)
+    base = scratch_dir(spark, "weather")
+    tables.load_table(feeds.weather_staging(events), base, "weather", tables.APPEND)
+    return feeds.quiet_trip_starts(events), tables.read_table(spark, base, "weather")
 
 
 @query(

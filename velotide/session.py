@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 from velotide.sources import files
@@ -28,7 +31,8 @@ PLAN_SETTINGS = {
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 50_000
+# Rows in memory against the compressed files they come from.
+EXPANSION = 4
 
 
 def build_session(
@@ -58,16 +62,25 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, *paths: str) -> int:
-    """Let a shuffle start with one partition per 128 MB of the inputs.
+@contextmanager
+def sized_shuffles(spark: SparkSession, *paths: str, expansion: float = EXPANSION) -> Iterator[int]:
+    """Within, a shuffle starts with one partition per 128 MB of the inputs.
 
     The fixed default of 200 would put hundreds of GB into each partition of a
     100 TB shuffle.  Small partitions are merged again at run time, so starting
-    high costs little.  Never goes below the session's own setting.
+    high costs little.  Never goes below the session's own setting, which holds
+    again afterwards.  ``expansion`` is the size of the rows shuffled against
+    that of the files at ``paths``.
     """
-    total = sum(files.total_bytes(spark, path) for path in paths)
-    wanted = min(total // BYTES_PER_SHUFFLE_PARTITION + 1, MAX_SHUFFLE_PARTITIONS)
+    total = int(expansion * sum(files.total_bytes(spark, path) for path in paths))
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(wanted, configured)
+    partitions = max(total // BYTES_PER_SHUFFLE_PARTITION + 1, configured)
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
     spark.conf.set(INITIAL_PARTITIONS, str(partitions))
-    return partitions
+    try:
+        yield partitions
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)

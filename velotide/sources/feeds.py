@@ -12,18 +12,51 @@ from velotide.functions.keys import station_key_suffix
 # -- station info --------------------------------------------------------------
 
 
-def read_station_info(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
-    """Station entries (nested, as sent) of the JSON documents at ``path``.
+class StationDocumentError(ValueError):
+    """A station document cannot be read, or an entry lacks a field."""
+
+
+def read_station_documents(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+    """The JSON documents at ``path``, as text.
 
     One document per file, or one per line with ``whole_files=False``, which
     lets Spark split large files.
     """
-    return station_entries(spark.read.text(path, wholetext=whole_files))
+    return spark.read.text(path, wholetext=whole_files)
 
 
-def station_entries(documents: DataFrame) -> DataFrame:
+def read_station_info(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+    """Station entries (nested, as sent) of the JSON documents at ``path``."""
+    return station_entries(read_station_documents(spark, path, whole_files))
+
+
+def _stations() -> Column:
     parsed = F.from_json(F.col("value").cast("string"), schemas.STATION_INFO_PAYLOAD)
-    return documents.select(F.explode(parsed["data"]["stations"]).alias("s"))
+    return parsed["data"]["stations"]
+
+
+def station_entries(documents: DataFrame) -> DataFrame:
+    """Station entries, nested, as sent; a document that cannot be read has none."""
+    return documents.select(F.explode(_stations()).alias("s"))
+
+
+def undecodable(documents: DataFrame) -> DataFrame:
+    """Documents without a readable list of stations."""
+    return documents.filter(_stations().isNull())
+
+
+def assert_complete(documents: DataFrame, show: int = 20) -> None:
+    """Raise if a document cannot be read, there is none, or an entry lacks a field.
+
+    A station that is missing from a snapshot counts as closed.  A feed that is
+    broken in part must therefore not be taken for a snapshot at all.
+    """
+    count, bad = documents.agg(F.count("*"), F.count_if(_stations().isNull())).first()
+    if bad or not count:
+        raise StationDocumentError(f"{bad} of {count} station documents cannot be read")
+    rejects = [r.asDict() for r in station_rejects(station_entries(documents)).limit(show).collect()]
+    if rejects:
+        raise StationDocumentError(f"station entries that lack a field: {rejects}")
 
 
 def _is_complete_entry() -> Column:
@@ -60,8 +93,9 @@ def weather_rows(reports: DataFrame) -> DataFrame:
     """One row per step of each report's half-open time axis [start, end).
 
     A report holds ``start`` and ``end`` (epoch seconds), ``interval_s`` and one
-    array per series.  Arrays that do not fit the axis fail the query: padding
-    them would silently move values to other hours.
+    array per series.  NaN, the feed's word for unknown, becomes NULL.  Arrays
+    that do not fit the axis fail the query: padding them would silently move
+    values to other hours.
     """
     axis = F.when(
         F.col("start") < F.col("end"),
@@ -85,10 +119,10 @@ def weather_rows(reports: DataFrame) -> DataFrame:
     series = {name: F.get(name, F.col("step")) for name in _WEATHER_SERIES}
     return steps.select(
         clock.iso_utc(clock.epoch_to_utc(F.col("at"))).alias("date"),
-        series["temperature_2m"].cast("double").alias("temperature_2m"),
+        values.number(series["temperature_2m"]).alias("temperature_2m"),
         values.whole_number(series["relative_humidity_2m"]).alias("relative_humidity_2m"),
-        series["rain"].cast("double").alias("rain"),
-        series["snowfall"].cast("double").alias("snowfall"),
+        values.number(series["rain"]).alias("rain"),
+        values.number(series["snowfall"]).alias("snowfall"),
         values.whole_number(series["cloud_cover"]).alias("cloud_cover"),
     )
 

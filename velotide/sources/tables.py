@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velotide.sources import files
+from velotide.sources import versions
 
 # The dispositions.
 TRUNCATE = "WRITE_TRUNCATE"
@@ -58,10 +58,10 @@ def apply_schema_hints(df: DataFrame, logical: str) -> DataFrame:
 
 
 def has_rows(spark: SparkSession, path: str) -> bool:
-    """Reads at most one row; a folder without data files holds none."""
-    if files.total_bytes(spark, path) == 0:
+    """Reads at most one row; a table that was never loaded holds none."""
+    if versions.current(spark, path) is None:
         return False
-    return not spark.read.parquet(path).isEmpty()
+    return not versions.read(spark, path).isEmpty()
 
 
 def load(
@@ -74,7 +74,8 @@ def load(
     """Write ``df`` to the table at ``path``.
 
     TRUNCATE replaces the content, APPEND adds to it, EMPTY writes only where the
-    table holds no rows and raises otherwise.  A failed write raises.
+    table holds no rows and raises otherwise.  A failed write raises, and the
+    table stays as it was (``versions``).  ``read_table`` reads it.
 
     An appending load with a ``load_id`` owns the folder ``load_id=<id>``: when
     the job is run again after a failure it replaces its own rows and adds no
@@ -86,12 +87,21 @@ def load(
     if disposition == EMPTY and has_rows(spark, path):
         raise TableNotEmptyError(path)
 
-    mode = "overwrite" if disposition == TRUNCATE else "append"
-    if load_id is not None:
-        if disposition != APPEND:
-            raise ValueError("load_id goes with APPEND only")
-        path, mode = f"{path}/load_id={load_id}", "overwrite"
-    write_partitioned(df, path, mode, partition_by)
+    if load_id is not None and disposition != APPEND:
+        raise ValueError("load_id goes with APPEND only")
+    folder = versions.current(spark, path)
+    if disposition != APPEND or folder is None:
+        folder = versions.replace(
+            spark, path, lambda new: write_partitioned(df, _owned(new, load_id), "overwrite", partition_by)
+        )
+    elif load_id is not None:
+        write_partitioned(df, _owned(folder, load_id), "overwrite", partition_by)
+    else:
+        write_partitioned(df, folder, "append", partition_by)
+
+
+def _owned(folder: str, load_id: str | None) -> str:
+    return folder if load_id is None else f"{folder}/load_id={load_id}"
 
 
 def load_table(
@@ -105,8 +115,14 @@ def load_table(
 
 def rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Replace the whole table with ``df`` and read it back."""
-    write_partitioned(df, path, "overwrite", partition_by)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    versions.replace(spark, path, lambda new: write_partitioned(df, new, "overwrite", partition_by))
+    return versions.read(spark, path, df.schema)
+
+
+def read_table(spark: SparkSession, base: str, logical: str) -> DataFrame:
+    """The rows of a table that ``load_table`` keeps below ``base``."""
+    return versions.read(spark, f"{base}/{table_name(logical)}")
 
 
 def write_partitioned(

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from velotide import schemas
+from velotide.functions.clock import require_utc
 from velotide.operators.decode import decode_status
 from velotide.sources import files
 
+# In place of a query's identity, for what ``compact`` has merged.
+COMPACTED = "compacted"
+
 # -- sources -------------------------------------------------------------------
 
 
@@ -61,9 +65,9 @@ def land_raw(
 ) -> StreamingQuery:
     """Store every payload as it came, in folders by arrival date.
 
-    Arrival is the ``ingest_ts`` of the source, else the time of the batch.  The
-    file sink's own log makes each batch visible once.
+    Arrival is the ``ingest_ts`` of the source, else the time of the batch.
     """
+    require_utc()
     if "ingest_ts" not in payloads.columns:
         payloads = payloads.withColumn("ingest_ts", F.current_timestamp())
     landed = payloads.select(
@@ -71,21 +75,22 @@ def land_raw(
         F.col("ingest_ts").cast("timestamp").alias("ingest_ts"),
         F.to_date("ingest_ts").alias("ingest_date"),
     )
-    return (
-        landed.writeStream.format("parquet")
-        .partitionBy("ingest_date")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    return _append(landed, path, "ingest_date", checkpoint, trigger)
 
 
 def append_status(
     payloads: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Decode a stream of payloads and append the rows to the status table.
+    """Decode a stream of payloads and append the rows to the status table."""
+    require_utc()
+    dated = decode_status(payloads).withColumn("utc_date", F.to_date("utc_timestamp"))
+    return _append(dated, path, "utc_date", checkpoint, trigger)
+
+
+def _append(
+    rows: DataFrame, path: str, date: str, checkpoint: str, trigger: dict | None
+) -> StreamingQuery:
+    """Append a stream in folders by ``date``.
 
     Spark may hand over a batch again after a failure.  Each batch owns the
     folders of its query and batch number and replaces them, so nothing is
@@ -93,8 +98,7 @@ def append_status(
     checkpoint starts new folders and never replaces those of the old query.
     """
     return (
-        decode_status(payloads)
-        .writeStream.foreachBatch(lambda batch, number: write_batch(batch, number, path))
+        rows.writeStream.foreachBatch(lambda batch, number: write_batch(batch, number, path, date))
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(**(trigger or {"availableNow": True}))
@@ -102,30 +106,52 @@ def append_status(
     )
 
 
-def write_batch(batch: DataFrame, number: int, path: str) -> None:
+def write_batch(batch: DataFrame, number: int, path: str, date: str) -> None:
     """Write one micro-batch.  It is read once; no count or cache goes before.
 
     The date comes first in the layout, so that a reader of some days lists the
-    folders of those days only, however many batches there have been.
+    folders of those days only, however many batches there have been.  Rows are
+    gathered by date first: a batch writes one file per date, and more only for a
+    date that holds much of a large batch.
     """
     query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
     if query is None:
         raise RuntimeError("write_batch runs inside a streaming query only")
     (
-        batch.withColumns(
-            {
-                "utc_date": F.to_date("utc_timestamp"),
-                "query": F.lit(query),
-                "batch": F.lit(number),
-            }
-        )
+        batch.hint("rebalance", F.col(date))
+        .withColumns({"query": F.lit(query), "batch": F.lit(number)})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("utc_date", "query", "batch")
+        .partitionBy(date, "query", "batch")
         .parquet(path)
     )
 
 
+def compact(spark: SparkSession, path: str, date: str, before: dt.date) -> list[str]:
+    """Merge the batches of each closed date (earlier than ``before``) into one folder.
+
+    Returns the names of the dates merged.  Run it where no batch still writes to
+    those dates and no job reads them.  The merged rows are complete in a hidden
+    folder before the batches go; a run that was cut off is finished by the next.
+    """
+    merged = []
+    for folder in files.day_folders(spark, path, date, dt.date.min, before - dt.timedelta(days=1)):
+        hidden = f"{path}/_compact-{folder.rsplit('=', 1)[1]}"
+        queries = files.subdirectories(spark, folder)
+        if not files.is_complete(spark, hidden):
+            batches = [f"{folder}/{q}/{b}" for q in queries for b in files.subdirectories(spark, f"{folder}/{q}")]
+            if len(batches) < 2:
+                continue
+            rows = spark.read.parquet(*batches)
+            rows.hint("rebalance").write.mode("overwrite").parquet(hidden)
+        for name in queries:
+            files.delete(spark, f"{folder}/{name}")
+        files.make_folder(spark, f"{folder}/query={COMPACTED}")
+        files.move(spark, hidden, f"{folder}/query={COMPACTED}/batch=0")
+        merged.append(folder.rsplit("/", 1)[1])
+    return merged
+
+
 def read_status_table(
     spark: SparkSession, path: str, dates: tuple[dt.date, dt.date] | None = None
 ) -> DataFrame:
