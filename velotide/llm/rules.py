@@ -1,9 +1,10 @@
 """Quality rules under weak supervision.
 
-Each rule votes 1 (good), 0 (bad) or abstains.  Expectation-maximisation over
-the counts of vote patterns estimates how often each rule votes what for good
-and for bad documents; the posterior probability of "good" given all votes
-decides.  The statistics are the counts of patterns over all documents: at most
+Each rule votes 1 (good), 0 (bad) or abstains.  Most find one kind of defect and
+abstain where they don't, which is weak evidence too.  Expectation-maximisation
+over the counts of vote patterns estimates how often each rule votes what for
+good and for bad documents, without labels; the posterior probability of "good"
+given all votes decides.  The statistics are the counts of patterns over all documents: at most
 3 ** (number of rules) rows whatever the corpus, made by one aggregation.
 
 Texts: NULL and '' have no words; their rules that need words abstain.
@@ -77,65 +78,62 @@ def measured(texts: list[bytes]) -> dict:
     return dict(zip(names, zip(*rows, strict=True), strict=True)) if rows else dict.fromkeys(names, [])
 
 
-def vote(good: Column, bad: Column, applies: Column) -> Column:
-    """1, 0, or -1 to abstain."""
-    return F.when(applies & good, 1).when(applies & bad, 0).otherwise(-1)
+def vote(good: Column | None, bad: Column | None) -> Column:
+    """1, 0, or -1 to abstain.  A rule that finds a defect says nothing where it finds none."""
+    out = F.when(good, 1) if good is not None else None
+    if bad is not None:
+        out = out.when(bad, 0) if out is not None else F.when(bad, 0)
+    return out.otherwise(-1)
 
 
 def votes() -> dict[str, Column]:
-    """The rules, over the columns of FIELDS."""
-    c = F.col
-    words, some = c("n_words"), c("n_words") > 0
-    mean, lines = c("word_chars") / words, c("n_lines")
-    symbols, upper = c("n_symbols") / words, c("n_upper") / c("n_letters")
-    distinct, copies = c("n_distinct") / words, c("n_dup_lines") / lines
-    repeats, ended = c("n_repeat_words") / words, c("n_end_lines") / lines
+    """The rules, over the columns of FIELDS; a share of nothing is NULL, so its rule abstains."""
+    c, share = F.col, F.try_divide
+    words, lines = c("n_words"), c("n_lines")
+    mean, symbols, upper = share("word_chars", words), share("n_symbols", words), share("n_upper", "n_letters")
+    distinct, copies = share("n_distinct", words), share("n_dup_lines", lines)
+    repeats, ended = share("n_repeat_words", words), share("n_end_lines", lines)
+    prose = mean.between(3, 8) & (symbols <= 0.02) & (upper <= 0.1)
     return {
-        "length": vote(words >= 80, words < 50, some),
-        "word_length": vote(mean.between(3, 10), (mean < 2) | (mean > 14), some),
-        "symbols": vote(symbols <= 0.02, symbols > 0.1, some),
-        "capitals": vote(upper <= 0.1, upper > 0.4, c("n_letters") > 0),
-        "distinct": vote(distinct >= 0.4, distinct < 0.2, words >= 20),
-        "line_copies": vote(c("n_dup_lines") == 0, copies > 0.3, lines >= 2),
-        "repeats": vote(repeats <= 0.1, repeats > 0.3, words >= 4),
-        "line_ends": vote(ended >= 0.6, ended < 0.2, lines > 0),
+        "fragment": vote(None, words < 10),
+        "word_length": vote(None, (mean < 2.5) | (mean > 12)),
+        "symbols": vote(None, symbols > 0.1),
+        "capitals": vote(None, upper > 0.4),
+        "few_words": vote(None, (words >= 20) & (distinct < 0.25)),
+        "line_copies": vote(None, (lines >= 4) & (copies > 0.3)),
+        "repeats": vote((words >= 50) & (repeats <= 0.05), repeats > 0.3),
+        "line_ends": vote(None, ended < 0.2),
+        "prose": vote((words >= 20) & prose & (distinct >= 0.4), None),
     }
 
 
-def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> dict:
+def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500) -> dict:
     """EM for a two-class model in which rules vote independently given the class.
 
     ``patterns``: votes in {-1, 0, 1}, a row per distinct pattern; ``counts``:
-    documents with it.  Starts from the share of good votes; a symmetric prior of
-    one pseudo-vote keeps every estimate off 0 and 1 and the classes from
-    swapping.  Returns prior, rates[class, rule, vote] and the posterior per row.
+    documents with it.  For each class and rule it estimates how often the rule
+    abstains, votes bad and votes good.  It starts from the votes, a bad one
+    counting three times a good one; pseudo-votes keep every rate off 0 and 1
+    and the classes from swapping.  Returns prior, rates[class, rule, 1 + vote]
+    and the posterior per row.
     """
-    n_rules = patterns.shape[1]
     onehot = np.stack([patterns == v for v in (-1, 0, 1)], axis=2).astype(float)
-    cast = (patterns >= 0).sum(1)
-    q = ((patterns == 1).sum(1) + 1) / (cast + 2)
-    q = np.clip(q, 0.05, 0.95)
-    prior, rates = 0.5, np.full((2, n_rules, 3), 1 / 3)
+    good, bad = (patterns == 1).sum(1), (patterns == 0).sum(1)
+    q = (good + 1) / (good + 3 * bad + 1.2)
+    prior, rates = 0.5, np.full((2, patterns.shape[1], 3), 1 / 3)
     for _ in range(rounds):
         weight = np.stack([(1 - q) * counts, q * counts])
         prior = (weight[1].sum() + 1) / (counts.sum() + 2)
-        rates = np.einsum("cn,nrv->crv", weight, onehot) + 1
+        rates = np.einsum("cn,nrv->crv", weight, onehot) + 0.5
         rates[0, :, 1] += 1  # a bad document draws bad votes rather than good ones,
         rates[1, :, 2] += 1  # and a good one good votes
         rates /= rates.sum(2, keepdims=True)
-        # An abstention says nothing of the class.
-        log = np.einsum("nrv,crv->cn", onehot[:, :, 1:], np.log(given(rates)))
-        new = 1 / (1 + np.exp(log[0] + np.log(1 - prior) - log[1] - np.log(prior)))
-        if np.abs(new - q).max(initial=0) < 1e-10:
-            q = new
+        log = np.einsum("nrv,crv->cn", onehot, np.log(rates))
+        new = 1 / (1 + np.exp(np.clip(log[0] + np.log(1 - prior) - log[1] - np.log(prior), -700, 700)))
+        moved, q = np.abs(new - q).max(initial=0), new
+        if moved < 1e-10:
             break
-        q = new
-    return {"prior": prior, "rates": given(rates), "posterior": q}
-
-
-def given(rates: np.ndarray) -> np.ndarray:
-    """Rates of bad and good votes among the votes cast."""
-    return rates[:, :, 1:] / rates[:, :, 1:].sum(2, keepdims=True)
+    return {"prior": prior, "rates": rates, "posterior": q}
 
 
 def posterior(measured_docs: DataFrame) -> tuple[Column, dict]:
@@ -144,11 +142,10 @@ def posterior(measured_docs: DataFrame) -> tuple[Column, dict]:
     seen = measured_docs.groupBy(*[v.alias(n) for n, v in rules.items()]).count().collect()
     patterns = np.array([r[:-1] for r in seen], int).reshape(len(seen), len(rules))
     model = fit(patterns, np.array([r[-1] for r in seen], float))
-    prior = model["prior"]
-    logit = F.lit(float(np.log(prior / (1 - prior))))
-    for k, v in enumerate(rules.values()):
-        bad, good = np.log(model["rates"][1, k]) - np.log(model["rates"][0, k])
-        logit = logit + F.when(v == 1, float(good)).when(v == 0, float(bad)).otherwise(0.0)
+    logit = F.lit(float(np.log(model["prior"] / (1 - model["prior"]))))
+    weights = np.log(model["rates"][1]) - np.log(model["rates"][0])
+    for v, (none, bad, good) in zip(rules.values(), weights.tolist(), strict=True):
+        logit = logit + F.when(v == 1, good).when(v == 0, bad).otherwise(none)
     return 1 / (1 + F.exp(-logit)), model
 
 
