@@ -97,16 +97,22 @@ def partitions_for(spark: SparkSession, size: int, per_partition: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // per_partition + 1)
 
 
+def pack(text: bytes) -> bytes:
+    """Compressed, for texts that go through shuffles more than once; '' stays ''."""
+    size = len(text).to_bytes(8, "little")
+    return size + pa.compress(text, codec="zstd", asbytes=True) if text else b""
+
+
+def unpack(blob) -> bytes:
+    blob = blob.as_py() if isinstance(blob, pa.Scalar) else blob
+    return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True) if blob else b""
+
+
 def text_bytes(docs: DataFrame) -> int:
     """UTF-8 bytes of all texts."""
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
 
-def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Without empty batches."""
-    return (b for b in rows if b.num_rows)
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit values (the finaliser of SplitMix64)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -38,11 +38,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velotide.llm.common import partitions_for, raw, remainder, saved, text_bytes
+from velotide.llm.common import pack, partitions_for, raw, remainder, saved, text_bytes, unpack
 
 DEPTH = 5
 #: Bytes of text in a block, and those counted at a time.
-BLOCK_BYTES, CHUNK = 32 << 20, 1 << 21
+BLOCK_BYTES, CHUNK = 24 << 20, 1 << 20
 #: Grams that one task works on (of several subtrees, or of a large one).
 GRAMS_PER_TASK = 500_000
 END = 0xFF
@@ -50,13 +50,13 @@ LOG10 = math.log(10)
 
 
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Grams of lower-cased texts, one per byte and end, and how many each text has.
+    """Grams of texts, one per byte and end, and how many each text has.
 
     A gram's top byte is the one right before the byte coded, which is at the
     bottom: sorted grams stand by context, the nearest byte first.
     """
     pad = bytes([END]) * DEPTH
-    b = np.frombuffer(pad + b"".join(t.lower() + pad for t in texts), np.uint8)
+    b = np.frombuffer(pad + b"".join(t + pad for t in texts), np.uint8)
     # A text and its DEPTH end bytes: only the first of those is coded.
     n = len(b) - DEPTH
     out = np.zeros(n, np.int64)
@@ -263,18 +263,21 @@ def count_block(rows: pa.Table) -> pa.Table:
 
     A NULL word stands for the end of a text.
     """
-    texts = rows["text"].to_pylist()
-    trained = [not h for h in rows["held_out"].to_pylist()]
     keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
     words: Counter[bytes] = Counter()
-    for part in chunks(texts):
-        k, c = distinct(texts[part], trained[part])
-        keys, counts = added(np.r_[keys, k], np.r_[counts, c])
-        for t, own in zip(texts[part], trained[part], strict=True):
+    n_trained = 0
+    for batch in rows.to_batches():
+        texts = [unpack(b) for b in batch["blob"].to_pylist()]
+        trained = [not h for h in batch["held_out"].to_pylist()]
+        n_trained += sum(trained)
+        for part in chunks(texts):
+            k, c = distinct(texts[part], trained[part])
+            keys, counts = added(np.r_[keys, k], np.r_[counts, c])
+        for t, own in zip(texts, trained, strict=True):
             if own:
-                words.update(t.lower().split())
+                words.update(t.split())
             else:
-                for w in t.lower().split():
+                for w in t.split():
                     words[w] += 0
     n, m = len(keys), len(words) + 1
     token = pa.array([*[None] * n, *words, b""], pa.binary())
@@ -283,7 +286,7 @@ def count_block(rows: pa.Table) -> pa.Table:
             "block": pa.array(np.full(n + m, rows["block"][0].as_py(), np.int32)),
             "gram": pa.array(np.r_[keys, np.full(m, -1)], pa.int64()),
             "token": token,
-            "n": pa.array(np.r_[counts, list(words.values()), sum(trained)].astype(np.int64)),
+            "n": pa.array(np.r_[counts, list(words.values()), n_trained].astype(np.int64)),
         }
     )
 
@@ -352,8 +355,13 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     n_blocks = text_bytes(docs) // BLOCK_BYTES + 1
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int").alias("block")
+
+    @F.pandas_udf("binary")
+    def packed(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: pack(t.lower()))
+
     rows = docs.select(
-        "doc_id", raw(F.col("text")).alias("text"), held_out(F.col("doc_id")).alias("held_out"), block
+        "doc_id", packed(raw(F.col("text"))).alias("blob"), held_out(F.col("doc_id")).alias("held_out"), block
     )
     dealt = rows.repartition(n_blocks, "block").groupBy("block")
     counted = saved(dealt.applyInArrow(count_block, COUNTS), "lm-counts")
@@ -376,35 +384,31 @@ def score(docs: DataFrame) -> DataFrame:
         keys, values = told["gram"].to_numpy(), told["value"].to_numpy()
         ours = keys >= 0
         table = Lookup(keys[ours], values[ours])
-        known = dict(
-            zip(told["token"].filter(pa.array(~ours)).to_pylist(), values[~ours].tolist(), strict=True)
-        )
-        own = texts["text"].to_pylist()
-        scores = []
-        for part in chunks(own):
-            found, sizes = grams(own[part])
-            scores.append(np.add.reduceat(table.get(found), np.cumsum(sizes) - sizes))
+        of_words = values[~ours].astype(np.int64).tolist()
+        known = dict(zip(told["token"].filter(pa.array(~ours)).to_pylist(), of_words, strict=True))
+        del told, keys, values, of_words
         floor = math.log10(total + kinds + 1)
-        logs = {w: math.log10(c + 1) - floor for w, c in known.items()}
-        n_tokens, n_known, base = [], [], []
-        for t in own:
-            held = [*t.lower().split(), b""]
-            n_tokens.append(len(held))
-            n_known.append(sum(known[w] > 0 for w in held))
-            base.append(math.fsum(logs[w] for w in held))
-        return pa.table(
-            {
-                "doc_id": texts["doc_id"],
-                "held_out": texts["held_out"],
-                "n_tokens": pa.array(n_tokens, pa.int64()),
-                "n_known": pa.array(n_known, pa.int64()),
+        logs = {c: math.log10(c + 1) - floor for c in set(known.values())}
+        out = []
+        for batch in texts.to_batches():
+            own = [unpack(b) for b in batch["blob"].to_pylist()]
+            scores = []
+            for part in chunks(own):
+                found, sizes = grams(own[part])
+                scores.append(np.add.reduceat(table.get(found), np.cumsum(sizes) - sizes))
+            held = [[known[w] for w in (*t.split(), b"")] for t in own]
+            figures = {
+                "n_tokens": pa.array([len(h) for h in held], pa.int64()),
+                "n_known": pa.array([sum(c > 0 for c in h) for h in held], pa.int64()),
                 "train_tokens": pa.array([total] * len(own), pa.int64()),
-                "base_score": pa.array(base, pa.float64()),
+                "base_score": pa.array([math.fsum(logs[c] for c in h) for h in held], pa.float64()),
                 "score": pa.array(np.concatenate(scores), pa.float64()),
                 "n_bytes": pa.array([len(t) for t in own], pa.int64()),
             }
-        )
+            columns = {"doc_id": batch["doc_id"], "held_out": batch["held_out"], **figures}
+            out.append(pa.RecordBatch.from_pydict(columns))
+        return pa.Table.from_batches(out)
 
     schema = SCORES.format(id=rows.schema["doc_id"].dataType.simpleString())
     told = answers.unionByName(words).repartition(n_blocks, "block").groupBy("block")
-    return rows.repartition(n_blocks, "block").groupBy("block").cogroup(told).applyInArrow(score_block, schema)
+    return dealt.cogroup(told).applyInArrow(score_block, schema)

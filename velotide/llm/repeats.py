@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velotide.llm.common import checkpointed, mix, partitions_for, raw, saved, text_bytes
+from velotide.llm.common import checkpointed, mix, pack, partitions_for, raw, saved, text_bytes, unpack
 
 LENGTH, GRAM, SPAN = 400, 32, 41
 #: Grams of a window, less one: 9 blocks of SPAN windows share an anchor.
@@ -371,17 +371,6 @@ SHORT = pa.schema(
 )
 
 
-def pack(text: bytes) -> bytes:
-    """Texts go through shuffles more than once, so they go compressed."""
-    size = len(text).to_bytes(8, "little")
-    return size + pa.compress(text, codec="zstd", asbytes=True) if text else b""
-
-
-def unpack(blob) -> bytes:
-    blob = blob.as_py() if isinstance(blob, pa.Scalar) else blob
-    return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True) if blob else b""
-
-
 def text_chunks(blobs: pa.Array) -> Iterator[slice]:
     """Ranges of blobs that unpack to about CHUNK bytes."""
     start, n = 0, 0
