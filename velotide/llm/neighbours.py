@@ -32,9 +32,11 @@ GAPS, LENGTHS = 10, 12
 SHAPE = CLASSES * CLASSES + GAPS + LENGTHS
 DIMS = TRIGRAMS + SHAPE
 RANK = 64
-NEIGHBOURS = 25
+NEIGHBOURS = 15
 #: Weight of a vote: cosine to this power.
-SHARPNESS = 8
+SHARPNESS = 30
+#: Length of the part of a vector that counts shape, against that of trigrams.
+SHAPE_WEIGHT = 2
 BLOCK = 512
 
 CLASS = np.full(256, 5, np.uint8)
@@ -77,11 +79,11 @@ def counts(text: bytes) -> np.ndarray:
 
 
 def weigh(rows: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Damped counts; trigrams and shape count alike in a document's vector."""
+    """Damped counts; trigrams and shape are two parts of fixed lengths."""
     rows = np.log1p(rows)
     rows[:, :TRIGRAMS] *= idf
-    for part in (rows[:, :TRIGRAMS], rows[:, TRIGRAMS:]):
-        part /= np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-9)
+    for part, size in ((rows[:, :TRIGRAMS], 1), (rows[:, TRIGRAMS:], SHAPE_WEIGHT)):
+        part *= size / np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-9)
     return rows
 
 
