@@ -7,17 +7,21 @@ XOR of their bitmaps; pairs that may reach the threshold are confirmed on the
 full sets.
 
 Sets that meet are not all paired with one another.  First each is tried with
-the least set of its bucket.  Then, in rounds, each component that meets others
-in a bucket tries its likeliest pairs there that haven't been tried, more in each
-round; confirmed pairs join components.  It ends when no bucket has an untried
-pair between two components.  No link between components is lost, while the
-pairs tried within a group of copies grow with its size and not its square.
+the least set of its bucket.  After that only buckets in which components still
+meet matter, and in them only pairs between components.  Small buckets name all
+their likely pairs.  The sets of a large bucket go to tasks in blocks of bounded
+size; a task joins components as it confirms pairs, and returns no more links
+than it joins.  So no link between components is lost, while the rows made for a
+group of copies grow with its size and not its square.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,13 +41,15 @@ BITS = 512
 #: Pairs estimated below this are not tried.  At similarity 0.75 the estimate's
 #: standard deviation is 0.04 (samples 0.027, folding 0.03), so this is nearly 5 below.
 ESTIMATE = 0.56
-#: Sets of a bucket that one task compares; larger buckets are cut in blocks, and
-#: pairs of blocks go to tasks of their own.
-BLOCK = 4096
+#: Buckets of up to so many sets name their likely pairs.
+SMALL = 128
+#: Larger ones are cut in blocks of about so many sets, and so many shingles, and
+#: each two blocks are compared in a task.
+BLOCK, BLOCK_SHINGLES = 4096, 2 << 20
 
 _random = np.random.default_rng(20240229)
-_MULTIPLY = _random.integers(1, 2**63, SAMPLES, np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _random.integers(0, 2**63, SAMPLES, np.uint64)
+_MULTIPLY = _random.integers(0, 2**31, SAMPLES, np.uint32) * np.uint32(2) + np.uint32(1)
+_ADD = _random.integers(0, 2**32, SAMPLES, np.uint32)
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -61,13 +67,22 @@ def shingles(text: bytes) -> np.ndarray:
 
 
 def samples(sets: np.ndarray) -> np.ndarray:
-    """The least value of the set under each of SAMPLES hash functions."""
-    low = np.full(SAMPLES, np.iinfo(np.uint64).max, np.uint64)
-    for start in range(0, len(sets), 1024):
-        part = sets[start : start + 1024, None] * _MULTIPLY + _ADD
-        part ^= part >> np.uint64(32)
-        np.minimum(low, part.min(0), out=low)
-    return low
+    """The least value of the set under each of SAMPLES hash functions.
+
+    The lower half of a shingle's hash serves one half of the functions, the
+    upper half the other.
+    """
+    half = SAMPLES // 2
+    low = np.full(SAMPLES, np.iinfo(np.uint32).max, np.uint32)
+    halves = sets.view(np.uint32).reshape(-1, 2)
+    for start in range(0, len(sets), 512):
+        part = halves[start : start + 512]
+        for k in range(2):
+            own = slice(k * half, (k + 1) * half)
+            values = part[:, k, None] * _MULTIPLY[own] + _ADD[own]
+            values ^= values >> np.uint32(15)
+            np.minimum(low[own], values.min(0), out=low[own])
+    return low.astype(np.uint64)
 
 
 def odd_sketch(low: np.ndarray) -> np.ndarray:
@@ -163,58 +178,141 @@ def likely(n1, sketch1, n2, sketch2):
     return (100 * F.least(n1, n2) >= THRESHOLD * F.greatest(n1, n2)) & (bits <= LIMIT)
 
 
-def offer(members: pd.DataFrame, most: int) -> pd.DataFrame:
-    """For each component met in this part of a bucket, its ``most`` likeliest untried pairs."""
-    members = members.sort_values("digest", ignore_index=True)
-    ids, roots = members["digest"].tolist(), pd.factorize(members["root"])[0]
-    known = {(i, p) for i, ps in zip(ids, members["refused"], strict=True) if ps is not None for p in ps}
-    sizes, halves = members["n"].to_numpy(), members["block"].to_numpy()
-    crossing = members["first"].iloc[0] != members["second"].iloc[0]
-    words = np.array(members["sketch"].tolist(), np.int64).view(np.uint64)
-    found = []
-    for i in range(len(ids)):
-        ok = roots != roots[i]
-        ok &= 100 * np.minimum(sizes, sizes[i]) >= THRESHOLD * np.maximum(sizes, sizes[i])
-        if crossing:  # pairs within a block have a task of their own
-            ok &= halves != halves[i]
-        at = np.flatnonzero(ok)
-        bits = np.bitwise_count(words[at] ^ words[i]).sum(1)
-        near = np.flatnonzero(bits <= LIMIT)
-        near = near[np.argsort(bits[near], kind="stable")]
-        n = 0
-        for b, j in zip(bits[near].tolist(), at[near].tolist(), strict=True):
-            if n == most:
-                break
-            if (ids[i], ids[j]) not in known and (ids[j], ids[i]) not in known:
-                found.append((roots[i], b, min(i, j), max(i, j)))
-                n += 1
-    best = pd.DataFrame(found, columns=["root", "bits", "i", "j"]).sort_values(["bits", "i", "j"])
-    best = best.groupby("root").head(most)[["i", "j"]].drop_duplicates()
-    return pd.DataFrame({"a": [ids[i] for i in best["i"]], "b": [ids[j] for j in best["j"]]})
-
-
-def next_pairs(buckets: DataFrame, info: DataFrame, roots: DataFrame, refused: DataFrame, most: int):
-    """Untried pairs between components that meet in a bucket."""
+class Members:
+    """Rows of whole buckets, sorted by bucket."""
+
+    def __init__(self, rows: pa.Table, place: list[str]):
+        self.ids = rows["digest"].to_pylist()
+        self.roots = pd.factorize(pd.Series(rows["root"].to_pylist()))[0]
+        self.sizes = rows["n"].to_numpy()
+        words = rows["sketch"].combine_chunks()
+        self.words = words.flatten().to_numpy().view(np.uint64).reshape(len(self.ids), -1)
+        at = [rows[c].to_numpy() for c in place]
+        new = np.r_[True, np.any([c[1:] != c[:-1] for c in at], axis=0)]
+        self.starts = np.flatnonzero(new)
+        self.lengths = np.diff(np.r_[self.starts, len(self.ids)])
+
+    def likely(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the pairs, those between components that may reach the threshold, and their bits."""
+        a, b = self.sizes[i], self.sizes[j]
+        ok = (self.roots[i] != self.roots[j]) & (100 * np.minimum(a, b) >= THRESHOLD * np.maximum(a, b))
+        i, j = i[ok], j[ok]
+        bits = np.bitwise_count(self.words[i] ^ self.words[j]).sum(1)
+        near = bits <= LIMIT
+        return i[near], j[near], bits[near]
+
+    def pairs(self) -> set[tuple[bytes, bytes]]:
+        """All likely pairs of the buckets, a bucket size at a time."""
+        found: set[tuple[bytes, bytes]] = set()
+        for size in np.unique(self.lengths).tolist():
+            one, two = np.triu_indices(size, 1)
+            starts = self.starts[self.lengths == size]
+            step = max(1, 1_000_000 // max(len(one), 1))
+            for k in range(0, len(starts), step):
+                base = starts[k : k + step, None]
+                i, j, _ = self.likely((base + one).ravel(), (base + two).ravel())
+                for x, y in zip(i.tolist(), j.tolist(), strict=True):
+                    a, b = self.ids[x], self.ids[y]
+                    found.add((min(a, b), max(a, b)))
+        return found
+
+    def links(self, sets: list[np.ndarray], sides: np.ndarray | None) -> list[tuple[bytes, bytes]]:
+        """Confirmed pairs that join the components of one bucket.
+
+        ``sides``: where the rows are of two blocks, pairs within one are left out.
+        """
+        out, everyone = [], np.arange(len(self.ids))
+        for most in (3, None):  # the likeliest partners first: they join most components
+            for i in everyone.tolist():
+                one, j, bits = self.likely(np.full(len(everyone), i), everyone)
+                if sides is not None:
+                    apart = sides[j] != sides[i]
+                    j, bits = j[apart], bits[apart]
+                if not len(j):
+                    continue
+                j = j[np.argsort(bits, kind="stable")[:most]]
+                for k in j[similar_to(sets[i], [sets[k] for k in j.tolist()])].tolist():
+                    if self.roots[k] != self.roots[i]:
+                        self.roots[self.roots == self.roots[k]] = self.roots[i]
+                        out.append((self.ids[i], self.ids[k]))
+        return out
+
+
+def similar_to(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Which of the other sets reach THRESHOLD with the first."""
+    sizes = np.array([len(x) for x in others])
+    every = np.concatenate(others)
+    held = one[np.minimum(np.searchsorted(one, every), len(one) - 1)] == every
+    both = np.add.reduceat(held, np.cumsum(sizes) - sizes, dtype=np.int64)
+    return 100 * both >= THRESHOLD * (len(one) + sizes - both)
+
+
+def whole(batches: Iterator[pa.RecordBatch], place: list[str], least: int) -> Iterator[pa.Table]:
+    """Sorted rows in runs of at least ``least`` that don't cut a bucket."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= least:
+            rows = pa.Table.from_batches(held)
+            same = np.all([rows[c].to_numpy() == rows[c][n - 1].as_py() for c in place], axis=0)
+            cut = int(np.argmax(same))  # sorted, so the last bucket is a run at the end
+            if cut:
+                yield rows.slice(0, cut)
+            held, n = rows.slice(cut).combine_chunks().to_batches(), n - cut
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def as_pairs(pairs) -> pa.RecordBatch:
+    a, b = [p[0] for p in pairs], [p[1] for p in pairs]
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+
+def meetings(buckets: DataFrame, info: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the small and the large buckets in which components meet."""
     placed = buckets.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
-    placed = placed.withColumn("root", F.coalesce("root", "digest"))
+    placed = placed.withColumn("root", F.coalesce("root", "digest")).join(info, "digest")
     mixed = (
         placed.groupBy("key")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"), F.sum("n").alias("held"))
         .where("low != high")
-        .select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+        .select("key", "size", F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("held") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     )
-    rows = placed.join(mixed, "key").join(info, "digest")
-    partners = refused.groupBy(F.col("b").alias("digest")).agg(F.collect_list("a").alias("refused"))
-    rows = rows.join(partners, "digest", "left")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.withColumn("other", other)
-    rows = rows.withColumn("first", F.least("block", "other")).withColumn("second", F.greatest("block", "other"))
+    rows = saved(placed.join(mixed, "key"), "meetings").select("key", "digest", "root", "n", "sketch", "size", "blocks")
+    return rows.where(F.col("size") <= SMALL), rows.where(F.col("size") > SMALL)
+
 
-    def run(members: pd.DataFrame) -> pd.DataFrame:
-        return offer(members, most)
+def small_pairs(rows: DataFrame) -> DataFrame:
+    """Distinct likely pairs (a, b) between components in small buckets."""
 
-    return rows.groupBy("key", "first", "second").applyInPandas(run, "a binary, b binary").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in whole(batches, ["key"], 50_000):
+            yield as_pairs(sorted(Members(part, ["key"]).pairs()))
+
+    rows = rows.select("key", "digest", "root", "n", "sketch").repartition("key").sortWithinPartitions("key")
+    return rows.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def large_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) that join components in large buckets."""
+    place = ["key", "first", "second"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in whole(batches, place, 1):
+            starts = [*Members(part, place).starts.tolist(), part.num_rows]
+            for start, end in zip(starts, starts[1:], strict=False):
+                own = part.slice(start, end - start)
+                crossing = own["first"][0].as_py() != own["second"][0].as_py()
+                full = [np.frombuffer(x, np.uint64) for x in own["hashes"].to_pylist()]
+                yield as_pairs(Members(own, place).links(full, own["block"].to_numpy() if crossing else None))
+
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
+    rows = rows.join(sets, "digest").select(*place, "block", "digest", "root", "n", "sketch", "hashes")
+    return rows.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -247,15 +345,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     wanted = buckets.select("digest").distinct().join(info.select("digest", "doc_id"), "digest")
     sets = saved(full_sets(docs, wanted), "full-sets")
-    done, most = tried(pairs, sets), 1
-    while True:
-        roots = components(done.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
-        sketches = info.select("digest", "n", "sketch")
-        pairs = next_pairs(buckets.select("key", "digest"), sketches, roots, done.where("not linked"), most)
-        new = tried(pairs, sets)
-        if new.isEmpty():
-            break
-        done, most = done.unionByName(new), 4 * most
+    done = tried(pairs, sets)
+    found = done.where("linked").select("a", "b")
+    roots = components(found.toDF("u", "v"))
+    small, large = meetings(buckets.select("key", "digest"), info.select("digest", "n", "sketch"), roots)
+    named = small_pairs(small).join(done, ["a", "b"], "left_anti")
+    found = found.unionByName(tried(named, sets).where("linked").select("a", "b"))
+    if not large.isEmpty():
+        found = found.unionByName(saved(large_links(large, sets), "large-links"))
+    roots = components(found.toDF("u", "v"))
 
     groups = info.join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
         "root", F.coalesce("root", "digest")
@@ -267,3 +365,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one with the least doc_id.
+
+    Rows of equal id and text are one row; texts that share an id are one document.
+    Rows without a doc_id stay unless another row of their component has one.
+    """
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return rows.dropDuplicates(["doc_id", "text"])
