@@ -35,13 +35,3 @@ def conf(spark):
     yield put
     for key, value in before.items():
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
-def final_plan(df) -> str:
-    """The physical plan after the query has run."""
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def rows(df, *columns):
-    return sorted(map(tuple, df.select(*(columns or df.columns)).collect()), key=repr)

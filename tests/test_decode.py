@@ -4,7 +4,7 @@ import random
 from zoneinfo import ZoneInfo
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from velotide.functions import clock, keys, values

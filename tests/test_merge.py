@@ -3,7 +3,7 @@ import glob
 
 import pyarrow.parquet as parquet
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from velotide.operators import dedup, merge

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import final_plan, rows
+from helpers import final_plan, rows
 from pyspark.sql import functions as F
 
 from velotide import schemas, session

@@ -2,7 +2,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from velotide.operators import scd
 from velotide.operators.dedup import DuplicateKeyError
