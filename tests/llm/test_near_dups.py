@@ -77,6 +77,13 @@ def test_odd_rows(spark, odd_docs, odd_rows):
     assert [g.replace("True", "1") for g in got] == [w.replace("True", "1") for w in want]
 
 
+def test_rows_without_an_id_or_with_a_shared_one(spark):
+    rows = [(None, t) for t in family(3, 12)] + [(7, t) for t in family(4, 12)] + [(1, family(3, 1)[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dups.near_duplicates(docs).collect()
+    assert sorted(repr(tuple(r)) for r in got) == brute(rows)
+
+
 def test_one_of_each_keeps_the_columns(spark, odd_docs):
     left = near_dups.one_of_each(odd_docs)
     assert left.columns == odd_docs.columns

@@ -130,21 +130,27 @@ def digest(sets: np.ndarray) -> bytes:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """Per row doc_id, n (size of its set), digest, sketch and bands (NULL: empty set)."""
+    """Per row doc_id, ``place`` (to find the row again), n (size of its set), digest,
+    sketch and bands (NULL: empty set)."""
     run = text_function("n bigint, digest binary, sketch array<bigint>, bands array<bigint>", _signed)
-    return docs.select("doc_id", run(F.col("text")).alias("s")).select("doc_id", "s.*")
+    place = F.struct(F.xxhash64("text").alias("h"), "doc_id").alias("place")
+    return docs.select("doc_id", place, run(F.col("text")).alias("s")).select("doc_id", "place", "s.*")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(digest, hashes) for the sets in ``wanted`` (digest, doc_id)."""
+    """(digest, hashes) for the sets in ``wanted`` (digest, place)."""
 
     def both(texts: list[bytes]) -> dict:
         sets = [shingles(t) for t in texts]
         return {"digest": [digest(s) for s in sets], "hashes": [s.tobytes() for s in sets]}
 
     run = text_function("digest binary, hashes binary", both)
-    rows = docs.select("doc_id", "text").join(wanted.withColumnRenamed("digest", "own"), "doc_id")
-    # An id that two texts share brings both; each set is kept once.
+    wanted = wanted.select(
+        F.col("digest").alias("own"), F.col("place.h").alias("own_h"), F.col("place.doc_id").alias("own_id")
+    )
+    same = (F.xxhash64("text") == F.col("own_h")) & F.col("doc_id").eqNullSafe(F.col("own_id"))
+    rows = docs.select("doc_id", "text").join(wanted, same)
+    # Repeated rows bring a set more than once; it is kept once.
     return (
         rows.select("own", run(F.col("text")).alias("s"))
         .where(F.col("own") == F.col("s.digest"))
@@ -327,6 +333,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = saved(signed(docs), "signed")
     info = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"),
+        F.min("place").alias("place"),
         F.first("n").alias("n"),
         F.first("sketch").alias("sketch"),
         F.first("bands").alias("bands"),
@@ -335,7 +342,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     met = info.select("digest", F.explode("bands").alias("key"))
     shared = met.groupBy("key").agg(F.count("*").alias("size"), F.min("digest").alias("hub")).where("size > 1")
     buckets = saved(met.join(shared.select("key", "hub"), "key"), "buckets")
-    info = info.select("digest", "doc_id", "n", "sketch")
+    info = info.select("digest", "doc_id", "place", "n", "sketch")
 
     one = info.select(F.col("digest").alias("a"), F.col("n").alias("n1"), F.col("sketch").alias("s1"))
     two = info.select(F.col("digest").alias("b"), F.col("n").alias("n2"), F.col("sketch").alias("s2"))
@@ -343,7 +350,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = first.distinct().join(one, "a").join(two, "b")
     pairs = pairs.where(likely(F.col("n1"), F.col("s1"), F.col("n2"), F.col("s2"))).select("a", "b")
 
-    wanted = buckets.select("digest").distinct().join(info.select("digest", "doc_id"), "digest")
+    wanted = buckets.select("digest").distinct().join(info.select("digest", "place"), "digest")
     sets = saved(full_sets(docs, wanted), "full-sets")
     done = tried(pairs, sets)
     found = done.where("linked").select("a", "b")
