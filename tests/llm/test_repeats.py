@@ -80,6 +80,16 @@ def test_odd_rows(spark, odd_docs, odd_rows):
     assert got == sorted(map(repr, rows))
 
 
+def test_batches_without_spans(spark, conf):
+    """A task may meet batches with and without repeats, in any order."""
+    conf(execution__arrow__maxRecordsPerBatch="1")
+    passage = "".join(chr(97 + (i * i * 7 + i // 5) % 26) for i in range(500))
+    texts = ["a", passage, "b", None, passage, "c"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r[0]: tuple(r)[1:] for r in repeats.report(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == brute([(t or "").encode() for t in texts])
+
+
 def test_spans_and_kept_bytes(spark):
     a = "x" * 3 + "".join(chr(97 + (i * i) % 26) for i in range(450))
     docs = spark.createDataFrame([(1, a + "1"), (2, "ü" + a[3:])], "doc_id long, text string")

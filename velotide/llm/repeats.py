@@ -365,6 +365,11 @@ def find(texts: DataFrame) -> DataFrame:
     return out
 
 
+REMOVED = [
+    ("n_bytes", pa.int64()),
+    ("spans", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
+    ("kept", pa.binary()),
+]
 SHORT = pa.schema(
     [(c, pa.int64()) for c in ("row", "at", "block", "low", "high", "core", "kinds")]
     + [("before", pa.binary()), ("after", pa.binary())]
@@ -424,7 +429,8 @@ def repeated(docs: DataFrame) -> DataFrame:
                 out["n_bytes"].append(len(text))
                 out["spans"].append([{"begin": b, "end": e} for b, e in own])
                 out["kept"].append(b"".join([*kept, text[at:]]))
-            yield pa.RecordBatch.from_pydict(out)
+            # A batch without any span tells no type.
+            yield pa.RecordBatch.from_pydict(out, pa.schema([batch.schema.field(0), *REMOVED]))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes bigint, spans array<struct<begin:bigint,end:bigint>>, kept binary"
