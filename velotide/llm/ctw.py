@@ -42,7 +42,7 @@ from velotide.llm.common import pack, partitions_for, raw, remainder, saved, tex
 
 DEPTH = 5
 #: Bytes of text in a block, and those counted at a time.
-BLOCK_BYTES, CHUNK = 24 << 20, 1 << 20
+BLOCK_BYTES, CHUNK = 24 << 20, 1 << 19
 #: Grams that one task works on (of several subtrees, or of a large one).
 GRAMS_PER_TASK = 500_000
 END = 0xFF
