@@ -165,12 +165,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
     present = docs.select("doc_id").join(usable.select("doc_id"), "doc_id", "left_semi")
     each = usable.join(present, "doc_id", "left_semi").groupBy("doc_id").agg(F.avg(label).alias("label"))
     chosen = each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
-    run = text_function("counts array<float>", lambda texts: {"counts": [counts(t) for t in texts]})
+    run = text_function("counts binary", lambda texts: {"counts": [counts(t).tobytes() for t in texts]})
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     rows = texts.select("doc_id", "label", run(F.col("text")).alias("out")).collect()
     rows.sort(key=lambda r: r["doc_id"])
-    table = np.array([r["out"]["counts"] for r in rows], np.float32).reshape(len(rows), DIMS)
+    table = np.frombuffer(b"".join(r["out"]["counts"] for r in rows), np.float32).reshape(len(rows), DIMS)
     return Model(idf, table, np.array([r["label"] for r in rows], np.float32))
 
 
