@@ -31,10 +31,12 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +45,8 @@ from velotide.llm.common import pack, partitions_for, raw, remainder, saved, tex
 DEPTH = 5
 #: Bytes of text in a block, and those counted at a time.
 BLOCK_BYTES, CHUNK = 24 << 20, 1 << 19
+#: Rows that go back to Spark at a time: it holds a batch in memory of its own.
+ROWS = 20_000
 #: Grams that one task works on (of several subtrees, or of a large one).
 GRAMS_PER_TASK = 500_000
 END = 0xFF
@@ -213,7 +217,7 @@ class Lookup:
     """Values by key, in an open hash table: one array access for most keys."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.bits = max(4, int(1.5 * len(keys)).bit_length())
         self.keys = np.full(1 << self.bits, -1, np.int64)
         self.values = np.zeros(1 << self.bits)
         slots, left = self.slots(keys), np.arange(len(keys))
@@ -281,7 +285,7 @@ def count_block(rows: pa.Table) -> pa.Table:
                     words[w] += 0
     n, m = len(keys), len(words) + 1
     token = pa.array([*[None] * n, *words, b""], pa.binary())
-    return pa.table(
+    counted = pa.table(
         {
             "block": pa.array(np.full(n + m, rows["block"][0].as_py(), np.int32)),
             "gram": pa.array(np.r_[keys, np.full(m, -1)], pa.int64()),
@@ -289,6 +293,7 @@ def count_block(rows: pa.Table) -> pa.Table:
             "n": pa.array(np.r_[counts, list(words.values()), n_trained].astype(np.int64)),
         }
     )
+    return pa.Table.from_batches(counted.to_batches(ROWS))
 
 
 def subtrees(counted: DataFrame, run, schema: str) -> DataFrame:
@@ -300,7 +305,7 @@ def subtrees(counted: DataFrame, run, schema: str) -> DataFrame:
         rows = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
         if rows:
             keys, counts = added(*(np.concatenate(x) for x in zip(*rows, strict=True)))
-            yield run(forest(keys, counts, 2))
+            yield from pa.Table.from_batches([run(forest(keys, counts, 2))]).to_batches(ROWS)
 
     dealt = counted.select("gram", "n").repartition(n, F.expr(f"shiftright(gram, {8 * (DEPTH - 1)})"))
     return dealt.mapInArrow(task, schema)
@@ -384,11 +389,8 @@ def score(docs: DataFrame) -> DataFrame:
         keys, values = told["gram"].to_numpy(), told["value"].to_numpy()
         ours = keys >= 0
         table = Lookup(keys[ours], values[ours])
-        of_words = values[~ours].astype(np.int64).tolist()
-        known = dict(zip(told["token"].filter(pa.array(~ours)).to_pylist(), of_words, strict=True))
-        del told, keys, values, of_words
-        floor = math.log10(total + kinds + 1)
-        logs = {c: math.log10(c + 1) - floor for c in set(known.values())}
+        words, held = told["token"].filter(pa.array(~ours)).combine_chunks(), values[~ours]
+        logs = np.log10(held + 1) - math.log10(total + kinds + 1)
         out = []
         for batch in texts.to_batches():
             own = [unpack(b) for b in batch["blob"].to_pylist()]
@@ -396,12 +398,16 @@ def score(docs: DataFrame) -> DataFrame:
             for part in chunks(own):
                 found, sizes = grams(own[part])
                 scores.append(np.add.reduceat(table.get(found), np.cumsum(sizes) - sizes))
-            held = [[known[w] for w in (*t.split(), b"")] for t in own]
+            tokens = [[*t.split(), b""] for t in own]
+            sizes = np.array([len(x) for x in tokens], np.int64)
+            starts = np.cumsum(sizes) - sizes
+            # An index of the block's words, as numbers: no Python object for each.
+            at = pc.index_in(pa.array(chain.from_iterable(tokens), pa.binary()), words).to_numpy()
             figures = {
-                "n_tokens": pa.array([len(h) for h in held], pa.int64()),
-                "n_known": pa.array([sum(c > 0 for c in h) for h in held], pa.int64()),
+                "n_tokens": pa.array(sizes),
+                "n_known": pa.array(np.add.reduceat(held[at] > 0, starts, dtype=np.int64)),
                 "train_tokens": pa.array([total] * len(own), pa.int64()),
-                "base_score": pa.array([math.fsum(logs[c] for c in h) for h in held], pa.float64()),
+                "base_score": pa.array(np.add.reduceat(logs[at], starts)),
                 "score": pa.array(np.concatenate(scores), pa.float64()),
                 "n_bytes": pa.array([len(t) for t in own], pa.int64()),
             }
