@@ -1,0 +1,20 @@
+"""Registered queries count every row of their tables."""
+
+import datetime as dt
+
+from helpers import rows
+
+from velotide.registry import QUERIES
+
+T = dt.datetime
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
+
+
+def test_demand_vs_availability_counts_every_hour(spark, tmp_path):
+    # Readings lie five hours before the trips: each side lacks hours of the other.
+    events = [(1, T(2024, 1, 15, 3), 7, "view", 10.0), (2, T(2024, 1, 15, 21), 7, "click", 20.0),
+              (3, T(2024, 1, 16, 3, 30), 8, "click", 30.0)]
+    spark.createDataFrame(events, EVENTS).write.parquet(f"{tmp_path}/events.parquet")
+    assert rows(QUERIES["demand_vs_availability"](spark, str(tmp_path))) == [
+        (16, 0, 20.0, 30.0), (21, 1, None, None), (22, 0, 20.0, 30.0), (3, 2, None, None),
+    ]

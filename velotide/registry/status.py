@@ -260,9 +260,6 @@ def _station_fill(spark, sf_dir):
         SELECT hour, coalesce(trips, 0) AS trips, avg_bikes, avg_docks FROM d FULL JOIN a USING (hour)""",
 )
 def _demand_vs_availability(spark, sf_dir):
-    """Trips that start in even hours, and readings before 20:00: either side lacks hours."""
     events = table(spark, sf_dir, "events")
-    starts = feeds.trip_starts(events).filter(F.hour("start_time") % 2 == 0)
-    fact = feeds.status_fact(events).filter(F.hour("est_datetime") < 20)
-    hourly = availability.demand_vs_availability(starts, fact)
+    hourly = availability.demand_vs_availability(feeds.trip_starts(events), feeds.status_fact(events))
     return rounded(hourly, "avg_bikes", "avg_docks")
