@@ -18,3 +18,12 @@ def test_demand_vs_availability_counts_every_hour(spark, tmp_path):
     assert rows(QUERIES["demand_vs_availability"](spark, str(tmp_path))) == [
         (16, 0, 20.0, 30.0), (21, 1, None, None), (22, 0, 20.0, 30.0), (3, 2, None, None),
     ]
+
+
+def test_weather_queries_count_every_event_and_hours_without_trips(spark, tmp_path):
+    # Weather of UTC hours 8 and 12 is that of local hours 3 and 7; trips start in 3 (twice), 8 and 12.
+    at = [(3, "view"), (3, "click"), (8, "error"), (12, "view")]
+    events = [(i, T(2024, 1, 15, h), 7, kind, 20.0) for i, (h, kind) in enumerate(at)]
+    spark.createDataFrame(events, EVENTS).write.parquet(f"{tmp_path}/events.parquet")
+    assert rows(QUERIES["weather_demand"](spark, str(tmp_path))) == [(20, False, False, 2, 1.0)]
+    assert QUERIES["weather_corr"](spark, str(tmp_path)).count() == 1

@@ -373,11 +373,6 @@ def weather_staging(events: DataFrame) -> DataFrame:
     )
 
 
-def quiet_trip_starts(events: DataFrame) -> DataFrame:
-    """The trips of one event type only: many hours have none."""
-    return trip_starts(events.filter(F.col("event_type") == "signup"))
-
-
 WEATHER_SQL = f"""
     hourly AS (
         SELECT date_trunc('hour', ts) AS instant, sum(CAST(round(value * 100) AS BIGINT)) AS cents,

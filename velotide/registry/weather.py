@@ -65,7 +65,7 @@ def _trips_and_weather(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     base = scratch_dir(spark, "weather")
     tables.load_table(feeds.weather_staging(events), base, "weather", tables.APPEND)
-    return feeds.quiet_trip_starts(events), tables.read_table(spark, base, "weather")
+    return feeds.trip_starts(events), tables.read_table(spark, base, "weather")
 
 
 @query(
