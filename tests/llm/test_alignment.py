@@ -1,0 +1,114 @@
+"""Alignment of tokenizers against the two libraries, token by token."""
+
+import hashlib
+from collections import Counter
+
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from velotide.llm import alignment
+from velotide.llm.bpe import byte_alphabet
+from velotide.llm.queries import PIECES, tokenizer_path
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = Tokenizer.from_file(tokenizer_path())
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=tokenizer_path(PIECES))
+
+
+def spans(tokens):
+    out, at = [], 0
+    for i, data in tokens:
+        out.append((i, at, at + len(data)))
+        at += len(data)
+    return out
+
+
+def brute(libraries, texts):
+    """Rows (n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256), by comparing all tokens."""
+    one, two = libraries
+    names = {i: t for t, i in one.get_vocab().items()}
+    alphabet = byte_alphabet()
+    per_text = []
+    for text in texts:
+        a = b = []
+        if text:
+            a = [(i, bytes(alphabet[c] for c in names[i])) for i in one.encode(" " + text, add_special_tokens=False).ids]
+            pieces = [(i, two.id_to_piece(i)) for i in two.encode(text)]
+            b = [(i, bytes.fromhex(p[3:5]) if two.is_byte(i) else p.replace("▁", " ").encode()) for i, p in pieces]
+            if any(b"".join(t for _, t in side) != (" " + text).encode() for side in (a, b)):
+                a = b = []
+        a, b = spans(a), spans(b)
+        links = [(x[0], y[0]) for x in a for y in b if x[1] < y[2] and y[1] < x[2]]
+        stops = sorted({x[2] for x in a} & {y[2] for y in b})
+        groups = []
+        for start, end in zip([0, *stops], stops, strict=False):
+            sides = [[str(i) for i, s, e in side if s >= start and e <= end] for side in (a, b)]
+            groups.append("|".join(",".join(s) for s in sides))
+        whole = ";".join(groups)
+        per_text.append((len(a), len(b), len(stops), links, hashlib.sha256(whole.encode()).hexdigest() if whole else ""))
+    count = Counter(p for row in per_text for p in set(row[3]))
+    most = {}
+    for (x, _), n in count.items():
+        most[x] = max(most.get(x, 0), n)
+    return [
+        (n_a, n_b, n_g, len(links), sum(count[p] == most[p[0]] for p in links), sum(count[p] for p in links), sha)
+        for n_a, n_b, n_g, links, sha in per_text
+    ]
+
+
+TEXTS = [
+    None,
+    "",
+    " ",
+    "one",
+    "One day, one night; don't they'll 12345  two   spaces\n\n\ttab",
+    "a▁b is spelled otherwise",  # B turns this sign into a space
+    "<s> <|endoftext|> </s> <unk> <0x41> are plain text",
+    "é ß 日本語 😀 \x00 ​﻿ | # $",
+    "é ﬁ Ⅳ",
+    "x" * 3000 + " " * 500 + "日" * 700,
+    "the same words again and again",
+    "the same words again and again",
+    "the same words",
+]
+
+
+def test_against_all_tokens(spark, libraries):
+    texts = TEXTS + [f"the {w} of the {v} is {w}{v}" for w in ("tree", "naïve", "queue") for v in ("river", "Zürich")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r[0]: tuple(r)[1:] for r in alignment.report(docs, tokenizer_path(), tokenizer_path(PIECES)).collect()}
+    want = brute(libraries, texts)
+    assert [got[i] for i in range(len(texts))] == want
+    assert want[0][:6] == (0,) * 6 and want[5][:6] == (0,) * 6 and want[4][0] > 0
+
+
+def test_many_blocks_and_hot_texts(spark, libraries, monkeypatch):
+    """A text that many rows hold is counted for each of them, wherever blocks end."""
+    monkeypatch.setattr("velotide.llm.blocks.HOT_KEYS", 3)  # so that broadcast and shuffle both take part
+    monkeypatch.setattr(alignment, "CHUNK", 100)
+    texts = ["the hot text of all"] * 40 + [f"text number {i % 17} of the {i % 5}" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(7)
+    got = {r[0]: tuple(r)[1:] for r in alignment.report(docs, tokenizer_path(), tokenizer_path(PIECES)).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(libraries, texts)
+
+
+def test_odd_rows(spark, libraries, odd_docs, odd_rows):
+    got = alignment.report(odd_docs, tokenizer_path(), tokenizer_path(PIECES)).collect()
+    want = brute(libraries, [r[1] for r in odd_rows if len(r[1] or "") < 5000])
+    ids = [r[0] for r in odd_rows if len(r[1] or "") < 5000]
+    short = [(r.n_a, r.n_b, r.n_groups, r.n_links) for r in got if r.doc_id in {1, 2, 3, 9, 12}]
+    assert len(got) == len(odd_rows)
+    assert sorted(short) == sorted(w[:4] for i, w in zip(ids, want, strict=True) if i in {1, 2, 3, 9, 12})
+
+
+def test_texts_and_groups(spark):
+    docs = spark.createDataFrame([(1, "two words"), (2, "two words"), (3, None)], "doc_id bigint, text string")
+    (row,) = alignment.align(docs, tokenizer_path(), tokenizer_path(PIECES)).collect()
+    assert (row.text, row.n) == ("two words", 2)
+    ids = [g.split("|") for g in row.groups.split(";")]
+    assert [int(i) for a, _ in ids for i in a.split(",")] == row.a_ids
+    assert [int(i) for _, b in ids for i in b.split(",")] == row.b_ids

@@ -1,0 +1,115 @@
+"""The similarity join against all pairs."""
+
+import random
+
+import numpy as np
+import pytest
+
+from velotide.llm import jaccard
+
+
+def shingle_set(text):
+    w = (text or "").encode().lower().split()
+    n = min(5, len(w))
+    return {b" ".join(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set()
+
+
+def brute(rows):
+    sets, root = [shingle_set(t) for _, t in rows], list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                root[find(i)] = find(j)
+    out = []
+    for i, (doc_id, _) in enumerate(rows):
+        ids = [rows[j][0] for j in range(len(rows)) if find(j) == find(i) and rows[j][0] is not None]
+        out.append((doc_id, len(sets[i]), (min(ids) if ids else None) if sets[i] else doc_id))
+    return sorted(map(repr, out))
+
+
+def joined(spark, rows, parts=5):
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)
+    return sorted(repr(tuple(r)) for r in jaccard.linked_documents(docs).collect())
+
+
+def family(seed, n, words=150, edits=4):
+    """An original and copies, some of them of copies, so that not all are linked to each other."""
+    rng = random.Random(seed)
+    out = [[f"w{rng.randrange(5000)}" for _ in range(words)]]
+    for _ in range(n):
+        new = list(rng.choice(out[-4:]))
+        for _ in range(rng.randint(0, edits)):
+            new[rng.randrange(len(new))] = f"e{rng.randrange(10**6)}"
+        out.append(new)
+    return [" ".join(x) for x in out]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    texts = [t for s in range(6) for t in family(s, 25)] + family(99, 120, 60, 3)
+    shared = " ".join(f"s{i}" for i in range(60))
+    texts += [shared + " " + t for t in family(7, 20, 40, 30)]  # a passage in common
+    texts += [shared + f" tail{i}" for i in range(12)] + [shared[: 100 + 9 * i] for i in range(12)]
+    texts += ["", None, "a b", "A B", "a b c", "a b c d e", "a b c d e f"]
+    return [(1000 - i if i % 3 else i, t) for i, t in enumerate(texts)]
+
+
+def test_equals_all_pairs(spark, rows):
+    assert joined(spark, rows) == brute(rows)
+
+
+@pytest.mark.parametrize("hubs, per_task, fragments", [(1, 3, 2), (1000, 7, 1), (2, 4096, 40)])
+def test_any_hubs_tasks_and_fragments(spark, rows, monkeypatch, hubs, per_task, fragments):
+    monkeypatch.setattr(jaccard, "HUBS", hubs)
+    monkeypatch.setattr(jaccard, "PER_TASK", per_task)
+    monkeypatch.setattr(jaccard, "FRAGMENTS", fragments)
+    part = rows[60:140] + rows[-45:]
+    assert joined(spark, part) == brute(part)
+
+
+def test_at_the_threshold(spark):
+    """Overlaps of exactly 80 hundredths link, and one shingle less doesn't."""
+    base = [f"w{i}" for i in range(94)]  # 90 shingles
+    rows = [(1, " ".join(base))]
+    for n in (79, 80, 81):  # the first n shingles, and others up to 90
+        rows.append((100 + n, " ".join(base[: n + 4] + [f"x{n}-{i}" for i in range(90 - n)])))
+    rows += [(10, " ".join(f"y{i}" for i in range(14))), (11, " ".join(f"y{i}" for i in range(12)))]  # 10 and 8: linked
+    rows += [(20, " ".join(f"z{i}" for i in range(14))), (21, " ".join(f"z{i}" for i in range(11)))]  # 10 and 7: apart
+    assert joined(spark, rows) == brute(rows)
+    got = {eval(r)[0]: eval(r)[2] for r in joined(spark, rows)}  # noqa: S307
+    assert got[11] == 10 and got[21] == 21
+
+
+def test_copies_are_one_node(spark):
+    """Copies make no pairs: candidates grow with different texts only."""
+    rows = [(i, "the very same text of some ten words or so here") for i in range(3000)] + [(5000, "something else")]
+    assert joined(spark, rows) == sorted(
+        repr((i, 7 if i < 5000 else 1, 0 if i < 5000 else 5000)) for i, _ in rows
+    )
+
+
+def test_odd_rows(spark, odd_docs, odd_rows):
+    got = sorted(repr(tuple(r)) for r in jaccard.linked_documents(odd_docs).collect())
+    assert got == brute([r[:2] for r in odd_rows])
+
+
+def test_text_ids(spark):
+    docs = spark.createDataFrame([("b", "one two"), ("a", "One two"), (None, "one two")], "doc_id string, text string")
+    assert {tuple(r) for r in jaccard.linked_documents(docs).collect()} == {("b", 1, "a"), ("a", 1, "a"), (None, 1, "a")}
+
+
+def test_levels_count_all_blocks(spark, monkeypatch):
+    """Shingles that two blocks hold are known to be shared in both."""
+    monkeypatch.setattr("velotide.llm.blocks.ROW_BYTES", 9 << 20)  # a block per row
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, text), (2, text + " more"), (3, "none of this")], "doc_id bigint, text string")
+    sets = {r.doc_id: r["keys"] for r in jaccard.ordered_sets(docs).collect()}
+    assert len(np.frombuffer(sets[1], np.int64)) == len(np.frombuffer(sets[2], np.int64)) == 36
+    assert sets[3] is None
