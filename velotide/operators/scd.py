@@ -167,6 +167,12 @@ def read_stations(spark: SparkSession, path: str) -> DataFrame:
     return _versions_of(spark, path, versions.state(spark, path))
 
 
+def is_late(spark: SparkSession, path: str, run_ts: str) -> bool:
+    """Whether a run is older than the last one merged."""
+    last = versions.state(spark, path)
+    return last is not None and _instant(run_ts) < dt.datetime.fromisoformat(last["run"])
+
+
 def apply_snapshot(
     snapshot: DataFrame, path: str, run_date: dt.date | str, run_ts: str
 ) -> None:
@@ -174,20 +180,25 @@ def apply_snapshot(
 
     Runs go forward in time.  The last run may be run again, which replaces what
     it did; an older one raises ``LateRunError``, as the runs after it were
-    merged without it.  Raises, naming the stations, if the snapshot lists a
+    merged without it (``history.put_in_late`` puts it in).  Raises, naming the stations, if the snapshot lists a
     station twice.
     """
     spark = snapshot.sparkSession
     assert_unique(snapshot, ["station_id"])
     at = _instant(run_ts)
     last = versions.state(spark, path)
-    if last and at < dt.datetime.fromisoformat(last["run"]):
+    if is_late(spark, path, run_ts):
         raise LateRunError(f"the run of {run_ts} comes after that of {last['run']}")
     again = last is not None and at == dt.datetime.fromisoformat(last["run"])
     before = last["before"] if again else last
 
     name = versions.fresh_name()
-    new = {"run": at.isoformat(), "open": f"open-{name}", "closed": [f"closed-{name}"]}
+    new = {
+        "run": at.isoformat(),
+        "date": clock.as_date(run_date).isoformat(),
+        "open": f"open-{name}",
+        "closed": [f"closed-{name}"],
+    }
     dim = _versions_of(spark, path, before and {**before, "closed": []})
     changed = scd2_changes(dim, snapshot, run_date, at.isoformat())
     # Both folders come from one computation: a station's change opens and closes.

@@ -1,7 +1,8 @@
 """The daily jobs: feeds into staging, staging into the star schema.
 
-All tables lie below one base path.  The last run of every job may be run again;
-the dimension refuses runs older than its last one (``LateRunError``).
+All tables lie below one base path.  The last run of every job may be run again.  A
+station job of an earlier day is put into the dimension at its place, as long as the
+snapshots since are kept.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from velotide.functions.clock import UTC_PAD_DAYS, as_date, window
-from velotide.operators import scd
+from velotide.operators import history, scd
 from velotide.operators.dedup import assert_unique
 from velotide.operators.merge import load_status_increment, read_status_fact
 from velotide.operators.trips import trip_fact
@@ -45,7 +46,9 @@ def load_stations(
     """Station documents into staging, the dimension and the dated snapshot.
 
     Documents and keys are checked before anything is written.  The snapshot,
-    which is written once, comes last: a day that failed can be run again.
+    which is written once, comes last: a day that failed can be run again.  A
+    run older than the last one stores its snapshot first, and the dimension is
+    derived again from the snapshots for the stations that it changes.
     """
     texts = read_station_documents(spark, documents, whole_files)
     with sized_shuffles(spark, documents):
@@ -54,8 +57,13 @@ def load_stations(
         assert_unique(rows, ["station_id"])
         tables.load_table(rows, base, "stations_info", tables.TRUNCATE)
         staged = tables.read_table(spark, base, "stations_info")
-        scd.apply_snapshot(staged, f"{base}/{STATIONS}", run_date, run_ts)
-        snapshots.snapshot_csv(staged, f"{base}/snapshots", run_date)
+        dimension, kept = f"{base}/{STATIONS}", f"{base}/snapshots"
+        if scd.is_late(spark, dimension, run_ts):
+            snapshots.snapshot_csv(staged, kept, run_date)
+            history.put_in_late(spark, dimension, kept, run_date, run_ts)
+        else:
+            scd.apply_snapshot(staged, dimension, run_date, run_ts)
+            snapshots.snapshot_csv(staged, kept, run_date)
 
 
 def load_weather(reports: DataFrame, base: str, run_date: dt.date | str) -> None:

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from velotide.functions.keys import station_key_digits, station_key_suffix
-from velotide.operators import scd
+from velotide.operators import history, scd
 from velotide.operators.reconcile import key_reconcile
 from velotide.registry import feeds
 from velotide.registry.base import query, table
 from velotide.sources.feeds import read_station_info, station_rejects, station_rows
 from velotide.sources.files import scratch_dir
+from velotide.sources.snapshots import snapshot_csv
 from velotide.sources.tables import rebuild
 
 
@@ -100,10 +103,7 @@ _STORED_RUNS = [
 ]
 
 
-@query(
-    "scd2_stored",
-    "supplier",
-    oracle="""
+_STORED_SQL = """
         WITH s AS (
             SELECT CAST(s_suppkey AS VARCHAR) AS station_id,
                    s_acctbal >= 3000 AS second, s_acctbal < 7000 AS third
@@ -120,13 +120,11 @@ _STORED_RUNS = [
             UNION ALL
             SELECT station_id, NOT second, DATE '1998-01-01', NULL
             FROM s WHERE second <> third)
-        SELECT * FROM v""",
-)
-def _scd2_stored(spark, sf_dir):
-    """Three runs against the stored dimension, the last one run twice."""
-    path = scratch_dir(spark, "dim_stations")
-    supplier = table(spark, sf_dir, "supplier")
-    station = [
+        SELECT * FROM v"""
+
+
+def _listed_station(supplier, listed):
+    return supplier.filter(listed).select(
         F.col("s_suppkey").cast("string").alias("station_id"),
         F.col("s_name").alias("name"),
         F.lit(-75.0).alias("lon"),
@@ -134,11 +132,87 @@ def _scd2_stored(spark, sf_dir):
         F.lit("dock").alias("station_type"),
         F.col("s_name").alias("address"),
         F.lit(True).alias("active_status"),
-    ]
+    )
+
+
+def _statuses(dim):
+    return dim.select("station_id", "active_status", "start_date", "end_date")
+
+
+@query("scd2_stored", "supplier", oracle=_STORED_SQL)
+def _scd2_stored(spark, sf_dir):
+    """Three runs against the stored dimension, the last one run twice."""
+    path = scratch_dir(spark, "dim_stations")
+    supplier = table(spark, sf_dir, "supplier")
     for day, listed in [*_STORED_RUNS, _STORED_RUNS[-1]]:
-        scd.apply_snapshot(supplier.filter(listed).select(*station), path, day, f"{day} 06:00:00")
-    stored = scd.read_stations(spark, path)
-    return stored.select("station_id", "active_status", "start_date", "end_date")
+        scd.apply_snapshot(_listed_station(supplier, listed), path, day, f"{day} 06:00:00")
+    return _statuses(scd.read_stations(spark, path))
+
+
+@query("scd2_late", "supplier", oracle=_STORED_SQL)
+def _scd2_late(spark, sf_dir):
+    """The same three runs, the middle one put in late, and then the last one run again."""
+    path, kept = scratch_dir(spark, "dim_stations"), scratch_dir(spark, "snapshots")
+    supplier = table(spark, sf_dir, "supplier")
+    first, middle, last = _STORED_RUNS
+    for day, listed in (first, last):
+        snapshot = _listed_station(supplier, listed)
+        scd.apply_snapshot(snapshot, path, day, f"{day} 06:00:00")
+        snapshot_csv(snapshot, kept, day)
+    snapshot_csv(_listed_station(supplier, middle[1]), kept, middle[0])
+    history.put_in_late(spark, path, kept, middle[0], f"{middle[0]} 06:00:00")
+    scd.apply_snapshot(_listed_station(supplier, last[1]), path, last[0], f"{last[0]} 06:00:00")
+    return _statuses(scd.read_stations(spark, path))
+
+
+_SNAPSHOT_DAYS = {dt.date(1996, 1, 1) + dt.timedelta(days=9 * k): k for k in range(1, 13)}
+
+
+@query(
+    "scd2_from_snapshots",
+    "supplier",
+    oracle="""
+        WITH seen AS (
+            SELECT s_suppkey AS station, k, DATE '1996-01-01' + 9 * k AS day,
+                   (s_suppkey * 7 + k * 3) % 5 <> 0 AND s_nationkey <> k AS listed,
+                   s_name || ' ' || k AS name,
+                   CASE WHEN (s_suppkey + k) % 3 <> 0 THEN 'street ' || k END AS address,
+                   (s_suppkey + k) % 11 <> 0 AND (s_suppkey + k) % 7 <> 0 AS working
+            FROM supplier, (SELECT unnest(range(1, 13))::INTEGER AS k)),
+        known AS (
+            SELECT *, listed AND working AS active FROM seen s
+            WHERE k >= (SELECT min(k) FROM seen f WHERE f.station = s.station AND f.listed)),
+        compared AS (
+            SELECT *, lag(active) OVER (PARTITION BY station ORDER BY k) AS was FROM known),
+        starts AS (SELECT * FROM compared WHERE was IS NULL OR was <> active)
+        SELECT CAST(station AS VARCHAR) AS station_id, active AS active_status, day AS start_date,
+               lead(day) OVER w AS end_date,
+               last_value(CASE WHEN listed THEN name END IGNORE NULLS) OVER w AS name,
+               last_value(CASE WHEN listed THEN address END IGNORE NULLS) OVER w AS address,
+               coalesce(lead(day) OVER w, DATE '1996-01-01' + 108) + INTERVAL 6 HOUR AS last_updated
+        FROM starts WINDOW w AS (PARTITION BY station ORDER BY k)""",
+)
+def _scd2_from_snapshots(spark, sf_dir):
+    """Twelve dated snapshots, from which stations are missing in turn, to all versions at once."""
+    supplier = table(spark, sf_dir, "supplier")
+    days = F.explode(F.array(*[F.struct(F.lit(d).alias("day"), F.lit(k).alias("k")) for d, k in _SNAPSHOT_DAYS.items()]))
+    station = F.col("s_suppkey")
+    listed = supplier.select("*", days.alias("d")).select("*", "d.*").where(
+        ((station * 7 + F.col("k") * 3) % 5 != 0) & (F.col("s_nationkey") != F.col("k"))
+    )
+    turn = station + F.col("k")
+    snapshots = listed.select(
+        F.col("day").alias(history.DAY),
+        station.cast("string").alias("station_id"),
+        F.concat("s_name", F.lit(" "), F.col("k").cast("string")).alias("name"),
+        F.lit(-75.0).alias("lon"),
+        F.lit(40.0).alias("lat"),
+        F.lit("dock").alias("station_type"),
+        F.when(turn % 3 != 0, F.concat(F.lit("street "), F.col("k").cast("string"))).alias("address"),
+        F.when(turn % 11 != 0, turn % 7 != 0).alias("active_status"),
+    )
+    dim = history.versions_of(snapshots, {d: f"{d} 06:00:00" for d in _SNAPSHOT_DAYS})
+    return dim.select("station_id", "active_status", "start_date", "end_date", "name", "address", "last_updated")
 
 
 @query(
