@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -81,6 +82,7 @@ def test_redaction(spark, odd_docs):
         (2, "token=EXAMPLE00", "a"),
         (3, "token=EXAMPLE00", "b"),
         (4, "token=EXAMPLE00", "c"),
+        *((10 + i, f"token=EXAMPLE00 {i}", "c") for i in range(10)),
         (5, None, "c"),
         (6, "token=" + "9f" * 20, "c"),
         (7, "password=letters", "c"),
@@ -116,6 +118,33 @@ def test_repositories_take_part_in_the_verdict(spark):
     assert kept == {i: t.replace("token=abcdef1", "[secret]").replace("token=abcdef2", "[secret]") for i, t, _ in rows}
 
 
+def test_a_verdict_does_not_change_with_the_corpus(spark):
+    """Values near the limits, alone and among 20,000 plain rows."""
+    rows = [(i, f"leak {i} token=abcdef1", f"owner{i}") for i in range(3)]
+    rows += [(100 + i, f"docs {i} token=EXAMPLE11", f"owner{i % 3}") for i in range(10)]
+    rows += [(200 + i, f"docs {i} token=EXAMPLE22", f"owner{i % 3}") for i in range(11)]
+    plain = [(1000 + i, f"plain text {i}", f"owner{i % 50}") for i in range(20_000)]
+    schema = "doc_id long, text string, source string"
+    few, many = (
+        {r["doc_id"]: r["text"] for r in secrets.redact(spark.createDataFrame(x, schema)).collect() if r["doc_id"] < 1000}
+        for x in (rows, rows + plain)
+    )
+    assert few == many
+    assert [few[0], few[100]] == ["leak 0 [secret]", "docs 0 [secret]"] and few[200].endswith("EXAMPLE22")
+
+
+def test_texts_with_very_many_spans(spark):
+    """Positions of more matches than one run holds; the time grows with their number, not its square."""
+    text = " é ".join(f"{i:024x}" for i in range(8000))
+    docs = spark.createDataFrame([(1, text, "a")], "doc_id long, text string, source string")
+    start = time.perf_counter()
+    (row,) = secrets.report(docs).collect()
+    assert time.perf_counter() - start < 10
+    spans = given_spans(text)
+    assert row["base_sha256"] == hashlib.sha256(listed(spans).encode()).hexdigest()
+    assert row["n_hex"] == 8000
+
+
 def test_no_python_in_the_plan(docs):
     plan = secrets.redact(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan

@@ -168,14 +168,19 @@ placed AS (SELECT n, doc_id, source, ord, kind, value,
   WHERE length(value) >= [6, 20, 24, 24][ord + 1]),
 owned AS (SELECT value, count(DISTINCT coalesce('=' || source, '-')) AS n_owners
   FROM placed WHERE ord < 3 OR mixed GROUP BY value),
-judged AS (SELECT *, mixed AND n_owners <= 2 AS live FROM placed JOIN owned USING (value)
-  WHERE ord < 3 OR (mixed AND n_owners <= 2)),
+once AS (SELECT value, text, min(doc_id) AS repo FROM placed JOIN docs USING (n, doc_id)
+  WHERE ord < 3 OR mixed GROUP BY value, text),
+held AS (SELECT value, count(DISTINCT coalesce('=' || repo, '-')) AS n_repos FROM once GROUP BY value),
+verdicts AS (SELECT value, (n_owners > 2 AND n_repos > 10) OR n_repos > 1000 AS example
+  FROM owned JOIN held USING (value)),
+judged AS (SELECT *, mixed AND NOT example AS live FROM placed JOIN verdicts USING (value)
+  WHERE ord < 3 OR (mixed AND NOT example)),
 listed AS (SELECT n, count(*) FILTER (ord = 0) AS n_assign, count(*) FILTER (ord = 1) AS n_access,
     count(*) FILTER (ord = 2) AS n_hex,
     string_agg(kind || ':' || start || ':' || (start + size), ',' ORDER BY start, ord)
       FILTER (ord < 3) AS base,
     string_agg(kind || ':' || start || ':' || (start + size), ',' ORDER BY start, ord) AS spans,
-    count(*) FILTER (live) AS n_live, count(*) FILTER (n_owners > 2) AS n_example
+    count(*) FILTER (live) AS n_live, count(*) FILTER (example) AS n_example
   FROM judged GROUP BY n)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
   coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,

@@ -12,6 +12,7 @@ Positions count code points, the end is exclusive.  NULL and '' have no spans.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -19,11 +20,14 @@ from pyspark.sql import functions as F
 
 from velotide.llm.common import saved
 
-#: A value in the hands of more owners is an example, if more repositories hold it than
-#: MAX_REPOS or, in a corpus too small to show so many, one in REPOS_SHARE of its rows.
-MAX_OWNERS, MAX_REPOS, REPOS_SHARE = 2, 10, 1000
-#: A value in more repositories is an example, however few its owners.
+#: A value that more owners than MAX_OWNERS hold in more repositories than MAX_REPOS is an
+#: example.  Fixed numbers: a value has one verdict, whatever else the corpus holds.
+MAX_OWNERS, MAX_REPOS = 2, 10
+#: A value in more repositories is an example, however few its owners: nobody pastes a live
+#: credential into a thousand different texts, while a template's placeholder is in all of them.
 MAX_REPOS_OF_FEW = 1000
+#: Matches of a text whose lengths are added up one by one.
+RUN = 128
 
 
 @dataclass(frozen=True)
@@ -59,6 +63,37 @@ KINDS = [
 SPAN = "struct<start:int,ord:int,kind:string,end:int,given:boolean,hash:string,mixed:boolean>"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once; a lambda would do so for each element."""
+    return F.transform(F.array(value), use)[0]
+
+
+def before(lengths: Column) -> Column:
+    """For each of an array of lengths, the sum of those before it.
+
+    Sums of runs of RUN lengths come first, so that an array of n takes n times
+    RUN and n / RUN steps, in place of n times n.
+    """
+
+    def total(x: Column) -> Column:
+        return F.aggregate(x, F.lit(0), lambda a, y: a + y)
+
+    def first(x: Column, n: Column) -> Column:
+        return total(F.slice(x, F.lit(1), n))
+
+    def cut(x: Column) -> Column:
+        last = F.floor((F.size(x) - 1) / RUN).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(x, k * RUN + 1, F.lit(RUN)))
+
+    def sums(runs: Column) -> Column:
+        bases = let(F.transform(runs, total), lambda s: F.transform(s, lambda _, k: first(s, k)))
+        each = F.zip_with(runs, bases, lambda own, base: F.transform(own, lambda _, i: base + first(own, i)))
+        return F.flatten(each)
+
+    none = F.array().cast("array<int>")
+    return let(lengths, lambda x: F.when(F.size(x) > 0, let(cut(x), sums)).otherwise(none))
+
+
 def spans_of(text: Column, order: int, kind: Kind) -> Column:
     """Spans of one kind: leftmost matches that don't overlap.
 
@@ -66,32 +101,32 @@ def spans_of(text: Column, order: int, kind: Kind) -> Column:
     pieces between matches and of the matches add up to the positions.
     """
     pattern = F.lit(kind.pattern)
-    found = F.arrays_zip(
-        F.transform(F.split(text, kind.pattern, -1), F.length).alias("gap"),
-        F.regexp_extract_all(text, pattern, F.lit(0)).alias("whole"),
-        F.regexp_extract_all(text, pattern, F.lit(kind.group)).alias("value"),
-    )
+    gaps = F.transform(F.split(text, kind.pattern, -1), F.length)
+    sizes = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length)
+    values = F.regexp_extract_all(text, pattern, F.lit(kind.group))
     # The last gap has no match after it.
-    found = F.filter(found, lambda m: m["whole"].isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
-
-    def step(done: Column, m: Column) -> Column:
-        begin = done["at"] + m["gap"]
-        end = begin + F.length(m["whole"])
-        value = m["value"]
-        span = F.struct(
+    found = F.filter(
+        F.arrays_zip(gaps.alias("gap"), sizes.alias("size"), values.alias("value")), lambda m: m["size"].isNotNull()
+    )
+
+    def span(m: Column, at: Column) -> Column:
+        begin, value = at + m["gap"], m["value"]
+        return F.struct(
             begin.alias("start"),
             F.lit(order).alias("ord"),
             F.lit(kind.name).alias("kind"),
-            end.alias("end"),
+            (begin + m["size"]).alias("end"),
             F.lit(kind.given).alias("given"),
             F.sha2(value, 256).alias("hash"),
             (F.regexp_like(value, F.lit("[0-9]")) & F.regexp_like(value, F.lit("[A-Za-z]"))).alias("mixed"),
         )
-        some = F.when(F.length(value) >= kind.least, F.array(span)).otherwise(F.array().cast(f"array<{SPAN}>"))
-        return F.struct(end.alias("at"), F.concat(done["spans"], some).alias("spans"))
 
-    return F.aggregate(found, start, step)["spans"]
+    def placed(matches: Column) -> Column:
+        at = before(F.transform(matches, lambda m: m["gap"] + m["size"]))
+        long = F.zip_with(matches, at, lambda m, at: F.when(F.length(m["value"]) >= kind.least, span(m, at)))
+        return F.filter(long, lambda s: s.isNotNull())
+
+    return let(found, placed).cast(f"array<{SPAN}>")
 
 
 def candidates(text: Column) -> Column:
@@ -132,7 +167,6 @@ def scan(docs: DataFrame, text: str = "text", repo: str = "doc_id", owner: str =
     Rows are told apart by their place in the stored table of hits, not by their
     id, so repeated rows keep a result each.
     """
-    many = min(MAX_REPOS, docs.count() / REPOS_SHARE)
     found = docs.select(F.struct("*").alias("doc"), candidates(F.col(text)).alias("found"))
     # Told once, as every count of owners and repositories reads it.
     same = F.sha2(F.col("doc")[text], 256).alias("same")
@@ -146,7 +180,7 @@ def scan(docs: DataFrame, text: str = "text", repo: str = "doc_id", owner: str =
         F.inline("found"),
     )
     judged = each.join(ownership(each), "hash")
-    example = ((F.col("n_owners") > MAX_OWNERS) & (F.col("n_repos") > many)) | (F.col("n_repos") > MAX_REPOS_OF_FEW)
+    example = ((F.col("n_owners") > MAX_OWNERS) & (F.col("n_repos") > MAX_REPOS)) | (F.col("n_repos") > MAX_REPOS_OF_FEW)
     live = F.col("mixed") & ~example
     span = F.struct(
         "start", "ord", "kind", "end", "given", live.alias("live"), example.alias("example"), "n_owners", "n_repos"
