@@ -3,6 +3,7 @@
 import collections
 
 import pytest
+from pyspark.sql import functions as F
 
 from velotide.llm import shards
 
@@ -77,3 +78,15 @@ def test_written_shards(spark, tmp_path):
     assert back.select(docs.columns).exceptAll(docs).isEmpty()
     assert back.count() == docs.count()
     assert back.select("shard").distinct().count() > 3
+
+
+def test_written_rows_are_told_apart_by_row(spark, tmp_path, odd_docs):
+    """Two texts an id, rows without id, repeated rows: each row is written once."""
+    rows = [(i // 2, f"text {i} " * 5) for i in range(200)] + [(None, "no id"), (None, "no id"), (None, None)]
+    rows += [(500, "x" * 100)] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for name, some in (("own", docs), ("odd", odd_docs.withColumn("shard", F.lit("x")))):
+        shards.write_shards(some, 300, str(tmp_path / name))
+        back = spark.read.schema(some.schema).parquet(str(tmp_path / name))
+        columns = [c for c in some.columns if c != "shard"]
+        assert sorted(map(repr, back.select(columns).collect())) == sorted(map(repr, some.select(columns).collect()))

@@ -62,44 +62,54 @@ def directory(rows: DataFrame, limit: int, step: int = 12) -> DataFrame:
         start = end
 
 
-def assign(docs: DataFrame, limit: int) -> DataFrame:
-    """Per row doc_id, bytes, depth and shard (the bits of its prefix; '' is the whole).
-
-    Rows are hashed by id and text; a NULL text has no bytes.  A row larger than
-    the limit is a shard of its own.  Repeated rows share all bits: where they
-    alone exceed the limit, '+k' numbers the pieces they are cut into.
-    """
-    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    rows = saved(
-        docs.select("doc_id", hash_bits("doc_id", "text").alias("bits"), size.alias("size")),
-        "shard-rows",
-    )
-    leaves = saved(directory(rows, limit), "shard-directory")
+def placed(rows: DataFrame, leaves: DataFrame, limit: int) -> DataFrame:
+    """``rows``, which have bits, size and doc_id, with ``depth`` and ``shard``; each row stays one."""
     # Hashes spread evenly, so buckets have few depths; a row meets its bucket at one of them.
     depths = sorted(r[0] for r in leaves.select("depth").distinct().collect())
     at = F.explode(F.array(*map(F.lit, depths)).cast("array<int>")).alias("depth")
-    placed = (
+    found = (
         rows.select("*", at)
         .withColumn("prefix", F.expr(f"shiftright(bits, {BITS} - depth)"))
         .join(leaves.select("depth", "prefix", "oversize", "n_docs"), ["depth", "prefix"])
     )
     digits = F.conv(F.col("prefix").cast("string"), 10, 2)
-    placed = placed.withColumn(
+    found = found.withColumn(
         "shard", F.when(F.col("depth") == 0, "").otherwise(F.lpad(digits, F.col("depth"), "0"))
     )
-    columns = ["doc_id", F.col("size").alias("bytes"), "depth", "shard"]
     several = F.col("oversize") & (F.col("n_docs") > 1)
     copies = Window.partitionBy("bits").orderBy("doc_id")
     each = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.col("size")))
     piece = F.floor((F.row_number().over(copies) - 1) / each).cast("string")
-    cut = placed.where(several).withColumn("shard", F.concat("shard", F.lit("+"), piece))
-    return placed.where(~several).select(*columns).unionByName(cut.select(*columns))
+    cut = found.where(several).withColumn("shard", F.concat("shard", F.lit("+"), piece))
+    return found.where(~several).unionByName(cut)
+
+
+def sized() -> list[str | Column]:
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return ["doc_id", hash_bits("doc_id", "text").alias("bits"), size.alias("size")]
+
+
+def assign(docs: DataFrame, limit: int) -> DataFrame:
+    """Per row doc_id, bytes, depth and shard (the bits of its prefix; '' is the whole).
+
+    Rows are hashed by id and text; a NULL text has no bytes.  A row larger than
+    the limit is a shard of its own.  Repeated rows share all bits: where they
+    alone exceed the limit, '+k' numbers the pieces they are cut into.
+    """
+    rows = saved(docs.select(*sized()), "shard-rows")
+    leaves = saved(directory(rows, limit), "shard-directory")
+    return placed(rows, leaves, limit).select("doc_id", F.col("size").alias("bytes"), "depth", "shard")
 
 
 def write_shards(docs: DataFrame, limit: int, path: str) -> None:
-    """Store each shard as a folder ``shard=<bits>`` of whole rows of ``docs``."""
-    keyed = docs.withColumn("_bits", hash_bits("doc_id", "text"))
-    shards = assign(docs, limit).select(F.col("doc_id").alias("_id"), F.col("shard").alias("_shard"))
-    rows = keyed.join(shards.distinct(), F.col("doc_id").eqNullSafe(F.col("_id")))
-    rows = rows.withColumn("shard", F.concat(F.lit("b"), "_shard")).drop("_bits", "_id", "_shard")
+    """Store each shard as a folder ``shard=<bits>`` of whole rows of ``docs``.
+
+    A row carries its own bits to its shard, so rows that share an id, have none
+    or are repeated are each written once.  A column ``shard`` of ``docs`` gives
+    way to that of the folder.
+    """
+    leaves = saved(directory(docs.select(*sized()), limit), "shard-directory")
+    rows = placed(docs.select(F.struct("*").alias("doc"), *sized()), leaves, limit)
+    kept = [F.col("doc")[c].alias(c) for c in docs.columns if c != "shard"]
+    rows = rows.select(*kept, F.concat(F.lit("b"), "shard").alias("shard"))
     rows.repartition("shard").write.partitionBy("shard").parquet(path)
