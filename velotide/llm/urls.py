@@ -8,8 +8,9 @@ hold.  A URL's own tokens fetch the rules filed under them, and only those are
 run, as regular expressions.  Rules without a sure token are filed under '',
 which every URL fetches.
 
-All row-wise expressions: no shuffle, but for the token counts, whose result is
-bounded by the tokens of the rules.
+Up to PLAN_RULES rules are part of the plan: row-wise expressions, and no shuffle
+but for the token counts, whose result is bounded by the tokens of the rules.  More
+are a table by token, joined with the tokens of the URLs.
 """
 
 from __future__ import annotations
@@ -20,11 +21,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from velotide.llm.common import saved
+from velotide.operators.sizing import broadcast_if_small
+
 TOKEN = "[a-z0-9]+"
 #: Separator of a pattern's ``^``: anything but letters, digits and ``_.%-``; or the end.
 SEPARATOR = r"(?:[^a-z0-9_.%-]|$)"
-#: Rules are part of the plan; larger sets have to be a table of their own.
-MAX_RULES = 5_000
+#: More rules than this are a table in place of a part of the plan.
+PLAN_RULES = 1_000
 
 
 @dataclass(frozen=True)
@@ -46,9 +50,9 @@ class Rule:
 
     @property
     def regex(self) -> str:
-        """Over ``host`` + newline + ``path``, or over the lower-cased URL."""
+        """Over the host, whatever it holds, or over the lower-cased URL."""
         if self.by_host:
-            return rf"^(?:[^\n]*\.)?{literal(self.host)}\n{literal(self.path)}"
+            return rf"(?s)^(?:.*\.)?{literal(self.host)}\z"
         parts = re.split(r"([*^])", self.text.lower())
         return "".join(
             ".*" if p == "*" else SEPARATOR if p == "^" else literal(p) for p in parts
@@ -140,6 +144,68 @@ def index(rules: list[Rule], counts: dict[str, int]) -> dict[str, list[int]]:
     return filed
 
 
+def entry(rule: Rule) -> tuple[str, str, bool, str, str]:
+    return rule.text, rule.action, rule.by_host, rule.regex, rule.path if rule.by_host else ""
+
+
+ENTRY = "text string, action string, by_host boolean, regex string, prefix string"
+
+
+def fits(r: Column) -> Column:
+    """Whether a rule (as ENTRY) matches the row: host and path each by itself, or the whole URL."""
+    by_host = F.regexp_like("host", r["regex"]) & F.startswith(F.col("path"), r["prefix"])
+    by_url = F.regexp_like(lowered(F.coalesce("url", F.lit(""))), r["regex"])
+    return F.when(r["by_host"], by_host).otherwise(by_url)
+
+
+def matches_in_plan(rows: DataFrame, rules: list[Rule], filed: dict[str, list[int]]) -> DataFrame:
+    """``rows`` with ``matches`` and ``n_candidates``, by a map of the plan."""
+
+    def literals(rule: Rule) -> Column:
+        names = [f.split()[0] for f in ENTRY.split(", ")]
+        return F.struct(*[F.lit(v).alias(n) for n, v in zip(names, entry(rule), strict=True)])
+
+    table = F.create_map(
+        *[x for key, own in filed.items() for x in (F.lit(key), F.array(*[literals(rules[i]) for i in own]))]
+    )
+    keys = F.array_union(url_tokens(F.col("url")), F.array(F.lit("")))
+    known = F.array_intersect(keys, F.lit(sorted(filed)).cast("array<string>"))
+    rows = rows.withColumn("candidates", F.flatten(F.transform(known, lambda t: table[t])))
+    return rows.withColumns({"matches": F.filter("candidates", fits), "n_candidates": F.size("candidates")}).drop(
+        "candidates"
+    )
+
+
+def matches_by_table(rows: DataFrame, rules: list[Rule], filed: dict[str, list[int]]) -> DataFrame:
+    """The same by a join of the URLs' tokens with a table of rules by token.
+
+    Rules are filed under rare tokens, so few rows meet any.  Of a URL's matches
+    the longest rule and one pattern are kept, within tasks first, as no more decide.
+    """
+    spark = rows.sparkSession
+    listed = [(key, *entry(rules[i])) for key, own in filed.items() for i in own if key]
+    table = broadcast_if_small(spark.createDataFrame(listed, f"token string, {ENTRY}"))
+    rows = saved(rows.withColumn("row", F.monotonically_increasing_id()), "url-rows")
+    tokens = rows.select("*", F.explode(url_tokens(F.col("url"))).alias("token"))
+    met = tokens.join(table, "token")
+    rule = F.struct(*[f.split()[0] for f in ENTRY.split(", ")]).alias("rule")
+    met = met.select("row", "host", "path", "url", rule).withColumn("fits", fits(F.col("rule")))
+    best = F.struct(F.col("rule.by_host").alias("by_host"), F.length("rule.text").alias("n"), "rule")
+    found = met.groupBy("row").agg(
+        F.max(F.when(F.col("fits") & F.col("rule.by_host"), best))["rule"].alias("longest"),
+        F.max(F.when(F.col("fits") & ~F.col("rule.by_host"), best))["rule"].alias("pattern"),
+        F.count("*").cast("int").alias("n_met"),
+    )
+    rows = rows.join(found, "row", "left")
+    always = matches_in_plan(rows, rules, {"": filed.get("", [])}) if "" in filed else rows.withColumns(
+        {"matches": F.array().cast(f"array<struct<{ENTRY.replace(' ', ':').replace(',:', ',')}>>"), "n_candidates": F.lit(0)}
+    )
+    every = F.array_compact(F.concat("matches", F.array("longest", "pattern")))
+    return always.withColumns(
+        {"matches": every, "n_candidates": F.col("n_candidates") + F.coalesce("n_met", F.lit(0))}
+    )
+
+
 def judge(
     pages: DataFrame, given: list[Rule] = GIVEN, patterns: list[Rule] = PATTERNS
 ) -> DataFrame:
@@ -148,37 +214,15 @@ def judge(
     The longest fitting rule of ``given`` decides; without one, a match of
     ``patterns`` blocks and all else is allowed.  A NULL URL and one without
     ``://`` have an empty host and path; patterns see the whole URL ('' for
-    NULL).  Repeated rows are each judged.
+    NULL).  Hosts and paths may hold any character, line breaks included.
+    Repeated rows are each judged.
     """
     rules = [*given, *patterns]
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
     rows = pages.select("page_id", "url")
     filed = index(rules, token_counts(rows, rules))
-
-    def entry(i: int) -> Column:
-        return F.struct(
-            F.lit(rules[i].text).alias("text"),
-            F.lit(rules[i].action).alias("action"),
-            F.lit(rules[i].by_host).alias("by_host"),
-            F.lit(rules[i].regex).alias("regex"),
-        )
-
-    table = F.create_map(
-        *[x for key, own in filed.items() for x in (F.lit(key), F.array(*map(entry, own)))]
-    )
-    keys = F.array_union(url_tokens(F.col("url")), F.array(F.lit("")))
-    known = F.array_intersect(keys, F.lit(sorted(filed)).cast("array<string>"))
     rows = rows.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
-    rows = rows.withColumn("candidates", F.flatten(F.transform(known, lambda t: table[t])))
-
-    def fits(r: Column) -> Column:
-        by_host = F.concat("host", F.lit("\n"), "path")
-        return F.when(r["by_host"], F.regexp_like(by_host, r["regex"])).otherwise(
-            F.regexp_like(lowered(F.coalesce("url", F.lit(""))), r["regex"])
-        )
-
-    rows = rows.withColumn("matches", F.filter("candidates", fits))
+    run = matches_in_plan if len(rules) <= PLAN_RULES else matches_by_table
+    rows = run(rows, rules, filed)
     best = F.array_sort(
         F.transform(
             F.filter("matches", lambda r: r["by_host"]),
@@ -195,5 +239,5 @@ def judge(
         "path",
         F.col("best.rule").alias("rule"),
         F.coalesce("best.action", F.when(matched, "block").otherwise("allow")).alias("verdict"),
-        F.size("candidates").alias("n_candidates"),
+        "n_candidates",
     )
