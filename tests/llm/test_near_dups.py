@@ -91,6 +91,22 @@ def test_one_of_each_keeps_the_columns(spark, odd_docs):
     assert ids == sorted([1, 2, 3, None, 4, 4, 5, 6, 9, 11, 12, 13], key=repr)
 
 
+def test_one_of_each_tells_rows_apart_by_text(spark):
+    near = family(5, 2, words=300, edits=1)
+    other = " ".join(f"z{i}" for i in range(50))
+    schema = "doc_id long, text string, lang string, source string"
+    rows = [(3, near[0], "en", "b"), (4, other, "en", "a"), (4, near[1], "en", "a")]
+    assert [tuple(r)[:2] for r in near_dups.one_of_each(spark.createDataFrame(rows, schema)).orderBy("doc_id").collect()] == [
+        (3, near[0]), (4, other)
+    ]
+    rows = [(None, t, "en", "a") for t in near] + [(None, other, "en", "a"), (9, other, "en", "a")]
+    left = near_dups.one_of_each(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((repr(r["doc_id"]), r["text"] in near) for r in left) == [("9", False), ("None", True)]
+    rows = [(7, other, "fr", "b"), (7, other, "de", "z"), (7, other, "de", None), (8, None, "x", "y"), (8, None, "x", "y")]
+    left = sorted(map(tuple, near_dups.one_of_each(spark.createDataFrame(rows, schema)).collect()), key=repr)
+    assert left == [(7, other, "de", None), (8, None, "x", "y")]
+
+
 def test_shingles_are_sets():
     assert len(near_dups.shingles(b"")) == 0
     assert len(near_dups.shingles(b" A ")) == 1

@@ -321,14 +321,9 @@ def large_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row doc_id, n_shingles, component_id and kept.
-
-    Rows are linked by their sets, so repeated rows and exact copies are one node.
-    A NULL or empty text, or one without words, has an empty set and is its own
-    component.  component_id is the least non-NULL doc_id of the component (of
-    an empty set: the row's own); kept says that the row has it.
-    """
+def grouped(docs: DataFrame) -> DataFrame:
+    """The rows of ``signed`` (doc_id, place, n, digest) with the ``root`` of their component, a
+    digest, and its ``component_id``; both are NULL for an empty set."""
     docs = docs.select("doc_id", "text")
     rows = saved(signed(docs), "signed")
     info = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(
@@ -366,22 +361,41 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "root", F.coalesce("root", "digest")
     )
     least = groups.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    ids = groups.select("digest", "root").join(least, "root").select("digest", "component_id")
-    out = rows.select("doc_id", "n", "digest").join(ids, "digest", "left")
+    ids = groups.select("digest", "root").join(least, "root").select("digest", "root", "component_id")
+    return rows.select("doc_id", "place", "n", "digest").join(ids, "digest", "left")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Per row doc_id, n_shingles, component_id and kept.
+
+    Rows are linked by their sets, so repeated rows and exact copies are one node.
+    A NULL or empty text, or one without words, has an empty set and is its own
+    component.  component_id is the least non-NULL doc_id of the component (of
+    an empty set: the row's own); kept says that the row has it.
+    """
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select(
+    return grouped(docs).select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-
-
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one with the least doc_id.
+    """One row of each component: the one with the least doc_id, NULL counting as the greatest.
 
-    Rows of equal id and text are one row; texts that share an id are one document.
-    Rows without a doc_id stay unless another row of their component has one.
+    Rows are told apart by id and text, so of texts that share an id each is
+    judged by itself; of several in one component with the least id, the one
+    with the least hash stays.  Texts without words stay.  Of rows of equal id and
+    text, the one with the least other columns stays.
     """
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    rows = grouped(docs)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("place.h").alias("h"))).alias("f")
+    least = rows.where("root IS NOT NULL").groupBy("root").agg(first).select("f.doc_id", "f.h")
+    empty = rows.where("root IS NULL").select("doc_id", F.col("place.h").alias("h")).distinct()
+    kept = least.unionByName(empty).select(F.col("doc_id").alias("_kept_id"), F.col("h").alias("_kept_h"))
+    same = (F.xxhash64("text") == F.col("_kept_h")) & F.col("doc_id").eqNullSafe(F.col("_kept_id"))
+    rows = docs.join(kept, same, "left_semi")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    if not others:
+        return rows.distinct()
+    once = rows.groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias("_others"))
+    return once.select(*[c if c in ("doc_id", "text") else F.col("_others")[c].alias(c) for c in docs.columns])
