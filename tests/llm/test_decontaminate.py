@@ -105,3 +105,11 @@ def test_items_in_blocks(spark, monkeypatch):
     assert sorted(map(tuple, d.contaminations(docs, benchmark).collect())) == whole
     assert len(whole) > 10
     assert d.clean(docs, benchmark).count() == 1000 - len({r[0] for r in whole})
+
+
+def test_ids_of_any_type(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([("d", f"before {item} after"), ("e", "else")], "doc_id string, text string")
+    items = spark.createDataFrame([("i1", item)], "item_id string, text string")
+    assert [tuple(r) for r in d.contaminations(docs, items).collect()] == [("d", "i1", 0, 31)]
+    assert [r["doc_id"] for r in d.clean(docs, items).collect()] == ["e"]

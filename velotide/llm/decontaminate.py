@@ -241,11 +241,15 @@ def blocks(benchmark: DataFrame) -> Iterator[Items]:
         yield Items(sorted(((r[0], r[1].encode()) for r in own), key=repr))
 
 
-def find(docs: DataFrame, items: Items) -> DataFrame:
+def type_of(benchmark: DataFrame) -> str:
+    return benchmark.schema["item_id"].dataType.simpleString()
+
+
+def find(docs: DataFrame, items: Items, id_type: str = "bigint") -> DataFrame:
     """Every row of ``docs`` as ``doc``, with its ``matches`` (item_id, edits, end_word)."""
     shared = docs.sparkSession.sparkContext.broadcast(items)
     run = text_function(
-        "matches array<struct<item_id:bigint,edits:int,end_word:int>>",
+        f"matches array<struct<item_id:{id_type},edits:int,end_word:int>>",
         lambda texts: {"matches": shared.value.matches(texts)},
     )
     return docs.select(F.struct("*").alias("doc"), run(F.col("text")).alias("out")).select(
@@ -257,11 +261,11 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, edits, end_word): every item found in every row.
 
     Repeated rows give repeated results.  NULL and empty texts and items hold
-    nothing.
+    nothing.  Ids may be of any type.
     """
     out = None
     for items in blocks(benchmark):
-        found = find(docs.select("doc_id", "text"), items)
+        found = find(docs.select("doc_id", "text"), items, type_of(benchmark))
         rows = found.select("doc.doc_id", F.inline("matches"))
         out = rows if out is None else out.unionByName(rows)
     return out
@@ -270,5 +274,5 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item."""
     for items in blocks(benchmark):
-        docs = find(docs, items).where(F.size("matches") == 0).select("doc.*")
+        docs = find(docs, items, type_of(benchmark)).where(F.size("matches") == 0).select("doc.*")
     return docs
