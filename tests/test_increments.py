@@ -1,0 +1,84 @@
+"""Stored counts of demand, and lines of trip files that are no trip."""
+
+import datetime as dt
+import random
+
+import pytest
+from helpers import rows
+
+from velotide.plans import demand, warehouse
+from velotide.sources import feeds, files
+from velotide.sources.tables import rebuild
+
+LEVELS = {
+    demand.BY_HOUR: demand.demand_by_hour,
+    demand.BY_DOW: demand.demand_by_dow,
+    demand.BY_DOW_HOUR: demand.demand_dow_hour,
+}
+
+
+def trips(spark, seed, n):
+    rng = random.Random(seed)
+    times = [(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rng.randrange(60 * 24 * 20)),) for _ in range(n)]
+    return spark.createDataFrame([*times, (None,)], "start_time timestamp_ntz")
+
+
+def same(spark, path, every):
+    for level, recount in LEVELS.items():
+        assert rows(demand.stored_demand(spark, path, level)) == rows(recount(every))
+
+
+def test_stored_counts_equal_a_recount(spark):
+    path = files.scratch_dir(spark, "demand")
+    days = [trips(spark, s, 200 + s) for s in range(3)]
+    every = None
+    for k, day in enumerate(days):
+        demand.load_demand(day, path, f"2024-01-0{k + 1}")
+        every = day if every is None else every.unionByName(day)
+        same(spark, path, every)
+    demand.load_demand(days[1], path, "2024-01-02")  # again
+    same(spark, path, every)
+    corrected = trips(spark, 9, 50)
+    demand.load_demand(corrected, path, "2024-01-02")
+    same(spark, path, days[0].unionByName(corrected).unionByName(days[2]))
+
+
+def test_a_load_without_trips(spark):
+    path = files.scratch_dir(spark, "demand")
+    demand.load_demand(trips(spark, 1, 30), path, "a")
+    demand.load_demand(trips(spark, 1, 30).limit(0), path, "b")
+    same(spark, path, trips(spark, 1, 30))
+
+
+HEADER = "trip_id,duration,start_time,end_time,start_station,end_station,bike_id,plan_duration,trip_route_category,passholder_type,bike_type"
+GOOD = "{0},5,2024-01-01T10:00:00,2024-01-01T10:05:00,3000,3001,b1,30,One Way,Month,standard"
+
+
+def write(tmp_path, **texts):
+    for name, lines in texts.items():
+        (tmp_path / f"{name}.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    return str(tmp_path / "*.csv")
+
+
+def test_bad_lines_go_to_a_table(spark, tmp_path):
+    bad = ["8,many,2024-01-01T10:00:00,,3000,3001,b1,30,One Way,Month,standard", "9,5", "10,5,noon,,,,,,,,", "11" + ",1" * 14]
+    named = "x1,5,,,3000,3001,b1,30,One Way,Month,standard"  # fits, but has no number
+    path = write(tmp_path, q1=[GOOD.format(1), bad[0], GOOD.format(2), bad[1]], q2=[bad[2], bad[3], GOOD.format(3), named])
+    base = files.scratch_dir(spark, "warehouse")
+    warehouse.load_trips(spark, path, base, keep_rejects=True)
+    assert rows(warehouse.read_trip_fact(spark, base), "trip_id") == [(1,), (2,), (3,)]
+    rejects = warehouse.read_trip_rejects(spark, base).collect()
+    assert sorted((r["file"].rsplit("/", 1)[1], r["line"]) for r in rejects) == sorted(
+        [("q1.csv", bad[0]), ("q1.csv", bad[1]), ("q2.csv", bad[2]), ("q2.csv", bad[3]), ("q2.csv", named)]
+    )
+    # Without a table for them, they fail the job and the old fact stays.
+    with pytest.raises(Exception, match="MALFORMED|malformed|CAST"):
+        warehouse.load_trips(spark, path, base)
+    assert warehouse.read_trip_fact(spark, base).count() == 3
+
+
+def test_files_without_bad_lines(spark, tmp_path):
+    path = write(tmp_path, q1=[GOOD.format(1)], q2=[])
+    stored = rebuild(feeds.read_trip_lines(spark, path), files.scratch_dir(spark, "lines"))
+    assert feeds.trip_rejects(stored).collect() == []
+    assert rows(feeds.good_trips(stored)) == rows(feeds.read_trips(spark, path))

@@ -57,6 +57,7 @@ def _parser() -> argparse.ArgumentParser:
     trips = job("trips", "rebuild the trip fact")
     trips.add_argument("--files", required=True, help="CSV files, may hold globs")
     trips.add_argument("--timestamp-format")
+    trips.add_argument("--keep-rejects", action="store_true", help="put lines that are no trip in a table")
     return parser
 
 
@@ -87,7 +88,11 @@ def run(spark: SparkSession, argv: list[str]) -> None:
         warehouse.load_weather(spark.read.parquet(args.reports), args.base, args.run_date)
     elif args.job == "trips":
         warehouse.load_trips(
-            spark, args.files, args.base, timestamp_format=args.timestamp_format
+            spark,
+            args.files,
+            args.base,
+            timestamp_format=args.timestamp_format,
+            keep_rejects=args.keep_rejects,
         )
 
 

@@ -20,15 +20,19 @@ from velotide.session import sized_shuffles
 from velotide.sources import files, snapshots, tables, versions
 from velotide.sources.feeds import (
     assert_complete,
+    good_trips,
     read_station_documents,
+    read_trip_lines,
     read_trips,
     station_entries,
     station_rows,
+    trip_rejects,
     weather_rows,
 )
 from velotide.streaming.ingest import read_status_table
 
 TRIPS = "fct_trip_data"
+TRIP_LINES, TRIP_REJECTS = "stg_trip_lines", "trip_rejects"
 STATIONS = "dim_stations_scd"
 STATUS_FACT = "fct_stations_status"
 STATUS_RAW = "raw_stations_status"
@@ -72,10 +76,31 @@ def load_weather(reports: DataFrame, base: str, run_date: dt.date | str) -> None
     tables.load_table(weather_rows(reports), base, "weather", tables.APPEND, load_id=load_id)
 
 
-def load_trips(spark: SparkSession, path: str, base: str, **options) -> None:
-    """Rebuild the trip fact from all quarterly files."""
+def load_trips(
+    spark: SparkSession,
+    path: str,
+    base: str,
+    timestamp_format: str | None = None,
+    keep_rejects: bool = False,
+) -> None:
+    """Rebuild the trip fact from all quarterly files.
+
+    A line that is no trip fails the job, or with ``keep_rejects`` goes to the
+    table of rejects (``read_trip_rejects``), which is rebuilt, too.
+    """
     with sized_shuffles(spark, path):
-        tables.rebuild(trip_fact(read_trips(spark, path, **options)), f"{base}/{TRIPS}")
+        if not keep_rejects:
+            trips = read_trips(spark, path, timestamp_format=timestamp_format)
+        else:
+            lines = tables.rebuild(read_trip_lines(spark, path, timestamp_format), f"{base}/{TRIP_LINES}")
+            tables.rebuild(trip_rejects(lines), f"{base}/{TRIP_REJECTS}")
+            trips = good_trips(lines)
+        tables.rebuild(trip_fact(trips), f"{base}/{TRIPS}")
+
+
+def read_trip_rejects(spark: SparkSession, base: str) -> DataFrame:
+    """(file, line) of the last load that kept them."""
+    return versions.read(spark, f"{base}/{TRIP_REJECTS}")
 
 
 def load_status(

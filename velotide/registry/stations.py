@@ -215,16 +215,14 @@ def _scd2_from_snapshots(spark, sf_dir):
     return dim.select("station_id", "active_status", "start_date", "end_date", "name", "address", "last_updated")
 
 
-@query(
-    "scd_as_of",
-    "lineitem",
-    "supplier",
-    oracle=f"""WITH {feeds.MERGED_SQL}, {feeds.TRIP_MOVES_SQL}
+_AS_OF_SQL = f"""WITH {feeds.MERGED_SQL}, {feeds.TRIP_MOVES_SQL}
         SELECT m.trip_id, m.leg, m.day, m.start_station, d.name, d.active_status, d.start_date
         FROM moves m LEFT JOIN merged d
           ON d.station_id = m.start_station AND d.start_date <= m.day
-         AND (d.end_date IS NULL OR m.day < d.end_date)""",
-)
+         AND (d.end_date IS NULL OR m.day < d.end_date)"""
+
+
+@query("scd_as_of", "lineitem", "supplier", oracle=_AS_OF_SQL)
 def _scd_as_of(spark, sf_dir):
     """The dimension is stored first: the lookup measures it and then reads it."""
     moves = feeds.trip_moves(table(spark, sf_dir, "lineitem")).drop("end_station")
@@ -232,6 +230,12 @@ def _scd_as_of(spark, sf_dir):
     return scd.scd_as_of(moves, dim, "day", key="start_station")
 
 
+@query("scd_as_of_sorted", "lineitem", "supplier", oracle=_AS_OF_SQL)
+def _scd_as_of_sorted(spark, sf_dir):
+    moves = feeds.trip_moves(table(spark, sf_dir, "lineitem")).drop("end_station")
+    return scd.scd_as_of_sorted(moves, _merged(spark, sf_dir), "day", key="start_station")
+
+
 @query(
     "key_reconcile",
     "events",

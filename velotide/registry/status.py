@@ -18,7 +18,7 @@ from velotide.plans import availability
 from velotide.registry import feeds
 from velotide.registry.base import query, rounded, table, table_stream
 from velotide.sources.files import scratch_dir
-from velotide.streaming import ingest
+from velotide.streaming import distinct, ingest, landed
 
 RUN_DATE = "2024-01-30"
 RUN_BEFORE = "2024-01-29"
@@ -78,6 +78,46 @@ def _status_stream_append(spark, sf_dir):
     return ingest.read_status_table(spark, path)
 
 
+@query(
+    "status_stream_distinct",
+    "events",
+    oracle=f"""WITH {feeds.DECODED_SQL}
+        SELECT DISTINCT station_id, utc_timestamp, CAST(utc_timestamp AS DATE) AS utc_date FROM decoded""",
+)
+def _status_stream_distinct(spark, sf_dir):
+    """Each station and time of reading once, and what the stream left out as late."""
+    path = scratch_dir(spark, "status")
+    payloads = feeds.status_payloads(table_stream(spark, sf_dir, "events"))
+    distinct.append_distinct_status(payloads, path, f"{path}-checkpoint").awaitTermination()
+    kept = ingest.read_status_table(spark, path)
+    late = distinct.late_readings(feeds.status_payloads(table(spark, sf_dir, "events")), kept)
+    every = kept.unionByName(late.withColumn("utc_date", F.to_date("utc_timestamp")))
+    return every.select("station_id", "utc_timestamp", "utc_date")
+
+
+@query(
+    "status_stream_latest",
+    "events",
+    oracle="""
+        SELECT CAST(ts + to_days(later) AS DATE) AS ingest_date, count(*) AS payloads
+        FROM events, (VALUES (1), (2)) l(later) GROUP BY 1""",
+)
+def _status_stream_latest(spark, sf_dir):
+    """A stream of landed payloads that starts after the first of three landings and restarts once.
+
+    The payloads land three times, a day later each time; the first landing is history.
+    """
+    raw, path = scratch_dir(spark, "raw"), scratch_dir(spark, "replayed")
+    for later in range(3):
+        payloads = feeds.status_payloads(table_stream(spark, sf_dir, "events"))
+        arrived = F.col("ingest_ts") + F.expr(f"interval {later} days")
+        ingest.land_raw(payloads.withColumn("ingest_ts", arrived), raw, f"{raw}-checkpoint-{later}").awaitTermination()
+        replayed = landed.read_landed_stream(spark, raw, f"{path}-checkpoint")
+        ingest.land_raw(replayed, path, f"{path}-checkpoint").awaitTermination()
+    rows = spark.read.schema("ingest_date date, value binary").parquet(path)
+    return rows.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("payloads"))
+
+
 @query(
     "utc_to_local",
     "events",
@@ -248,6 +288,53 @@ def _station_fill(spark, sf_dir):
     return rounded(fill, "fill_ratio", "empty_share", "full_share")
 
 
+_SPANS_SQL = f"""{feeds.STATUS_FACT_SQL},
+    seconds AS (SELECT *, CAST(floor(epoch(utc_timestamp)) AS BIGINT) AS since FROM fact),
+    followed AS (
+        SELECT *, lead(since) OVER (PARTITION BY station_id ORDER BY utc_timestamp) AS till FROM seconds),
+    spans AS (SELECT * FROM followed WHERE till > since)"""
+
+
+@query(
+    "availability_weighted",
+    "events",
+    oracle=f"""WITH {_SPANS_SQL},
+        cut AS (SELECT *, unnest(range(since - since % 3600, till, 3600)) AS moment FROM spans),
+        pieces AS (
+            SELECT hour({feeds.LOCAL.format('make_timestamp(moment * 1000000)')}) AS hour,
+                   least(till, moment + 3600) - greatest(since, moment) AS seconds,
+                   num_bikes_available AS bikes, num_docks_available AS docks
+            FROM cut)
+        SELECT CAST(hour AS INTEGER) AS hour, CAST(sum(seconds) AS BIGINT) AS seconds,
+               round(CAST(sum(bikes * seconds) AS DOUBLE) / sum(seconds), 10) AS avg_bikes,
+               round(CAST(sum(docks * seconds) AS DOUBLE) / sum(seconds), 10) AS avg_docks
+        FROM pieces GROUP BY 1""",
+)
+def _availability_weighted(spark, sf_dir):
+    fact = feeds.status_fact(table(spark, sf_dir, "events"))
+    return rounded(availability.weighted_availability_by_hour(fact), "avg_bikes", "avg_docks")
+
+
+@query(
+    "station_fill_weighted",
+    "events",
+    oracle=f"""WITH {_SPANS_SQL},
+        timed AS (
+            SELECT station_id, till - since AS s, num_bikes_available AS bikes, num_docks_available AS docks,
+                   bikes + docks AS places
+            FROM spans)
+        SELECT station_id, CAST(sum(s) AS BIGINT) AS seconds,
+               round(sum(CASE WHEN places <> 0 THEN CAST(bikes AS DOUBLE) / places * s END)
+                     / sum(CASE WHEN places <> 0 THEN s END), 10) AS fill_ratio,
+               round(CAST(sum(CASE WHEN bikes = 0 THEN s ELSE 0 END) AS DOUBLE) / sum(s), 10) AS empty_share,
+               round(CAST(sum(CASE WHEN docks = 0 THEN s ELSE 0 END) AS DOUBLE) / sum(s), 10) AS full_share
+        FROM timed GROUP BY 1""",
+)
+def _station_fill_weighted(spark, sf_dir):
+    fill = availability.weighted_station_fill(feeds.status_fact(table(spark, sf_dir, "events")))
+    return rounded(fill, "fill_ratio", "empty_share", "full_share")
+
+
 @query(
     "demand_vs_availability",
     "events",

@@ -8,7 +8,7 @@ from velotide.operators.trips import trip_fact, trips_with_stations
 from velotide.plans import demand, stations
 from velotide.registry import feeds
 from velotide.registry.base import query, table
-from velotide.sources.feeds import read_trips
+from velotide.sources.feeds import good_trips, read_trip_lines, read_trips, trip_rejects
 from velotide.sources.files import scratch_dir
 from velotide.sources.tables import rebuild
 
@@ -32,6 +32,36 @@ def _trip_csv_load(spark, sf_dir):
     return read_trips(spark, f"{path}/quarter=*")
 
 
+@query(
+    "trip_csv_rejects",
+    "orders",
+    oracle=f"""WITH {feeds.TRIP_STAGING_SQL}
+        SELECT trip_id, start_station, duration, CAST(NULL AS INTEGER) AS columns FROM staging
+        WHERE plan_duration = 365
+        UNION ALL
+        SELECT trip_id, NULL, NULL, CASE WHEN bike_type IS NULL THEN 2 ELSE 11 END
+        FROM staging WHERE plan_duration = 30""",
+)
+def _trip_csv_rejects(spark, sf_dir):
+    """Files in which the trips of monthly plans are broken: no number, or most columns lacking."""
+    path = scratch_dir(spark, "trip_csv")
+    trips = feeds.trip_staging(table(spark, sf_dir, "orders"))
+    monthly, short = F.col("plan_duration") == 30, F.col("bike_type").isNull()
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in trips.columns]
+    broken = [F.when(monthly, "a month").otherwise(f) if c == "plan_duration" else f
+              for c, f in zip(trips.columns, fields, strict=True)]
+    line = F.when(monthly & short, F.concat_ws(",", "trip_id", F.lit("cut off"))).otherwise(F.concat_ws(",", *broken))
+    trips.select(line.alias(",".join(trips.columns))).write.option("header", True).option("sep", "\u0001").csv(path)
+    stored = rebuild(read_trip_lines(spark, path), scratch_dir(spark, "trip_lines"))
+    bad = F.split("line", ",")
+    rejects = trip_rejects(stored).select(
+        bad[0].alias("trip_id"), F.lit(None).cast("string").alias("start_station"),
+        F.lit(None).cast("int").alias("duration"), F.size(bad).alias("columns"),
+    )
+    good = good_trips(stored).select("trip_id", "start_station", "duration")
+    return good.withColumn("columns", F.lit(None).cast("int")).unionByName(rejects)
+
+
 @query(
     "trip_fact",
     "orders",
@@ -57,6 +87,30 @@ def _demand_by_hour(spark, sf_dir):
     return demand.demand_by_hour(feeds.trip_starts(table(spark, sf_dir, "events")))
 
 
+@query(
+    "demand_increments",
+    "events",
+    oracle="""
+        SELECT CASE WHEN grouping(dow) = 1 THEN 'hour' WHEN grouping(hour) = 1 THEN 'dow'
+                    ELSE 'dow_hour' END AS level, dow, hour, count(*) AS trips
+        FROM (SELECT CAST(dayofweek(ts) + 1 AS INTEGER) AS dow, CAST(hour(ts) AS INTEGER) AS hour FROM events)
+        GROUP BY GROUPING SETS ((dow), (hour), (dow, hour))""",
+)
+def _demand_increments(spark, sf_dir):
+    """The counts of three loads, by ten days of the month; the second is loaded twice."""
+    path = scratch_dir(spark, "agg_demand")
+    trips = feeds.trip_starts(table(spark, sf_dir, "events"))
+    third = F.least(F.lit(2), F.floor((F.dayofmonth("start_time") - 1) / 10))
+    for load in (0, 1, 2, 1):
+        demand.load_demand(trips.where(third == load), path, f"part-{load}")
+    levels = {name: demand.stored_demand(spark, path, name) for name in (demand.BY_HOUR, demand.BY_DOW, demand.BY_DOW_HOUR)}
+    out = None
+    for name, counts in levels.items():
+        rows = counts.withColumn("level", F.lit(name))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out.select("level", "dow", "hour", "trips")
+
+
 @query(
     "demand_by_dow",
     "events",

@@ -149,3 +149,41 @@ def read_trips(
     if timestamp_format:
         reader = reader.option("timestampNTZFormat", timestamp_format)
     return reader.csv(path)
+
+
+#: Columns that ``read_trip_lines`` adds.
+BAD_LINE, FILE = "bad_line", "file"
+
+
+def read_trip_lines(spark: SparkSession, path: str, timestamp_format: str | None = None) -> DataFrame:
+    """All lines of the quarterly files, with their ``file`` and, where they don't fit, ``bad_line``.
+
+    A line with too few or too many columns, or with a value that is not of its
+    column's type, is kept as text; its other columns hold what could be read.
+    Store the rows before choosing among them: Spark judges a line by the columns
+    a query reads.
+    """
+    reader = spark.read.schema(f"{schemas.TRIP_CSV}, {BAD_LINE} string").options(
+        header=True, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_LINE
+    )
+    if timestamp_format:
+        reader = reader.option("timestampNTZFormat", timestamp_format)
+    return reader.csv(path).withColumn(FILE, F.col("_metadata.file_path"))
+
+
+def _is_trip() -> Column:
+    """Whether a line fits its columns and its trip_id is a number, as the fact's key is."""
+    numbered = F.col("trip_id").isNull() | F.col("trip_id").try_cast("bigint").isNotNull()
+    return F.col(BAD_LINE).isNull() & numbered
+
+
+def good_trips(lines: DataFrame) -> DataFrame:
+    """The trips of stored ``read_trip_lines``."""
+    return lines.where(_is_trip()).drop(BAD_LINE, FILE)
+
+
+def trip_rejects(lines: DataFrame) -> DataFrame:
+    """(file, line) of the lines that are no trip; one that only lacks a whole number as its id is
+    written anew from its values."""
+    values_ = F.to_csv(F.struct(*[c for c in lines.columns if c not in (BAD_LINE, FILE)]))
+    return lines.where(~_is_trip()).select(FILE, F.coalesce(BAD_LINE, values_).alias("line"))

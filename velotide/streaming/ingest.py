@@ -15,6 +15,9 @@ from velotide.sources import files
 
 # In place of a query's identity, for what ``compact`` has merged.
 COMPACTED = "compacted"
+# Folders with a file per query: its last batch that is whole, its last that was merged.
+# Readers of the table pass over names with an underscore.
+WRITTEN, MERGED = "_written", "_merged"
 
 # -- sources -------------------------------------------------------------------
 
@@ -114,7 +117,8 @@ def write_batch(batch: DataFrame, number: int, path: str, date: str) -> None:
     gathered by date first: a batch writes one file per date, and more only for a
     date that holds much of a large batch.
     """
-    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    spark = batch.sparkSession
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
     if query is None:
         raise RuntimeError("write_batch runs inside a streaming query only")
     (
@@ -125,6 +129,7 @@ def write_batch(batch: DataFrame, number: int, path: str, date: str) -> None:
         .partitionBy(date, "query", "batch")
         .parquet(path)
     )
+    files.replace_text(spark, f"{path}/{WRITTEN}/{query}", str(number))
 
 
 def compact(spark: SparkSession, path: str, date: str, before: dt.date) -> list[str]:
@@ -145,6 +150,7 @@ def compact(spark: SparkSession, path: str, date: str, before: dt.date) -> list[
             rows = spark.read.parquet(*batches)
             rows.hint("rebalance").write.mode("overwrite").parquet(hidden)
         for name in queries:
+            _note_merged(spark, path, folder, name)
             files.delete(spark, f"{folder}/{name}")
         files.make_folder(spark, f"{folder}/query={COMPACTED}")
         files.move(spark, hidden, f"{folder}/query={COMPACTED}/batch=0")
@@ -152,6 +158,16 @@ def compact(spark: SparkSession, path: str, date: str, before: dt.date) -> list[
     return merged
 
 
+def _note_merged(spark: SparkSession, path: str, folder: str, name: str) -> None:
+    """Note the last batch of the folder ``query=<id>``, for readers that tell batches apart."""
+    query = name.removeprefix("query=")
+    batches = [int(b.removeprefix("batch=")) for b in files.subdirectories(spark, f"{folder}/{name}")]
+    note = f"{path}/{MERGED}/{query}"
+    before = int(files.read_text(spark, note) or -1)
+    if query != COMPACTED and batches and max(batches) > before:
+        files.replace_text(spark, note, str(max(batches)))
+
+
 def read_status_table(
     spark: SparkSession, path: str, dates: tuple[dt.date, dt.date] | None = None
 ) -> DataFrame:
