@@ -33,9 +33,9 @@ WORDS = 5
 #: Similarity in hundredths.
 THRESHOLD = 80
 #: Fragments of the global order.
-FRAGMENTS = 8
+FRAGMENTS = 4
 #: Hubs of a bucket in the first round, and how many times more in each after it.
-HUBS, MORE = 1, 8
+HUBS, MORE = 1, 256
 #: Sets compared with one hub in a task.
 PER_TASK = 4096
 #: Bytes of text for a part of the hashes.
@@ -333,21 +333,23 @@ def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def links(sets: DataFrame) -> DataFrame:
-    """(u, v): links between digests of ``sets`` that join all that is linked."""
-    rows = buckets(sets).withColumn("root", F.col("digest"))
+    """(u, v): links between digests of ``sets`` that join all that is linked.
+
+    The first hub of a bucket is the member that most buckets hold: of edited copies
+    that is the one edited least, to which most others are linked.
+    """
+    rows = buckets(sets)
+    central = rows.groupBy("digest").agg(F.count("*").alias("met"))
+    rows = rows.join(central, "digest").withColumn("root", F.col("digest"))
     found = tested = None
     parts, hubs = segments(sets), HUBS
     while not rows.isEmpty():
-        sizes = rows.groupBy("key").agg(
-            F.count("*").alias("size"),
-            F.min(F.struct(F.xxhash64("digest"), "digest"))["digest"].alias("first"),
-        )
-        rows = rows.join(sizes, "key")
-        hub = F.col("digest") == F.col("first")
-        if hubs > 1:
-            every = F.greatest(F.lit(1), F.floor(F.col("size") / hubs)).cast("long")
-            hub = hub | (F.pmod(F.xxhash64(F.lit(hubs), "digest"), every) == 0)
-        rows = saved(rows.withColumn("is_hub", hub), "round")
+        first = F.max(F.struct("met", F.xxhash64("digest"), "digest"))["digest"].alias("first")
+        rows = rows.join(rows.groupBy("key").agg(F.count("*").alias("size"), first), "key")
+        every = F.greatest(F.lit(1), F.floor(F.col("size") / hubs)).cast("long")
+        chosen = F.pmod(F.xxhash64(F.lit(hubs), "digest"), every) == 0 if hubs > 1 else F.lit(False)
+        rows = rows.withColumn("is_hub", chosen | (F.col("digest") == F.col("first"))).drop("size", "first")
+        rows = saved(rows, "round")
         pairs = candidates(rows)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -358,9 +360,8 @@ def links(sets: DataFrame) -> DataFrame:
         found = new if found is None else found.unionByName(new)
         done = pairs.select("a", "b")
         tested = done if tested is None else tested.unionByName(done)
-        roots = components(found)
-        rows = rows.where("NOT is_hub").select("key", "digest", "n", "place")
-        rows = rows.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
+        rows = rows.where("NOT is_hub").drop("root", "is_hub")
+        rows = rows.join(components(found).withColumnRenamed("node", "digest"), "digest", "left")
         rows = rows.withColumn("root", F.coalesce("root", "digest"))
         mixed = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         rows = saved(rows.join(mixed.where("low != high").select("key"), "key"), "unresolved")
