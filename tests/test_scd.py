@@ -227,6 +227,25 @@ def test_storage_does_not_grow_with_runs(spark, monkeypatch):
     assert spark.read.parquet(f"{path}/{stored['open']}").count() == 2
 
 
+def test_long_history_is_not_written_again(spark, monkeypatch):
+    monkeypatch.setattr(scd, "CLOSED_FOLDERS", 4)
+    monkeypatch.setattr(scd, "MERGED_FOLDERS", 3)
+    path = files.scratch_dir(spark, "dim")
+    many = [(f"m{i}", "x" * 50 + str(i)) for i in range(2000)]
+    scd.apply_snapshot(snapshot(spark, ("1", "a"), *many), path, DAY[0], f"{DAY[0]} 06:00:00")
+    scd.apply_snapshot(snapshot(spark, ("1", "a")), path, DAY[1], f"{DAY[1]} 06:00:00")  # closes 2,000 versions
+    long = max(scd.versions.state(spark, path)["closed"], key=lambda c: files.total_bytes(spark, f"{path}/{c}"))
+    merged = set()
+    for n in range(2, 10):
+        listed = [("1", "a")] + ([("2", "b")] if n % 2 else [])
+        scd.apply_snapshot(snapshot(spark, *listed), path, DAY[n], f"{DAY[n]} 06:00:00")
+        closed = scd.versions.state(spark, path)["closed"]
+        assert long in closed and len(closed) <= scd.CLOSED_FOLDERS
+        merged |= {c for c in closed if c.startswith("closed-all")}
+    assert len(merged) >= 2
+    assert scd.read_stations(spark, path).where("end_date IS NOT NULL").count() == 2000 + 7
+
+
 def test_duplicate_station_is_named(spark):
     with pytest.raises(DuplicateKeyError, match="'station_id': '7'"):
         scd.apply_snapshot(

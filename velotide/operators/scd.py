@@ -180,9 +180,12 @@ def scd_as_of_sorted(
 # before, from which the last one may be run again.  A run writes new folders
 # and then moves the pointer; what no run refers to any more is dropped.
 
-# Closed folders are merged into one beyond this number, so that neither the
-# pointer nor a listing grows with the number of runs.
-CLOSED_FOLDERS = 16
+# Beyond this number of closed folders the smallest of them are merged into one, so
+# that neither the pointer nor a listing grows with the number of runs.  Long history
+# is left alone until the others have grown to its size: a row is written again about
+# as often as the history has grown twelvefold.
+CLOSED_FOLDERS, MERGED_FOLDERS = 16, 12
+FILE_BYTES = 128 * 1024 * 1024
 
 
 class LateRunError(ValueError):
@@ -256,8 +259,10 @@ def apply_snapshot(
         new["closed"] = [*before["closed"], *new["closed"]]
         before = {**before, "before": None}
     if len(new["closed"]) > CLOSED_FOLDERS:
-        closed = spark.read.schema(schemas.DIM_STATIONS).parquet(*[f"{path}/{c}" for c in new["closed"]])
-        closed.write.parquet(f"{path}/closed-all-{name}")
-        new["closed"] = [f"closed-all-{name}"]
+        size = {c: files.total_bytes(spark, f"{path}/{c}") for c in new["closed"]}
+        small = sorted(new["closed"], key=lambda c: (size[c], c))[:MERGED_FOLDERS]
+        closed = spark.read.schema(schemas.DIM_STATIONS).parquet(*[f"{path}/{c}" for c in small])
+        closed.coalesce(1 + sum(size[c] for c in small) // FILE_BYTES).write.parquet(f"{path}/closed-all-{name}")
+        new["closed"] = [*[c for c in new["closed"] if c not in small], f"closed-all-{name}"]
     kept = {f for s in (new, before) if s for f in (s["open"], *s["closed"])}
     versions.point(spark, path, {**new, "before": before}, kept)

@@ -266,11 +266,11 @@ def station_snapshot(supplier: DataFrame) -> DataFrame:
     listed = (balance < 1000) | ((balance >= 3000) & (balance < 5000)) | (balance >= 7000)
     return supplier.filter(listed).select(
         F.col("s_suppkey").cast("string").alias("station_id"),
-        F.upper("s_name").alias("name"),
+        F.when(F.col("s_nationkey") % 4 != 0, F.upper("s_name")).alias("name"),
         F.lit(-75.5).alias("lon"),
         F.when(F.col("s_nationkey") > 5, 40.5).alias("lat"),
         F.lit("dock").alias("station_type"),
-        F.concat(F.lit("new "), F.col("s_nationkey").cast("string")).alias("address"),
+        F.when(F.col("s_nationkey") % 3 != 0, F.concat(F.lit("new "), F.col("s_nationkey").cast("string"))).alias("address"),
         F.lit(True).alias("active_status"),
     )
 
@@ -293,10 +293,12 @@ STATIONS_SQL = f"""
                DATE '1997-01-01', TIMESTAMP '1997-01-01 00:00:00'
         FROM known WHERE paused),
     snapshot AS (
-        SELECT CAST(s_suppkey AS VARCHAR) AS station_id, upper(s_name) AS name,
+        SELECT CAST(s_suppkey AS VARCHAR) AS station_id,
+               CASE WHEN s_nationkey % 4 <> 0 THEN upper(s_name) END AS name,
                CAST(-75.5 AS DOUBLE) AS lon,
                CASE WHEN s_nationkey > 5 THEN CAST(40.5 AS DOUBLE) END AS lat,
-               'dock' AS station_type, 'new ' || CAST(s_nationkey AS VARCHAR) AS address,
+               'dock' AS station_type,
+               CASE WHEN s_nationkey % 3 <> 0 THEN 'new ' || CAST(s_nationkey AS VARCHAR) END AS address,
                TRUE AS active_status
         FROM supplier
         WHERE s_acctbal < 1000 OR (s_acctbal >= 3000 AND s_acctbal < 5000) OR s_acctbal >= 7000)"""
@@ -307,6 +309,8 @@ RECONCILED_SQL = f"""
     opened AS (SELECT * FROM dim WHERE end_date IS NULL),
     listed AS (
         SELECT n.* REPLACE (
+                   CASE WHEN n.name IS NULL THEN o.name ELSE n.name END AS name,
+                   CASE WHEN n.address IS NULL THEN o.address ELSE n.address END AS address,
                    CASE WHEN n.lat IS NULL THEN o.lat ELSE n.lat END AS lat), o.start_date
         FROM snapshot n LEFT JOIN opened o USING (station_id)),
     gone AS (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from velotide.functions import clock
 from velotide.operators.decode import decode_status, station_list, status_rejects
 from velotide.operators.dedup import dedup_keep_one, key_conflicts
+from velotide.operators.drift import schema_drift
 from velotide.operators.merge import (
     FACT_COLUMNS,
     STATUS_KEY,
@@ -43,6 +44,39 @@ def _status_rejects(spark, sf_dir):
     return status_rejects(payloads).select("event_id", "ingest_ts")
 
 
+_DOCKS, _SMART = "data.stations[].num_docks_available", "data.stations[].num_bikes_available_types.smart"
+
+
+@query(
+    "payload_drift",
+    "events",
+    oracle=f"""
+        WITH p AS (SELECT CAST(ts AS DATE) AS day, event_type AS t FROM events)
+        SELECT day, kind, path, declared, found, payloads FROM (
+            SELECT day, 'unreadable' AS kind, '$' AS path, NULL AS declared, NULL AS found, count(*) AS payloads
+            FROM p WHERE t = 'signup' GROUP BY 1
+            UNION ALL
+            SELECT day, 'unknown', path, NULL, found, count(*)
+            FROM p, (VALUES ('region', 'OBJECT'), ('region.name', 'STRING')) f(path, found)
+            WHERE t = 'view' GROUP BY ALL
+            UNION ALL
+            SELECT day, 'retyped', '{_DOCKS}', 'int', 'STRING', count(*) FROM p WHERE t = 'click' GROUP BY 1
+            UNION ALL
+            SELECT DISTINCT day, 'missing', '{_SMART}', 'int', NULL, 0 FROM p)""",
+)
+def _payload_drift(spark, sf_dir):
+    """Payloads of which some have a new field, some a count as text, some are cut off."""
+    events = table(spark, sf_dir, "events")
+    text = F.col("value").cast("string")
+    payloads = feeds.status_payloads(events).join(events.select("event_id", "event_type"), "event_id")
+    new = F.regexp_replace(text, '"version":"1.1"', '"version":"1.1","region":{"name":"north"}')
+    typed = F.regexp_replace(text, r'"num_docks_available":(\d+)', r'"num_docks_available":"$1"')
+    kind = F.col("event_type")
+    value = F.when(kind == "view", new).when(kind == "click", typed).otherwise(text)
+    drifting = payloads.select(value.alias("value"), F.to_date("ingest_ts").alias("day"))
+    return schema_drift(drifting, by=["day"])
+
+
 @query(
     "raw_landing",
     "events",
