@@ -243,7 +243,7 @@ def test_long_history_is_not_written_again(spark, monkeypatch):
         assert long in closed and len(closed) <= scd.CLOSED_FOLDERS
         merged |= {c for c in closed if c.startswith("closed-all")}
     assert len(merged) >= 2
-    assert scd.read_stations(spark, path).where("end_date IS NOT NULL").count() == 2000 + 7
+    assert scd.read_stations(spark, path).where("end_date IS NOT NULL").count() == 2000 + 6
 
 
 def test_duplicate_station_is_named(spark):
