@@ -18,11 +18,13 @@ from velotide.operators.merge import (
 from velotide.plans import availability
 from velotide.registry import feeds
 from velotide.registry.base import query, rounded, table, table_stream
+from velotide.sources import buckets
 from velotide.sources.files import scratch_dir
 from velotide.streaming import distinct, ingest, landed
 
 RUN_DATE = "2024-01-30"
 RUN_BEFORE = "2024-01-29"
+BUCKETS = 8
 
 
 @query(
@@ -213,10 +215,7 @@ _MEASURES = """num_docks_available, num_bikes_available, num_bikes_available_ele
     num_bikes_available_smart, num_bikes_available_classic"""
 
 
-@query(
-    "status_increment",
-    "events",
-    oracle=f"""WITH {_DEDUPED_SQL},
+_INCREMENT_SQL = f"""WITH {_DEDUPED_SQL},
         localised AS (
             SELECT {feeds.LOCAL.format('utc_timestamp')} AS est_datetime, station_id,
                    {_MEASURES}, utc_timestamp
@@ -230,15 +229,29 @@ _MEASURES = """num_docks_available, num_bikes_available, num_bikes_available_ele
         WHERE CAST(est_datetime AS DATE) BETWEEN DATE '{RUN_BEFORE}' AND DATE '{RUN_DATE}'
           AND NOT EXISTS (SELECT 1 FROM loaded f
                           WHERE f.station_id = l.station_id
-                            AND f.utc_timestamp = l.utc_timestamp)""",
-)
-def _status_increment(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
+                            AND f.utc_timestamp = l.utc_timestamp)"""
+
+
+def _loaded(events):
+    """The fact as the run before left it."""
     loaded = feeds.status_fact(events).filter(
         F.col("est_datetime") < F.lit(_LOADED_UNTIL).cast("timestamp_ntz")
     )
-    loaded = loaded.withColumn("num_bikes_available", F.col("num_bikes_available") + 5)
-    return status_increment(loaded, feeds.status_repeated(events), RUN_DATE)
+    return loaded.withColumn("num_bikes_available", F.col("num_bikes_available") + 5)
+
+
+@query("status_increment", "events", oracle=_INCREMENT_SQL)
+def _status_increment(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    return status_increment(_loaded(events), feeds.status_repeated(events), RUN_DATE)
+
+
+@query("status_increment_bucketed", "events", oracle=_INCREMENT_SQL)
+def _status_increment_bucketed(spark, sf_dir):
+    """The same with the fact in buckets of its key; only what is staged is shuffled."""
+    events = table(spark, sf_dir, "events")
+    fact = buckets.store(_loaded(events), scratch_dir(spark, "fact"), STATUS_KEY, BUCKETS)
+    return status_increment(fact, feeds.status_repeated(events), RUN_DATE)
 
 
 @query(
