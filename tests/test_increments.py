@@ -6,7 +6,7 @@ import random
 import pytest
 from helpers import rows
 
-from velotide.plans import demand, warehouse
+from velotide.plans import demand, stations, warehouse
 from velotide.sources import feeds, files
 from velotide.sources.tables import rebuild
 
@@ -82,3 +82,42 @@ def test_files_without_bad_lines(spark, tmp_path):
     stored = rebuild(feeds.read_trip_lines(spark, path), files.scratch_dir(spark, "lines"))
     assert feeds.trip_rejects(stored).collect() == []
     assert rows(feeds.good_trips(stored)) == rows(feeds.read_trips(spark, path))
+
+
+# -- tiers from sketches -----------------------------------------------------------
+
+
+def moves(spark, seed, n, stations_=400):
+    rng = random.Random(seed)
+    pick = [f"s{int(rng.paretovariate(0.8)) % stations_}" for _ in range(2 * n)]
+    return spark.createDataFrame(list(zip(pick[:n], pick[n:], strict=True)), "start_station string, end_station string")
+
+
+def test_cuts_of_merged_sketches_are_about_right(spark, monkeypatch):
+    """The rank of each cut, among the exact totals of all loads, is within 3 hundredths at so small a sketch."""
+    monkeypatch.setattr(stations, "SKETCH", 200)
+    path = files.scratch_dir(spark, "totals")
+    every = []
+    for k in range(8):
+        load = moves(spark, k, 3000)
+        stations.load_station_totals(load, path, f"day-{k}")
+        every += [r["total"] for r in stations.station_utilisation(load).collect()]
+    stations.load_station_totals(moves(spark, 3, 3000), path, "day-3")  # again
+    (cuts,) = stations.stored_cuts(spark, path).collect()
+    for cut, q in ((cuts["low"], 0.1), (cuts["high"], 0.9)):
+        below, upto = (sum(t < cut for t in every) / len(every), sum(t <= cut for t in every) / len(every))
+        assert below - 0.03 <= q <= upto + 0.03
+    tiers = stations.load_tiers(spark, path)
+    assert tiers.count() == len(every)
+    assert rows(tiers.where("tier = 'over'"), "total")[0][0] >= cuts["high"]
+    one = stations.load_tiers(spark, path, "day-3")
+    assert rows(one, "station_id", "total") == rows(stations.station_utilisation(moves(spark, 3, 3000)), "station_id", "total")
+
+
+def test_a_new_load_reads_no_old_trips(spark):
+    path = files.scratch_dir(spark, "totals")
+    stations.load_station_totals(moves(spark, 1, 50), path, "a")
+    stations.load_station_totals(moves(spark, 1, 50).limit(0), path, "empty")
+    plan = stations.stored_cuts(spark, path)
+    assert {f.split(f"{path}/")[1].split("/")[0] for f in plan.inputFiles()} == {stations.SKETCHES}
+    assert stations.load_tiers(spark, path, "empty").collect() == []
