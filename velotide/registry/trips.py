@@ -179,18 +179,36 @@ def _utilisation_tier(spark, sf_dir):
     return stations.utilisation_tier(_utilisation(spark, sf_dir))
 
 
-@query("utilisation_load_tiers", "lineitem")
+@query(
+    "utilisation_load_tiers",
+    "lineitem",
+    oracle=f"""WITH {feeds.TRIP_MOVES_SQL},
+        ends AS (
+            SELECT year(day) AS y, start_station AS station_id FROM moves
+            UNION ALL SELECT year(day), end_station FROM moves),
+        totals AS (SELECT y, station_id, count(*) AS total FROM ends GROUP BY ALL)
+        SELECT CAST(y AS VARCHAR) AS load_id, count(*) AS stations, CAST(sum(total) AS BIGINT) AS trip_ends,
+               TRUE AS low_is_right, TRUE AS high_is_right
+        FROM totals GROUP BY 1""",
+)
 def _utilisation_load_tiers(spark, sf_dir):
-    """Tiers of stations by year against all years, the years loaded one by one, one of them twice.
-
-    Cuts come from sketches, whose ranks are about right; tests hold them against exact ones.
-    """
+    """Totals by year, the years loaded one by one and one of them twice, and whether the ranks of the
+    cuts from merged sketches are within a hundredth of the tenth and ninetieth percentile."""
     path = scratch_dir(spark, "station_totals")
     moves = feeds.trip_moves(table(spark, sf_dir, "lineitem"))
     years = [r[0] for r in moves.select(F.year("day").alias("y")).distinct().orderBy("y").collect()]
     for year in [*years, *years[:1]]:
         stations.load_station_totals(moves.where(F.year("day").eqNullSafe(F.lit(year))), path, str(year))
-    return stations.load_tiers(spark, path)
+    tiers = stations.load_tiers(spark, path)
+    cuts = stations.stored_cuts(spark, path)
+
+    def right(name, q):
+        cut = cuts.select(name).scalar()
+        below, up_to = (F.avg(x.cast("double")) for x in (F.col("total") < cut, F.col("total") <= cut))
+        return tiers.agg(((below <= q + 0.01) & (up_to >= q - 0.01)).alias("right")).scalar()
+
+    loads = tiers.groupBy("load_id").agg(F.count(F.lit(1)).alias("stations"), F.sum("total").alias("trip_ends"))
+    return loads.withColumns({"low_is_right": right("low", 0.1), "high_is_right": right("high", 0.9)})
 
 
 @query(
