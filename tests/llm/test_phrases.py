@@ -70,6 +70,7 @@ def test_small_blocks_and_parts(spark, rows, monkeypatch):
     """Many summaries are merged, with far fewer counters than n-grams."""
     monkeypatch.setattr("velotide.llm.blocks.ROW_BYTES", 1 << 20)
     monkeypatch.setattr(phrases, "PART_BYTES", 5_000)
+    monkeypatch.setattr(phrases, "CHUNK", 50)
     assert mined(spark, rows, 12) == brute(rows, 12, 2000)
 
 
@@ -96,7 +97,9 @@ def test_every_frequent_key_survives(summaries, threshold):
     for s in summaries:
         keys = sorted(s)
         sketch.add(np.array(keys, np.uint64), np.array([s[k] for k in keys], np.int64))
-        assert len(sketch.keys) <= sketch.k
+        assert len(sketch.keys) <= sketch.k and sketch.n_waiting < sketch.k
+    sketch.merge()
+    assert len(sketch.keys) <= sketch.k
     held = dict(zip(sketch.keys.tolist(), sketch.counts.tolist(), strict=True))
     assert sketch.taken < threshold
     assert all(0 <= n - held.get(k, 0) <= sketch.taken for k, n in true.items())
