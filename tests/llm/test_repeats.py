@@ -20,7 +20,7 @@ def brute(texts, length=repeats.LENGTH):
                 mark[i : i + length] = b"\1" * length
         kept = bytes(b for b, m in zip(t, mark, strict=True) if not m)
         spans = sum(1 for i in range(len(mark)) if mark[i] and (i == 0 or not mark[i - 1]))
-        out.append((len(t), sum(mark), spans, hashlib.sha256(kept).hexdigest()))
+        out.append((len(t), sum(mark), spans, hashlib.sha256(kept).hexdigest(), sum(mark) / max(len(t), 1)))
     return out
 
 
@@ -74,7 +74,7 @@ def test_odd_rows(spark, odd_docs, odd_rows):
     want = brute([(r[1] or "").encode()[:8000] if r[0] != 5 else b"" for r in odd_rows])
     long = odd_rows[7][1].encode()
     rows = [
-        (r[0], *w) if r[0] != 5 else (5, len(long), 0, 0, hashlib.sha256(long).hexdigest())
+        (r[0], *w) if r[0] != 5 else (5, len(long), 0, 0, hashlib.sha256(long).hexdigest(), 0.0)
         for r, w in zip(odd_rows, want, strict=True)
     ]
     assert got == sorted(map(repr, rows))

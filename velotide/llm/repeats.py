@@ -438,11 +438,14 @@ def repeated(docs: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Per row doc_id, n_bytes, n_removed, n_spans and kept_sha256."""
+    """Per row doc_id, n_bytes, n_removed, n_spans, kept_sha256, and removed_share, the part of the
+    bytes that goes (0 to 1; of an empty text 0)."""
+    removed = F.col("n_bytes") - F.octet_length("kept")
     return repeated(docs).select(
         "doc_id",
         "n_bytes",
-        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        (removed / F.greatest("n_bytes", F.lit(1))).alias("removed_share"),
     )
