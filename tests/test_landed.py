@@ -47,6 +47,11 @@ def test_starts_at_latest_and_reads_each_later_row_once(spark):
     assert read_on(spark, raw, target) == ["a", "b", "c", "d"]
 
 
+def test_paths_as_spark_writes_them():
+    for path in ("/a b/c", "file:/a b/c", "file:///a b/c/"):
+        assert landed.file_system(path)[1] == "/a b/c"
+
+
 def test_starts_before_anything_has_landed(spark):
     raw, target = paths(spark)
     files.make_folder(spark, raw)

@@ -38,13 +38,18 @@ class LandedFile(InputPartition):
     path: str
 
 
+def file_system(path: str) -> tuple[arrow_fs.FileSystem, str]:
+    """Arrow's file system for a path as Spark writes it; ``file:`` paths may hold any character."""
+    return arrow_fs.FileSystem.from_uri(re.sub(r"^file:/+", "/", path.rstrip("/")))
+
+
 class LandedReader(DataSourceStreamReader):
     def __init__(self, schema, options: dict[str, str]):
         self.fields = to_arrow_schema(schema)
-        self.fs, self.path = arrow_fs.FileSystem.from_uri(options["path"])
+        self.fs, self.path = file_system(options["path"])
         self.start_at = options.get("startingoffsets", LATEST)
         # Where the first start is noted; a start without rows leaves nothing in a checkpoint.
-        self.noted = arrow_fs.FileSystem.from_uri(options["startnote"]) if "startnote" in options else None
+        self.noted = file_system(options["startnote"]) if "startnote" in options else None
         if self.start_at not in (LATEST, EARLIEST):
             raise ValueError(f"startingOffsets is {LATEST} or {EARLIEST}")
 
