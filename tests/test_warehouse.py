@@ -1,5 +1,6 @@
 """The daily jobs over several days."""
 
+import datetime as dt
 import json
 
 import pytest
@@ -10,6 +11,7 @@ from velotide.__main__ import run
 from velotide.operators.dedup import DuplicateKeyError
 from velotide.operators.merge import status_new_rows
 from velotide.plans import warehouse
+from velotide.registry import QUERIES
 from velotide.sources import files, tables
 from velotide.sources.feeds import StationDocumentError
 from velotide.streaming import ingest
@@ -192,3 +194,33 @@ def test_endless_jobs_start_their_sink(spark, monkeypatch):
     assert spark.read.parquet(f"{base}/{warehouse.STATUS_RAW}").count() == 1
     staged = ingest.read_status_table(spark, f"{base}/{warehouse.STATUS_STAGING}")
     assert rows(staged, "station_id") == [("1",)]
+
+
+def test_stations_whose_ids_end_alike(spark):
+    base = files.scratch_dir(spark, "warehouse")
+    path = documents(spark, base, "2024-01-01", 1090, 11090)
+    with pytest.raises(DuplicateKeyError, match="1090"):
+        warehouse.load_stations(spark, path, base, "2024-01-01", "2024-01-01 06:00:00")
+    warehouse.load_stations(spark, path, base, "2024-01-01", "2024-01-01 06:00:00", key_length=9)
+    assert rows(warehouse.read_dimension(spark, base), "station_id") == [("net_1090",), ("net_11090",)]
+
+
+def test_a_day_of_stations_with_long_ids(spark, tmp_path):
+    # Of the last two, all but the sign is alike.
+    ids = [7, 1090, 11090, 2**63 - 1, -(2**63 - 1)]
+    moment = dt.datetime(2024, 1, 15, 3)
+    tables_ = {
+        "supplier": ("s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+                     [(i, f"S{i}", 1, 1.0) for i in ids]),
+        "events": ("event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
+                   [(n, moment, i, "view", 10.0) for n, i in enumerate((1090, 11090, 11090))]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                   "o_orderdate timestamp_ntz, o_orderpriority string",
+                   [(n, i, "F", 50000.0, moment, "2-HIGH") for n, i in enumerate((1090, 11089, 11090))]),
+    }
+    for name, (schema, values) in tables_.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert rows(QUERIES["warehouse_day"](spark, str(tmp_path))) == sorted([
+        ("7", "S7", None, None, None), ("1090", "S1090", 1, 0.2, 1), ("11090", "S11090", 1, 0.2, 2),
+        *[(str(i), f"S{i}", None, None, None) for i in ids[-2:]],
+    ], key=repr)

@@ -15,6 +15,6 @@ def station_key_digits(station_id: Column) -> Column:
     return F.regexp_extract(station_id, DIGITS, 0)
 
 
-def station_key_suffix(station_id: Column) -> Column:
-    """Last four characters; a shorter text comes back whole."""
-    return F.substring(station_id, -SUFFIX_LENGTH, SUFFIX_LENGTH)
+def station_key_suffix(station_id: Column, length: int = SUFFIX_LENGTH) -> Column:
+    """Last four characters, or ``length``; a shorter text comes back whole."""
+    return F.substring(station_id, -length, length)

@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from velotide.functions.clock import UTC_PAD_DAYS, as_date, window
+from velotide.functions.keys import SUFFIX_LENGTH
 from velotide.operators import history, scd
 from velotide.operators.dedup import assert_unique
 from velotide.operators.merge import load_status_increment, read_status_fact
@@ -46,9 +47,13 @@ def load_stations(
     run_date: dt.date | str,
     run_ts: str,
     whole_files: bool = True,
+    key_length: int = SUFFIX_LENGTH,
 ) -> None:
     """Station documents into staging, the dimension and the dated snapshot.
 
+    A station's key is the last ``key_length`` characters of its id; where the ids
+    differ before those only, it has to be longer, or the job fails.
+
     Documents and keys are checked before anything is written.  The snapshot,
     which is written once, comes last: a day that failed can be run again.  A
     run older than the last one stores its snapshot first, and the dimension is
@@ -57,7 +62,7 @@ def load_stations(
     texts = read_station_documents(spark, documents, whole_files)
     with sized_shuffles(spark, documents):
         assert_complete(texts)
-        rows = station_rows(station_entries(texts))
+        rows = station_rows(station_entries(texts), key_length)
         assert_unique(rows, ["station_id"])
         tables.load_table(rows, base, "stations_info", tables.TRUNCATE)
         staged = tables.read_table(spark, base, "stations_info")

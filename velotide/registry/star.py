@@ -12,6 +12,8 @@ from velotide.sources.files import scratch_dir
 from velotide.streaming import ingest
 
 RUN_DATE = "2024-01-30"
+# The characters of a bigint at most: the stations' ids are their keys, which differ as a whole.
+KEY_LENGTH = 20
 
 
 @query(
@@ -68,7 +70,8 @@ def _warehouse_day(spark, sf_dir):
     document = F.to_json(F.struct(F.struct(F.array(station).alias("stations")).alias("data")))
     table(spark, sf_dir, "supplier").select(document.alias("value")).write.text(f"{base}/info")
     warehouse.load_stations(
-        spark, f"{base}/info", base, RUN_DATE, f"{RUN_DATE} 06:00:00", whole_files=False
+        spark, f"{base}/info", base, RUN_DATE, f"{RUN_DATE} 06:00:00",
+        whole_files=False, key_length=KEY_LENGTH,
     )
 
     fill = availability.station_fill(warehouse.read_status(spark, base))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from velotide import schemas
 from velotide.functions import clock, values
-from velotide.functions.keys import station_key_suffix
+from velotide.functions.keys import SUFFIX_LENGTH, station_key_suffix
 
 # -- station info --------------------------------------------------------------
 
@@ -66,10 +66,13 @@ def _is_complete_entry() -> Column:
     return complete
 
 
-def station_rows(entries: DataFrame) -> DataFrame:
-    """Snapshot rows.  A station listed in the feed counts as active."""
+def station_rows(entries: DataFrame, key_length: int = SUFFIX_LENGTH) -> DataFrame:
+    """Snapshot rows.  A station listed in the feed counts as active.
+
+    Its key is the last ``key_length`` characters of its id.
+    """
     return entries.filter(_is_complete_entry()).select(
-        station_key_suffix(F.col("s.station_id")).alias("station_id"),
+        station_key_suffix(F.col("s.station_id"), key_length).alias("station_id"),
         F.col("s.name").alias("name"),
         F.col("s.lon").alias("lon"),
         F.col("s.lat").alias("lat"),
