@@ -3,8 +3,10 @@
 import collections
 import hashlib
 import random
+import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from velotide.llm import repeats
@@ -97,3 +99,59 @@ def test_spans_and_kept_bytes(spark):
     assert [tuple(s) for s in rows[1]["spans"]] == [(3, 453)]
     assert bytes(rows[1]["kept"]) == b"xxx1"
     assert bytes(rows[2]["kept"]) == "ü".encode()
+
+
+def passages_brute(texts, length=51):
+    """1 for texts with ``length`` words in a row that another text has."""
+    words = [re.findall(rb"[^\x20\x09-\x0D]+", t) for t in texts]
+    holders = collections.defaultdict(set)
+    for i, w in enumerate(words):
+        for k in range(len(w) - length + 1):
+            holders[tuple(w[k : k + length])].add(i)
+    shared = {i for held in holders.values() if len(held) > 1 for i in held}
+    return [int(i in shared) for i in range(len(texts))]
+
+
+def test_passages_shorter_than_the_bytes(spark, odd_rows):
+    """Passages of over 50 words of another text are told, though under 400 bytes go nowhere."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 6))) for _ in range(3000)]
+
+    def some(n):
+        return [rng.choice(words) for _ in range(n)]
+
+    passages = [some(n) for n in (49, 50, 51, 52, 60, 75)]
+    texts = [r[1] for r in odd_rows if not r[1] or len(r[1]) < 20_000]
+    for passage in passages * 4:
+        texts.append(rng.choice([" ", "\n", "  "]).join(some(rng.randint(0, 60)) + passage + some(rng.randint(0, 60))))
+    # A passage that only its own text repeats, one word again and again, near copies, and many copies of a text.
+    alone, copied = some(70), some(300)
+    texts += [" ".join(alone + some(5) + alone), "of " * 50, "of " * 51, "of " * 400, "on " * 400]
+    texts += [" ".join([*copied[:k], "x", *copied[k + 1 :]]) for k in range(0, 300, 45)]
+    texts += [" ".join(copied[100:200])] * 5
+    texts += [" ".join(some(9) + copied[i : i + 51] + some(9)) for i in range(0, 250, 7)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    plain = [(t or "").encode() for t in texts]
+    got = {r["doc_id"]: r for r in repeats.report(docs, passages=True).collect()}
+    want = passages_brute(plain)
+    assert [got[i]["shares_passage"] for i in range(len(texts))] == want
+    assert [tuple(got[i])[1:-1] for i in range(len(texts))] == brute(plain)
+    assert any(want[i] and not got[i]["n_removed"] for i in range(len(texts)))
+
+
+def test_passages_of_rows_with_one_id(spark):
+    """Rows that share an id or have none are told apart; the query has the column."""
+    text = " ".join(f"w{i}" for i in range(51))
+    docs = spark.createDataFrame([(1, text), (1, "x " + text), (None, text + " y"), (2, text[:-1])], "doc_id long, text string")
+    rows = repeats.report(docs, passages=True).select("doc_id", "n_bytes", "shares_passage").collect()
+    n = len(text)
+    assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, [(1, n, 1), (1, n + 2, 1), (None, n + 2, 1), (2, n - 1, 0)]))
+
+
+def test_groups_are_never_cut():
+    keys = [1, 1, 2, 2, 2, 2, 2, 2, 3, 4]
+    batches = [pa.RecordBatch.from_pydict({"key": keys[i : i + 2]}) for i in range(0, 10, 2)]
+    parts = [p["key"].to_pylist() for p in repeats.whole_groups(iter(batches), "key", 3)]
+    assert sum(parts, []) == keys
+    assert all(a[-1] != b[0] for a, b in zip(parts, parts[1:], strict=False))
+    assert len(parts) > 1

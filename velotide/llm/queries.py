@@ -242,7 +242,7 @@ def op6_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op7_rlbwt_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.report(table(spark, sf_dir, "documents"))
+    return repeats.report(table(spark, sf_dir, "documents"), passages=True)
 
 
 @query()

@@ -25,10 +25,16 @@ without an index, by halving blocks until each half is decided by step 2.
 
 NULL counts as the empty text.  Repeated rows are different places, so all their
 windows are marked.
+
+Passages of PASSAGE words may be shorter than LENGTH bytes.  ``sharing`` tells the
+rows that hold one which another row holds, too, by anchors of words.  A row with
+a run that another row holds as a whole is settled by step 2.  For the others, the
+windows of the anchors that they share are compared one by one.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,21 +47,34 @@ from velotide.llm.common import checkpointed, mix, pack, partitions_for, raw, sa
 LENGTH, GRAM, SPAN = 400, 32, 41
 #: Grams of a window, less one: 9 blocks of SPAN windows share an anchor.
 REACH = LENGTH - GRAM
+#: The same in words, for passages of over 50 words.
+PASSAGE, WORD_GRAM = 51, 8
 #: Bytes of texts hashed at a time, and symbols in one index.
 CHUNK, INDEX = 1 << 21, 1 << 20
 #: A core with more blocks is resolved by halving.
 MANY = 4096
+#: Blocks in a batch.
+BLOCKS = 1 << 15
+#: Bytes of texts whose words are hashed at a time, and anchors of words looked at together.
+WORD_CHUNK, MEETING = 1 << 18, 1 << 16
 #: Bytes of text in a partition.
 TEXT_BYTES = 128 << 20
 
 _bytes = np.random.default_rng(77).integers(0, 2**63, 256, np.uint64)
 _odd = np.uint64(0x9E3779B97F4A7C15)
+_inverse = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+_space = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
 def gram_hashes(b: np.ndarray) -> np.ndarray:
-    """Hashes of the GRAM bytes from each position on, by doubling; never 0."""
-    h, n, factor = _bytes[b], 1, 0x9E3779B97F4A7C15
-    while n < GRAM:
+    """Hashes of the GRAM bytes from each position on; never 0."""
+    return joint_hashes(_bytes[b], GRAM)
+
+
+def joint_hashes(h: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the ``width`` (a power of 2) symbols from each position on, by doubling; never 0."""
+    n, factor = 1, 0x9E3779B97F4A7C15
+    while n < width:
         h = h[:-n] * np.uint64(factor) + h[n:]
         factor = factor * factor * 3 % 2**64
         n *= 2
@@ -84,37 +103,43 @@ def runs(texts: list[bytes]) -> dict[str, np.ndarray]:
     anchor of; anchor: hash of its gram; whole: hash of all bytes of its windows.
     """
     own = [i for i, t in enumerate(texts) if len(t) >= LENGTH]
+    joined = np.frombuffer(b"".join(texts[i] for i in own), np.uint8)
+    found = anchored(_bytes[joined], np.array([len(texts[i]) for i in own], np.int64), LENGTH, GRAM)
+    return found | {"text": np.array(own, np.int64)[found["text"]]}
+
+
+def anchored(symbols: np.ndarray, sizes: np.ndarray, length: int, gram: int) -> dict[str, np.ndarray]:
+    """``runs`` of texts of ``sizes`` symbols, ``length`` at least; ``symbols`` are hashes."""
     names = ("text", "at", "first", "n", "anchor", "whole")
-    if not own:
+    if not len(sizes):
         return {k: np.empty(0, np.int64) for k in names}
-    sizes = np.array([len(texts[i]) for i in own])
     ends = np.cumsum(sizes)
-    h = gram_hashes(np.frombuffer(b"".join(texts[i] for i in own), np.uint8))
-    low = sliding(h, REACH + 1, np.minimum)
+    h, reach = joint_hashes(symbols, gram), length - gram
+    low = sliding(h, reach + 1, np.minimum)
     # Windows across the border of two texts are none.
-    counts = np.stack([sizes - LENGTH + 1, np.full(len(sizes), LENGTH - 1)], 1).ravel()
+    counts = np.stack([sizes - length + 1, np.full(len(sizes), length - 1)], 1).ravel()
     low[~np.repeat(np.tile([True, False], len(sizes)), counts)[: len(low)]] = 0
-    edge = np.zeros(REACH, np.uint64)
-    highest = sliding(np.r_[edge, low, edge], REACH + 1, np.maximum)
+    edge = np.zeros(reach, np.uint64)
+    highest = sliding(np.r_[edge, low, edge], reach + 1, np.maximum)
     at = np.flatnonzero((highest == h) & (highest > 0))
     # The stretch of windows around each anchor that have its hash as their least.
     start = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
     stop = np.r_[start[1:], len(low)] - 1
-    run = np.searchsorted(start, np.clip(at - REACH, 0, len(low) - 1), "right") - 1
+    run = np.searchsorted(start, np.clip(at - reach, 0, len(low) - 1), "right") - 1
     wrong = np.flatnonzero(low[start[run]] != h[at])
     while len(wrong):
         run[wrong] += 1
         wrong = wrong[low[start[run[wrong]]] != h[at[wrong]]]
-    first, last = np.maximum(start[run], at - REACH), np.minimum(stop[run], at)
-    size = last - first + LENGTH
+    first, last = np.maximum(start[run], at - reach), np.minimum(stop[run], at)
+    size = last - first + length
     whole = fold((at - first).astype(np.uint64) + np.uint64(1), size)
-    for k in range(0, REACH + LENGTH, GRAM):
-        inside = np.minimum(first + k, first + size - GRAM)
+    for k in range(0, reach + length, gram):
+        inside = np.minimum(first + k, first + size - gram)
         whole = np.where(k < size, fold(whole, h[inside]), whole)
     of = np.searchsorted(ends, at, "right")
     begin = (ends - sizes)[of]
     return {
-        "text": np.array(own)[of],
+        "text": of,
         "at": at - begin,
         "first": first - begin,
         "n": last - first + 1,
@@ -123,6 +148,53 @@ def runs(texts: list[bytes]) -> dict[str, np.ndarray]:
     }
 
 
+@functools.lru_cache(maxsize=1)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers below ``n`` of a number, and of its inverse."""
+    return tuple(np.cumprod(np.r_[np.uint64(1), np.full(n - 1, x)]) for x in (_odd, _inverse))
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word of the texts, and how many words each text has."""
+    b = np.frombuffer(b"".join(t + b" " for t in texts), np.uint8)
+    edges = np.flatnonzero(np.diff(~_space[b], prepend=False))
+    start, stop = edges[::2], edges[1::2]
+    power, back = powers(1 << len(b).bit_length())
+    # Sums before each byte; those of a word, as if it were the first.
+    sums = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum(_bytes[b] * power[: len(b)], out=sums[1:])
+    h = mix((sums[stop] - sums[start]) * back[start])
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return h, np.diff(np.searchsorted(start, ends), prepend=0)
+
+
+def word_runs(texts: list[bytes]) -> dict[str, np.ndarray]:
+    """The anchors of the texts' windows of PASSAGE words; of equal runs in a text, one.
+
+    text: number of the text; spot: first window * 64 + windows - 1; anchor, whole: hashes.
+    """
+    h, counts = word_hashes(texts)
+    long = counts >= PASSAGE
+    found = anchored(h[np.repeat(long, counts)], counts[long], PASSAGE, WORD_GRAM)
+    text, anchor, whole = np.flatnonzero(long)[found["text"]], found["anchor"], found["whole"]
+    one = np.unique(fold(text.astype(np.uint64) + np.uint64(1), anchor, whole), return_index=True)[1]
+    spot = found["first"] * 64 + found["n"] - 1
+    return {"text": text[one], "spot": spot[one], "anchor": anchor[one], "whole": whole[one]}
+
+
+def word_windows(texts: list[bytes], spots: list[list[int]]) -> dict[str, np.ndarray]:
+    """text: number of the text; window: hashes of the distinct windows of its spots."""
+    h, counts = word_hashes(texts)
+    h = joint_hashes(h, 32)
+    spot = np.concatenate([np.asarray(s, np.int64) for s in spots])
+    text = np.repeat(np.arange(len(texts)), [len(s) for s in spots])
+    first, n = (np.cumsum(counts) - counts)[text] + spot // 64, spot % 64 + 1
+    at = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    pair = np.stack([np.repeat(text, n), fold(h[at], h[at + PASSAGE - 32]).view(np.int64)])
+    text, window = np.unique(pair, axis=1)
+    return {"text": text, "window": window}
+
+
 def blocks(text: bytes, spots: list[dict]) -> dict[str, np.ndarray]:
     """Blocks of the windows of anchors: at, block, low and high (the distances from
     window to anchor that they cover), core and whole (hashes)."""
@@ -155,18 +227,22 @@ def longest_matches(text: np.ndarray, n_symbols: int) -> np.ndarray:
     """
     n = len(text)
     base = max(n, n_symbols) + 1
-    rank, reach = text + 1, 1
+    # Each suffix's rank is the place of the first that is like it so far; the end's is -1.
+    rank, reach = np.r_[text, -1], 1
+    order, slots = np.arange(n), np.arange(n)
     while True:
-        ahead = np.zeros(n, np.int64)
-        if reach < n:
-            ahead[:-reach] = rank[reach:]
-        key = rank * base + ahead
-        order = np.argsort(key, kind="stable")
-        new = np.cumsum(np.r_[True, key[order[1:]] != key[order[:-1]]])
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-        if new[-1] == n:
+        # Only suffixes whose place is still open are sorted.
+        open_ = order[slots]
+        key = rank[open_] * base + rank[np.minimum(open_ + reach, n)] + 1
+        by_key = np.argsort(key, kind="stable")
+        order[slots], key = open_[by_key], key[by_key]
+        new = np.r_[True, key[1:] != key[:-1]]
+        first = slots[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+        rank[order[slots]] = first
+        still = ~(new & np.r_[new[1:], True])
+        if not still.any():
             break
+        slots = slots[still]
         reach *= 2
     transform = text[order - 1]
     heads = np.flatnonzero(transform[1:] != transform[:-1]) + 1
@@ -220,22 +296,62 @@ def index_matches(rows: pa.Table) -> dict[str, list[int]]:
 
 def whole_cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Sorted rows in runs of about INDEX symbols that don't cut a core."""
+    return whole_groups(batches, "core", INDEX // (2 * SPAN))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, least: int) -> Iterator[pa.Table]:
+    """Rows sorted by ``key`` in runs of about ``least`` that don't cut a group."""
     held: list[pa.RecordBatch] = []
-    n, least = 0, INDEX // (2 * SPAN)
+    n = 0
     for batch in batches:
+        if not batch.num_rows:
+            continue
         held.append(batch)
         n += batch.num_rows
-        if n >= least:
+        if n >= least and held[0][key][0] != batch[key][-1]:
             rows = pa.Table.from_batches(held)
-            core = rows["core"].to_numpy()
-            cut = int(np.searchsorted(core, core[-1]))
-            if cut:
-                yield rows.slice(0, cut)
+            keys = rows[key].to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1]))
+            yield rows.slice(0, cut)
             held, n = rows.slice(cut).combine_chunks().to_batches(), n - cut
     if n:
         yield pa.Table.from_batches(held)
 
 
+def meetings(rows: pa.Table) -> dict[str, np.ndarray]:
+    """What rows with equal anchors tell; ``rows`` are all those of some anchors, sorted by anchor.
+
+    With spot -1, each row that has a run of another row.  Else the runs of anchors
+    that several rows have in different runs, of equal ones the first; ``shared``
+    says that others have it.
+    """
+    anchor = rows["anchor"].to_numpy()
+    like = anchor[1:] == anchor[:-1]
+    several = np.flatnonzero(np.r_[False, like] | np.r_[like, False])
+    if not len(several):
+        return {"row": [], "anchor": [], "spot": [], "shared": []}
+    anchor, whole, row, spot = (rows[c].to_numpy()[several] for c in ("anchor", "whole", "row", "spot"))
+    order = np.lexsort((row, whole, anchor))
+    anchor, whole, row, spot = anchor[order], whole[order], row[order], spot[order]
+    new = np.r_[True, anchor[1:] != anchor[:-1]]
+    kind = np.flatnonzero(new | np.r_[True, whole[1:] != whole[:-1]])
+    low, high = row[kind], row[np.r_[kind[1:], len(row)] - 1]
+    shared = low < high
+    group = np.flatnonzero(new[kind])
+    kinds = np.diff(np.r_[group, len(kind)])
+    meet = (kinds > 1) & (np.minimum.reduceat(low, group) < np.maximum.reduceat(high, group))
+    settled = np.unique(row[np.repeat(shared, np.diff(np.r_[kind, len(row)]))])
+    still = np.flatnonzero(np.repeat(meet, kinds))
+    one = kind[still]
+    none = np.full(len(settled), -1)
+    return {
+        "row": np.r_[settled, row[one]],
+        "anchor": np.r_[none, anchor[one]],
+        "spot": np.r_[none, spot[one]],
+        "shared": np.r_[none < 0, shared[still]],
+    }
+
+
 def settle(rows: DataFrame, key: list[str], same: str) -> tuple[DataFrame, DataFrame]:
     """What equals another row in ``key`` and ``same``, and what is still open.
 
@@ -297,6 +413,10 @@ def halve(rows: DataFrame) -> list[DataFrame]:
     return out
 
 
+def joined_batch(parts: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({c: np.concatenate([p[c] for p in parts]) for c in parts[0]})
+
+
 def find(texts: DataFrame) -> DataFrame:
     """(row, begin, end) of stretches of repeated windows of ``texts`` (row, blob)."""
     spark = texts.sparkSession
@@ -316,9 +436,17 @@ def find(texts: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            out, n = [], 0
             for row, blob, spots in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = blocks(unpack(blob), spots)
-                yield pa.RecordBatch.from_pydict({"row": np.full(len(own["at"]), row)} | own)
+                out.append({"row": np.full(len(own["at"]), row)} | own)
+                n += len(own["at"])
+                # Not one batch for each text: most have few blocks.
+                if n >= BLOCKS:
+                    yield joined_batch(out)
+                    out, n = [], 0
+            if out:
+                yield joined_batch(out)
 
     spots = rest.groupBy("row").agg(F.collect_list(F.struct("at", "first", "n")).alias("spots"))
     schema = "row bigint, at bigint, block bigint, low bigint, high bigint, core bigint, whole bigint"
@@ -365,23 +493,63 @@ def find(texts: DataFrame) -> DataFrame:
     return out
 
 
+def sharing(texts: DataFrame) -> DataFrame:
+    """The rows of ``texts`` (row, blob) with PASSAGE words in a row that another row has, too."""
+
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, blobs = batch.column(0).to_numpy(), batch.column(1)
+            for part in text_chunks(blobs, WORD_CHUNK):
+                own = word_runs([unpack(b) for b in blobs.slice(part.start, part.stop - part.start)])
+                row = rows[part][own.pop("text")]
+                yield pa.RecordBatch.from_pydict({"row": row} | own)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in whole_groups(batches, "anchor", MEETING):
+            yield pa.RecordBatch.from_pydict(meetings(part), MET)
+
+    found = texts.mapInArrow(anchors, "row bigint, spot bigint, anchor bigint, whole bigint")
+    found = found.repartition("anchor").sortWithinPartitions("anchor")
+    met = found.mapInArrow(meet, "row bigint, anchor bigint, spot bigint, shared boolean")
+    met = saved(met, "repeat-meetings")
+    settled = met.where("shared").select("row").distinct()
+    runs_met = met.where("spot >= 0")
+    # Of a row that is settled, only what others may hold matters.
+    wanted = runs_met.where("NOT shared").join(settled, "row", "left_anti").select("anchor").distinct()
+    spots = runs_met.join(wanted, "anchor", "left_semi").groupBy("row").agg(F.collect_list("spot").alias("spots"))
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, blobs, spots = batch.column(0).to_numpy(), batch.column(1), batch.column(2)
+            for part in text_chunks(blobs, WORD_CHUNK):
+                n = part.stop - part.start
+                own = word_windows([unpack(b) for b in blobs.slice(part.start, n)], spots.slice(part.start, n).to_pylist())
+                yield pa.RecordBatch.from_pydict({"row": rows[part][own["text"]], "window": own["window"]})
+
+    held = texts.join(spots, "row").select("row", "blob", "spots").mapInArrow(windows, "row bigint, window bigint")
+    held = saved(held, "repeat-windows")
+    several = held.groupBy("window").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low < high")
+    return settled.unionByName(held.join(several, "window", "left_semi").select("row")).distinct()
+
+
 REMOVED = [
     ("n_bytes", pa.int64()),
     ("spans", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
     ("kept", pa.binary()),
 ]
+MET = pa.schema([*((c, pa.int64()) for c in ("row", "anchor", "spot")), ("shared", pa.bool_())])
 SHORT = pa.schema(
     [(c, pa.int64()) for c in ("row", "at", "block", "low", "high", "core", "kinds")]
     + [("before", pa.binary()), ("after", pa.binary())]
 )
 
 
-def text_chunks(blobs: pa.Array) -> Iterator[slice]:
-    """Ranges of blobs that unpack to about CHUNK bytes."""
+def text_chunks(blobs: pa.Array, size: int = CHUNK) -> Iterator[slice]:
+    """Ranges of blobs that unpack to about ``size`` bytes."""
     start, n = 0, 0
     for i, b in enumerate(blobs.to_pylist()):
         n += int.from_bytes(b[:8], "little")
-        if n >= CHUNK:
+        if n >= size:
             yield slice(start, i + 1)
             start, n = i + 1, 0
     if start < len(blobs):
@@ -399,8 +567,12 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
     return out
 
 
-def repeated(docs: DataFrame) -> DataFrame:
-    """Per row doc_id, n_bytes, ``spans`` (begin, end) of repeated bytes, and ``kept``, the other bytes."""
+def repeated(docs: DataFrame, passages: bool = False) -> DataFrame:
+    """Per row doc_id, n_bytes, ``spans`` (begin, end) of repeated bytes, and ``kept``, the other bytes.
+
+    With ``passages``, shares_passage is 1 if the row holds a passage of over 50
+    words that another row holds, too, else 0.
+    """
     spark = docs.sparkSession
 
     @F.pandas_udf("binary")
@@ -417,10 +589,16 @@ def repeated(docs: DataFrame) -> DataFrame:
         F.collect_list(F.struct("begin", "end")).alias("found")
     )
 
+    joined, own_columns = rows.join(spans, "row", "left"), ["doc_id"]
+    if passages:
+        joined = joined.join(sharing(rows.select("row", "blob")).withColumn("one", F.lit(1)), "row", "left")
+        joined = joined.withColumn("shares_passage", F.coalesce("one", F.lit(0)))
+        own_columns.append("shares_passage")
+
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict = {"doc_id": batch.column(0), "n_bytes": [], "spans": [], "kept": []}
-            for blob, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            out: dict = {c: batch[c] for c in own_columns} | {"n_bytes": [], "spans": [], "kept": []}
+            for blob, found in zip(batch["blob"].to_pylist(), batch["found"].to_pylist(), strict=True):
                 text, own = unpack(blob), merged(found or [])
                 at, kept = 0, []
                 for begin, end in own:
@@ -430,22 +608,24 @@ def repeated(docs: DataFrame) -> DataFrame:
                 out["spans"].append([{"begin": b, "end": e} for b, e in own])
                 out["kept"].append(b"".join([*kept, text[at:]]))
             # A batch without any span tells no type.
-            yield pa.RecordBatch.from_pydict(out, pa.schema([batch.schema.field(0), *REMOVED]))
+            yield pa.RecordBatch.from_pydict(out, pa.schema([*map(batch.schema.field, own_columns), *REMOVED]))
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_bytes bigint, spans array<struct<begin:bigint,end:bigint>>, kept binary"
-    return rows.join(spans, "row", "left").select("doc_id", "blob", "found").mapInArrow(remove, schema)
+    joined = joined.select(*own_columns, "blob", "found")
+    kinds = [f"{c} {joined.schema[c].dataType.simpleString()}" for c in own_columns]
+    schema = ", ".join([*kinds, "n_bytes bigint", "spans array<struct<begin:bigint,end:bigint>>", "kept binary"])
+    return joined.mapInArrow(remove, schema)
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, passages: bool = False) -> DataFrame:
     """Per row doc_id, n_bytes, n_removed, n_spans, kept_sha256, and removed_share, the part of the
-    bytes that goes (0 to 1; of an empty text 0)."""
+    bytes that goes (0 to 1; of an empty text 0); with ``passages`` shares_passage, as in ``repeated``."""
     removed = F.col("n_bytes") - F.octet_length("kept")
-    return repeated(docs).select(
+    return repeated(docs, passages).select(
         "doc_id",
         "n_bytes",
         removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
         (removed / F.greatest("n_bytes", F.lit(1))).alias("removed_share"),
+        *(["shares_passage"] if passages else []),
     )
